@@ -8,20 +8,18 @@ from pyspark.sql import types as T
 
 from wayfare.schemas import MONEY
 
-_MICROS_PER_MINUTE = 60_000_000
+_SECONDS = T.DecimalType(18, 6)
 
 
 def minutes_between(start: Column, end: Column) -> Column:
-    """Minutes from ``start`` to a later ``end``, two decimals, halves up.
+    """Minutes between two times without zone, two decimals, halves away from zero.
 
-    Whole microseconds are rounded to hundredths of a minute with integers, so no
-    floating point takes part.
+    The difference is an exact interval. It is the same in every session time zone, and
+    no floating point takes part. The quotient has nine decimals, which tells a whole
+    microsecond below half a hundredth from the half itself.
     """
-    micros = F.timestamp_diff("MICROSECOND", start, end)
-    hundredths = F.call_function(
-        "div", micros * 100 + F.lit(_MICROS_PER_MINUTE // 2), F.lit(_MICROS_PER_MINUTE)
-    )
-    return (hundredths.cast(T.DecimalType(15, 0)) * F.lit("0.01").cast(T.DecimalType(3, 2))).cast(MONEY)
+    seconds = (end - start).cast(T.DayTimeIntervalType(3, 3)).cast(_SECONDS)
+    return F.round(seconds / F.lit(60).cast(T.DecimalType(2, 0)), 2).cast(MONEY)
 
 
 def in_window(moment: Column, start: Column, end: Column) -> Column:

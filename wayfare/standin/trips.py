@@ -3,9 +3,8 @@ nation and region (mapping in FIXTURES.md). Each line item becomes one trip."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wayfare.plans.layers import Layers
 from wayfare.profile import DEFAULT_PROFILE, TripProfile
@@ -15,92 +14,66 @@ from wayfare.sources.ingest import align
 SOURCE_FILE = "lineitem.parquet"
 
 
-def _every(n: int) -> Column:
-    return F.col("h") % n == 0
-
-
-def _div(a: Column, b) -> Column:
-    return F.call_function("div", a, b if isinstance(b, Column) else F.lit(b))
-
-
-def _mills(value: Column) -> Column:
-    """Thousandths as an exact decimal."""
-    return value.cast(T.DecimalType(15, 0)) * F.lit("0.001").cast(T.DecimalType(4, 3))
-
-
-def _nulled(n: int, value: Column) -> Column:
-    return F.when(~_every(n), value)
-
-
-def _seconds_after(start: Column, seconds: Column) -> Column:
-    return F.timestamp_add("SECOND", seconds.cast("int"), start)
+# Formulas of the mapping as Spark SQL, in two steps. ``h`` spreads the line items over
+# all cases; ``fm``, ``tm`` are fare and tip in thousandths, ``dp`` the tip percentage.
+_PARTS = [
+    "l_linenumber",
+    "l_quantity",
+    "c_nationkey",
+    "s_nationkey",
+    "(l_orderkey * 7919L + l_partkey * 104729L + l_suppkey * 1299709L"
+    " + l_linenumber * 15485863L) % 1000003L AS h",
+    "CAST(round(l_extendedprice) AS BIGINT) AS fm",
+    "CAST(round(abs(l_discount) * 100) AS BIGINT) AS dp",
+]
+_SCALED = [
+    "*",
+    # Outside the generator, so that a filter on the vendor reaches the line items.
+    "IF(h % 53 = 0, NULL, l_linenumber) AS vendor_id",
+    "fm * dp DIV IF(c_nationkey = 3, 400, 100) AS tm",
+    "TIMESTAMP_NTZ'2025-12-31 00:00:00' + INTERVAL '1' SECOND * (((h DIV 7) % 33) * 86400"
+    " + IF(h % 2 = 0, 61200 + h % 9000, (h * 37) % 86400)) AS start_at",
+]
+_MILL = "CAST(0.001 AS DECIMAL(4,3))"
+_TRIP = {
+    "tpep_pickup_datetime": "IF(h % 211 = 0, NULL, start_at)",
+    "tpep_dropoff_datetime": "CASE WHEN h % 223 = 0 THEN NULL"
+    " WHEN h % 101 = 0 THEN start_at - INTERVAL '60' SECOND"
+    " ELSE start_at + INTERVAL '1' SECOND * (60 + (h * 13) % 5400) END",
+    "passenger_count": "CASE WHEN h % 89 = 0 THEN NULL WHEN h % 97 = 0 THEN 0"
+    " WHEN h % 83 = 0 THEN 1.5 WHEN h % 79 = 0 THEN 2.5"
+    " ELSE CAST(1 + h % 6 AS DECIMAL(10,1)) END",
+    "trip_distance": "IF(h % 103 = 0, 0, CAST(l_quantity AS DECIMAL(15,0))"
+    f" + CAST(h % 1000 AS DECIMAL(15,0)) * {_MILL})",
+    "pu_location_id": "CASE WHEN h % 127 = 0 THEN 999 WHEN c_nationkey = 24 THEN 3"
+    " WHEN c_nationkey % 5 = 4 AND h % 5 <> 0 THEN c_nationkey - 1 ELSE c_nationkey END",
+    "do_location_id": "IF(h % 131 = 0, 998, s_nationkey)",
+    "payment_type": "IF(h % 61 = 0, NULL, h % 7)",
+    "fare_amount": f"CAST(IF(h % 107 = 0, -fm, fm) AS DECIMAL(15,0)) * {_MILL}",
+    "tip_amount": f"CAST(IF(h % 109 = 0, -1, tm) AS DECIMAL(15,0)) * {_MILL}",
+    "total_amount": f"CAST(IF(h % 113 = 0, -1, fm + tm + 2500) AS DECIMAL(15,0)) * {_MILL}",
+    "source_file": f"'{SOURCE_FILE}'",
+}
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    h = (
-        F.col("l_orderkey") * 7919
-        + F.col("l_partkey") * 104729
-        + F.col("l_suppkey") * 1299709
-        + F.col("l_linenumber").cast("long") * 15485863
-    ) % 1000003
+    # Line items and orders grow together and outgrow any broadcast: always a shuffle join,
+    # whose tasks share the work that follows also when the input is one small file.
     joined = (
         read("lineitem")
-        .join(read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(read("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .select(
-            "l_linenumber",
-            "l_quantity",
-            "c_nationkey",
-            "s_nationkey",
-            h.alias("h"),
-            F.round("l_extendedprice").cast("long").alias("fm"),
-            F.round(F.abs("l_discount") * 100).cast("long").alias("dp"),
-        )
-    )
-    h, fm = F.col("h"), F.col("fm")
-    origin, target = F.col("c_nationkey"), F.col("s_nationkey")
-    tip = _div(fm * F.col("dp"), F.when(origin == 3, 400).otherwise(100).cast("long"))
-    midnight = F.lit("2025-12-31 00:00:00").cast(T.TimestampNTZType())
-    of_day = F.when(_every(2), 61200 + h % 9000).otherwise((h * 37) % 86400)
-    start = _seconds_after(midnight, (_div(h, 7) % 33) * 86400 + of_day)
-    one_decimal = T.DecimalType(10, 1)
-    trips = joined.select(
-        "h",
-        _nulled(53, F.col("l_linenumber")).alias("vendor_id"),
-        _nulled(211, start).alias("tpep_pickup_datetime"),
-        F.when(_every(223), None)
-        .when(_every(101), _seconds_after(start, F.lit(-60)))
-        .otherwise(_seconds_after(start, 60 + (h * 13) % 5400))
-        .alias("tpep_dropoff_datetime"),
-        F.when(_every(89), None)
-        .when(_every(97), F.lit(0).cast(one_decimal))
-        .when(_every(83), F.lit("1.5").cast(one_decimal))
-        .when(_every(79), F.lit("2.5").cast(one_decimal))
-        .otherwise((1 + h % 6).cast(one_decimal))
-        .alias("passenger_count"),
-        F.when(_every(103), F.lit(0).cast(T.DecimalType(18, 3)))
-        .otherwise((F.col("l_quantity").cast(T.DecimalType(15, 0)) + _mills(h % 1000)).cast(T.DecimalType(18, 3)))
-        .alias("trip_distance"),
-        _mills(F.when(_every(107), -fm).otherwise(fm)).alias("fare_amount"),
-        _mills(F.when(_every(109), F.lit(-1)).otherwise(tip)).alias("tip_amount"),
-        _mills(F.when(_every(113), F.lit(-1)).otherwise(fm + tip + 2500)).alias("total_amount"),
-        F.when(_every(127), 999)
-        .when(origin == 24, 3)
-        .when((origin % 5 == 4) & (h % 5 != 0), origin - 1)
-        .otherwise(origin)
-        .alias("pu_location_id"),
-        F.when(_every(131), 998).otherwise(target).alias("do_location_id"),
-        _nulled(61, h % 7).alias("payment_type"),
-        F.lit(SOURCE_FILE).alias("source_file"),
+        .join(read("orders").hint("merge"), F.expr("l_orderkey = o_orderkey"))
+        .join(read("customer"), F.expr("o_custkey = c_custkey"))
+        .join(read("supplier"), F.expr("l_suppkey = s_suppkey"))
     )
-    # Some trips arrive twice.
-    times = F.when(_every(71), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    repeated = trips.withColumn("time", F.explode(times))
-    return align(repeated, RAW_TRIPS)
+    scaled = joined.selectExpr(*_PARTS).selectExpr(*_SCALED)
+    trip = ", ".join(f"'{name}', {formula}" for name, formula in _TRIP.items())
+    # Some trips arrive twice. Filters of later layers stay above the generator and refer
+    # to finished columns, as they would for a stored table, and do not repeat formulas.
+    copies = f"array_repeat(named_struct({trip}), IF(h % 71 = 0, 2, 1))"
+    return align(scaled.selectExpr("vendor_id", f"inline({copies})"), RAW_TRIPS)
 
 
 def raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
