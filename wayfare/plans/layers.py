@@ -10,8 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from wayfare.operators.lookup import LookupSize, measure_lookup
 from wayfare.plans import gold, silver, views
 from wayfare.profile import DEFAULT_PROFILE, TripProfile
-from wayfare.sources.sinks import write_layer
-from wayfare.sources.ingest import stamped
 
 # Names of the stored tables.
 RAW_TRIPS = "bronze.raw_taxi_trips"
@@ -32,6 +30,8 @@ ZONE_VIEW = "gold.vw_zone_performance"
 TIME_SUMS = "gold.time_sums"
 ROUTE_SUMS = "gold.route_sums"
 
+LOAD_AUDIT = "audit.load_audit"
+
 AUDITED = (RAW_ZONES, RAW_TRIPS, TRIPS, ISSUES, DAILY, HOURLY, ZONE, PAYMENT, ROUTE)
 
 
@@ -132,42 +132,3 @@ class StoredLayers(Layers):
 def table_path(root: str, name: str) -> str:
     """``<root>/<layer>/<table>``."""
     return f"{root.rstrip('/')}/{name.replace('.', '/')}"
-
-
-def refresh(
-    raw_trips: DataFrame,
-    raw_zones: DataFrame,
-    root: str,
-    profile: TripProfile = DEFAULT_PROFILE,
-    partition_trips_by: tuple[str, ...] = ("pickup_date",),
-) -> StoredLayers:
-    """Rebuild every stored table below ``root``; running it again gives the same tables.
-
-    Each layer is read back before the next is derived, so a lost executor costs a reread
-    of files and never a recomputation of the whole chain. ``partition_trips_by`` stores
-    the cleaned trips by date, which lets date filters skip files; ``()`` saves the
-    shuffle that this takes.
-    """
-
-    def put(table: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        return write_layer(table, table_path(root, name), partition_by)
-
-    spark = raw_trips.sparkSession
-    bronze = Layers(
-        put(stamped(raw_trips), RAW_TRIPS), put(stamped(raw_zones), RAW_ZONES), profile
-    )
-    zones = put(bronze.zones, ZONES)
-    size = measure_lookup(zones, "location_id")
-    classified = silver.classify(bronze.raw_trips, zones, size, profile)
-    put(stamped(silver.rejected_trips(classified, profile), "logged_at"), ISSUES)
-    cleaned = silver.cleaned_trips(bronze.raw_trips, zones, size, profile)
-    trips = put(stamped(silver.with_trip_id(cleaned)), TRIPS, partition_trips_by)
-
-    by_time = put(gold.time_sums(trips), TIME_SUMS)
-    by_route = put(gold.route_sums(trips), ROUTE_SUMS)
-    put(gold.daily_mart(by_time), DAILY)
-    put(gold.hourly_mart(by_time, profile), HOURLY)
-    put(gold.payment_mart(by_time, profile), PAYMENT)
-    put(gold.zone_mart(by_route, zones), ZONE)
-    put(gold.route_mart(by_route, zones, size), ROUTE)
-    return StoredLayers(spark, root, profile)

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Wall-clock times have no zone; load stamps are kept in UTC.
     "spark.sql.session.timeZone": "UTC",
+    # Building a plan from Python asks the driver for a stack trace per column otherwise.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 # For a cluster: larger splits mean fewer tasks that each send a set of partial sums, and

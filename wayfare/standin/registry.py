@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from wayfare.operators import quality
 from wayfare.plans import checks, exports, questions, silver
-from wayfare.plans.layers import Layers, StoredLayers, refresh
+from wayfare.plans.layers import Layers, StoredLayers
+from wayfare.plans.refresh import refresh
 from wayfare.sources.sinks import shared_folder, stored
 from wayfare.standin import trips as standin
 
