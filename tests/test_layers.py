@@ -85,7 +85,7 @@ def test_rerun_replaces_everything(spark, lazy, tmp_path):
     again = refresh(lazy.raw_trips.repartition(5), lazy.raw_zones, root, partition_trips_by=())
     assert again.trips.count() == rows
     assert {name: counted(getattr(again, name)) for name in before} == before
-    assert counted(StoredLayers(spark, root).daily) == before["daily"]
+    assert counted(StoredLayers.read(spark, root).daily) == before["daily"]
 
 
 def test_partitions_do_not_change_results(spark, lazy, sf_dir):
@@ -190,7 +190,7 @@ def test_command_line(spark, lazy, tmp_path, capsys):
         + ["--root", str(tmp_path / "out"), "--exports", str(tmp_path / "csv")]
     )
     assert "exported" in capsys.readouterr().out
-    made = StoredLayers(spark, str(tmp_path / "out"))
+    made = StoredLayers.read(spark, str(tmp_path / "out"))
     assert counted(made.daily) == counted(lazy.daily)
     assert {row.source_file[:5] for row in made.raw_trips.select("source_file").distinct().collect()} == {"part-"}
     assert gold.roll_up(made.time_sums).first().trips == made.trips.count()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -105,28 +106,39 @@ class Layers:
         return views.zone_view(self.zone, self.route_sums)
 
 
+# Stored table of each layer attribute.
+STORED = {
+    "raw_trips": RAW_TRIPS,
+    "raw_zones": RAW_ZONES,
+    "zones": ZONES,
+    "trips": TRIPS,
+    "issues": ISSUES,
+    "time_sums": TIME_SUMS,
+    "route_sums": ROUTE_SUMS,
+    "daily": DAILY,
+    "hourly": HOURLY,
+    "zone": ZONE,
+    "payment": PAYMENT,
+    "route": ROUTE,
+}
+
+
 class StoredLayers(Layers):
-    """The same layers, read from the tables that ``refresh`` wrote below ``root``."""
-
-    def __init__(self, spark: SparkSession, root: str, profile: TripProfile = DEFAULT_PROFILE):
-        tables = {
-            "raw_trips": RAW_TRIPS,
-            "raw_zones": RAW_ZONES,
-            "zones": ZONES,
-            "trips": TRIPS,
-            "issues": ISSUES,
-            "time_sums": TIME_SUMS,
-            "route_sums": ROUTE_SUMS,
-            "daily": DAILY,
-            "hourly": HOURLY,
-            "zone": ZONE,
-            "payment": PAYMENT,
-            "route": ROUTE,
-        }
-        for attribute, name in tables.items():
-            self.__dict__[attribute] = spark.read.parquet(table_path(root, name))
+    """The same layers, each read from its stored table."""
+
+    def __init__(self, tables: Mapping[str, DataFrame], profile: TripProfile = DEFAULT_PROFILE):
+        """``tables`` by table name."""
+        for attribute, name in STORED.items():
+            self.__dict__[attribute] = tables[name]
         self.__dict__["profile"] = profile
-        self.__dict__["root"] = root
+
+    @classmethod
+    def read(
+        cls, spark: SparkSession, root: str, profile: TripProfile = DEFAULT_PROFILE
+    ) -> StoredLayers:
+        """The layers of the last refresh below ``root``."""
+        names = STORED.values()
+        return cls({name: spark.read.parquet(table_path(root, name)) for name in names}, profile)
 
 
 def table_path(root: str, name: str) -> str:

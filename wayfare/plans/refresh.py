@@ -27,8 +27,11 @@ def refresh(
     shuffle that this takes.
     """
 
+    made: dict[str, DataFrame] = {}
+
     def put(table: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        return write_layer(table, table_path(root, name), partition_by)
+        made[name] = write_layer(table, table_path(root, name), partition_by)
+        return made[name]
 
     bronze = Layers(
         put(stamped(raw_trips), layers.RAW_TRIPS),
@@ -50,7 +53,7 @@ def refresh(
     put(gold.zone_mart(by_route, zones), layers.ZONE)
     put(gold.route_mart(by_route, zones, size), layers.ROUTE)
 
-    stored = StoredLayers(raw_trips.sparkSession, root, profile)
+    stored = StoredLayers(made, profile)
     put(stamped(checks.load_audit(stored), "logged_at"), layers.LOAD_AUDIT)
     return stored
 

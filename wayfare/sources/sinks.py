@@ -25,7 +25,8 @@ def write_layer(table: DataFrame, path: str, partition_by: Sequence[str] = ()) -
         .partitionBy(*partition_by)
         .parquet(path)
     )
-    return table.sparkSession.read.parquet(path)
+    # The schema is known: no file needs to be opened to find it.
+    return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
 def write_csv(table: DataFrame, path: str, order: Sequence = ()) -> None:
