@@ -20,4 +20,8 @@ def test_same_names():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, sf_dir, connection):
-    assert compare(QUERIES[name](spark, sf_dir), connection, SQL[name]) is None
+    frame = QUERIES[name](spark, sf_dir)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
+        assert unwanted not in plan
+    assert compare(frame, connection, SQL[name]) is None
