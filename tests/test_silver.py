@@ -135,6 +135,20 @@ def test_rounds_to_zero(spark, change):
         layers(spark, change, profile=TripProfile(strict=True)).trips.collect()
 
 
+def test_least_values_that_do_not_round_to_zero(spark):
+    change = {
+        "trip_distance": "0.005",
+        "passenger_count": "0.5",
+        "tpep_dropoff_datetime": START + timedelta(milliseconds=300),
+    }
+    (row,) = layers(spark, change).trips.collect()
+    assert (row.trip_distance, row.passenger_count, row.trip_duration_minutes) == (
+        Decimal("0.01"),
+        1,
+        Decimal("0.01"),
+    )
+
+
 def test_strict_keeps_good_trips(spark):
     assert layers(spark, {}, profile=TripProfile(strict=True)).trips.count() == 1
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,14 +11,19 @@ from pyspark.sql import types as T
 from wayfare.schemas import MEASURE, MONEY
 
 
+# Positive values below these become zero when they are rounded.
+LEAST_MONEY = Decimal("0.005")
+LEAST_WHOLE = Decimal("0.5")
+
+
 def to_money(value: Column) -> Column:
-    """Two decimals, halves away from zero."""
-    return F.round(value.cast(MEASURE), 2).cast(MONEY)
+    """Two decimals. A decimal cast rounds halves away from zero, with whole numbers only."""
+    return value.cast(MEASURE).cast(MONEY)
 
 
 def to_whole(value: Column) -> Column:
-    """Nearest integer, halves away from zero (a plain cast would truncate)."""
-    return F.round(value.cast(MEASURE), 0).cast("int")
+    """Nearest integer, halves away from zero (a plain cast to int would truncate)."""
+    return value.cast(MEASURE).cast(T.DecimalType(12, 0)).cast("int")
 
 
 def mean(total: Column, count: Column) -> Column:

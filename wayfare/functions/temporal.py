@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayfare.schemas import MONEY
 
-_SECONDS = T.DecimalType(18, 6)
+_SECONDS = T.DayTimeIntervalType(T.DayTimeIntervalType.SECOND, T.DayTimeIntervalType.SECOND)
+
+# Shorter trips round to zero minutes.
+LEAST_DURATION = timedelta(milliseconds=300)
 
 
 def minutes_between(start: Column, end: Column) -> Column:
-    """Minutes between two times without zone, two decimals, halves away from zero.
+    """Minutes between two times without zone, two decimals, halves up.
 
-    The difference is an exact interval. It is the same in every session time zone, and
-    no floating point takes part. The quotient has nine decimals, which tells a whole
-    microsecond below half a hundredth from the half itself.
+    Spark divides intervals with whole microseconds and rounds halves up. Divided by
+    600,000 a microsecond count is hundredths of a minute; times 10,000, and read as
+    seconds, these are the minutes. No zone and no floating point takes part.
     """
-    seconds = (end - start).cast(T.DayTimeIntervalType(3, 3)).cast(_SECONDS)
-    return F.round(seconds / F.lit(60).cast(T.DecimalType(2, 0)), 2).cast(MONEY)
+    scaled = (end - start) / F.lit(600_000) * F.lit(10_000)
+    return scaled.cast(_SECONDS).cast(MONEY)
 
 
 def in_window(moment: Column, start: Column, end: Column) -> Column:

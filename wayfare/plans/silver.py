@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from wayfare.functions.cleaning import text_or
 from wayfare.functions.labels import label_of
-from wayfare.functions.numeric import to_money, to_whole
+from wayfare.functions.numeric import LEAST_MONEY, LEAST_WHOLE, to_money, to_whole
 from wayfare.functions.temporal import (
+    LEAST_DURATION,
     day_name,
     day_part,
     in_window,
@@ -60,11 +61,15 @@ def _window_rule(profile: TripProfile) -> Rule:
 
 
 def _rounding_rule() -> Rule:
-    """Positive values that the cleaned columns would show as zero."""
+    """Positive values that the cleaned columns would show as zero.
+
+    Written as bounds on the raw values, which are cheaper than rounding and reach the scan.
+    """
+    duration = F.col(_DROPOFF) - F.col(_PICKUP)
     vanishes = (
-        (to_whole(F.col("passenger_count")) <= 0)
-        | (to_money(F.col("trip_distance")) <= 0)
-        | (minutes_between(F.col(_PICKUP), F.col(_DROPOFF)) <= 0)
+        (F.col("passenger_count") < F.lit(LEAST_WHOLE))
+        | (F.col("trip_distance") < F.lit(LEAST_MONEY))
+        | (duration < F.lit(LEAST_DURATION))
     )
     return Rule(ROUNDS_TO_ZERO, vanishes)
 
