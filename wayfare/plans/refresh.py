@@ -9,7 +9,7 @@ from wayfare.plans import checks, gold, layers, silver
 from wayfare.plans.layers import Layers, StoredLayers, table_path
 from wayfare.profile import DEFAULT_PROFILE, TripProfile
 from wayfare.sources.ingest import stamped
-from wayfare.sources.sinks import write_layer
+from wayfare.sources.sinks import rebalanced, write_layer
 
 
 def refresh(
@@ -42,8 +42,15 @@ def refresh(
     size = measure_lookup(zones, "location_id")
     classified = silver.classify(bronze.raw_trips, zones, size, profile)
     put(stamped(silver.rejected_trips(classified, profile), "logged_at"), layers.ISSUES)
-    cleaned = silver.cleaned_trips(bronze.raw_trips, zones, size, profile)
-    trips = put(stamped(silver.with_trip_id(cleaned)), layers.TRIPS, partition_trips_by)
+    valid = silver.valid_trips(bronze.raw_trips, zones, size, profile)
+    unique = silver.unique_trips(silver.rounded_trips(valid), profile)
+    if partition_trips_by:
+        # Before the derived columns are added: this shuffle does not carry them either.
+        values = silver.cleaned_columns(partition_trips_by, profile)
+        unique = unique.withColumns(dict(zip(partition_trips_by, values)))
+        unique = rebalanced(unique, *partition_trips_by)
+    cleaned = silver.with_trip_id(silver.enrich_trips(unique, profile))
+    trips = put(stamped(cleaned), layers.TRIPS, partition_trips_by)
 
     by_time = put(gold.time_sums(trips), layers.TIME_SUMS)
     by_route = put(gold.route_sums(trips), layers.ROUTE_SUMS)

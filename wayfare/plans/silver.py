@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -193,19 +195,21 @@ def _derived(profile: TripProfile) -> dict[str, Column]:
     }
 
 
+def cleaned_columns(
+    names: Sequence[str], profile: TripProfile = DEFAULT_PROFILE
+) -> list[Column]:
+    """Columns of the cleaned trips, as expressions over ``unique_trips``."""
+    derived = _derived(profile)
+    return [(derived[name] if name in derived else F.col(name)).alias(name) for name in names]
+
+
 def enrich_trips(trips: DataFrame, profile: TripProfile = DEFAULT_PROFILE) -> DataFrame:
     """Add calendar parts, duration and payment name.
 
     All of them follow from other columns, so they are added after the duplicates are
     gone and the shuffle does not carry them.
     """
-    derived = _derived(profile)
-    return trips.select(
-        *[
-            (derived[name] if name in derived else F.col(name)).alias(name)
-            for name in CLEANED_TRIPS.names
-        ]
-    )
+    return trips.select(*cleaned_columns(CLEANED_TRIPS.names, profile))
 
 
 def cleaned_trips(

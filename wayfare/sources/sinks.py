@@ -10,21 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_layer(table: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Replace the stored table at ``path`` and return it as read back.
+def rebalanced(table: DataFrame, *by: str) -> DataFrame:
+    """Bring rows of the same partition value together before a partitioned write.
 
-    With ``partition_by`` the rows are rebalanced first, so that each partition gets
-    files of the advisory size: without it every task would write one small file per
-    partition value. Adaptive execution splits the partitions that come out too large.
+    Each value gets files of the advisory size: without it every task would write one
+    small file per value. Adaptive execution splits the partitions that come out too
+    large, so a value with a third of the rows is written by many tasks.
     """
-    writer = table
-    if partition_by:
-        writer = table.hint("rebalance", *[F.col(column) for column in partition_by])
-    (
-        writer.write.mode("overwrite")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    return table.hint("rebalance", *[F.col(column) for column in by])
+
+
+def write_layer(table: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Replace the stored table at ``path`` and return it as read back."""
+    table.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     # The schema is known: no file needs to be opened to find it.
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
