@@ -22,7 +22,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,10 +85,10 @@ def shingle_sets(raws: list[bytes], shingle: int) -> list[np.ndarray]:
         if last - first >= shingle:
             out.append(np.unique(full[first : last - shingle + 1]))
         else:
-            short = U64(last - first)
+            short = np.full(int(last > first), last - first, U64)
             for word in words[first:last]:
-                short = mixed(np.array([short * BASE + word]))[0]
-            out.append(np.array([short][: last > first], U64))
+                short = mixed(short * BASE + word)
+            out.append(short)
     return out
 
 
@@ -164,11 +163,9 @@ def families(classes: DataFrame) -> DataFrame:
 def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int, text: str = "text") -> DataFrame:
     """``node`` and ``shingles`` (packed hashes) of the classes in ``wanted`` (``node``,
     ``least``): the text of one document of each is read again."""
-    count = wanted.count()
-    few = F.broadcast(wanted) if count <= BROADCAST_IDS else wanted
     source = (
         docs.select(F.col("doc_id").cast("long").alias("least"), F.col(text).alias("__text"))
-        .join(few, "least")
+        .join(_few(wanted), "least")
         .select("node", "__text")
     )
 
@@ -343,5 +340,26 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, text: str =
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
+def _few(ids: DataFrame) -> DataFrame:
+    """Broadcast ids if they are few enough, else leave the join to shuffle them."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def deduplicated(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each group of near copies, the one with the least id.
+
+    Rows with a NULL id stay. Of rows that share an id one stays, if that id does.
+    """
+    found = stored(components(docs, shingle, percent).select("doc_id", "kept"))
+    least = found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
+    least = stored(least.where(F.col("doc_id").isNotNull()))
+    kept = docs.join(_few(least.where(~F.col("kept")).select("doc_id")), "doc_id", "left_anti")
+    repeated = least.where(F.col("kept") & (F.col("rows") > 1)).select("doc_id")
+    if not repeated.limit(1).count():
+        return kept
+    again = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(again.select(docs.columns))
+
+
 def query(docs: DataFrame) -> DataFrame:
     return components(docs, shingle=3, percent=85)

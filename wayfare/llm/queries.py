@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfare.llm import bpe, html_text, language, lines, near_dup, toxicity, url_filter
+from wayfare.llm import bpe, html_text, language, lines, mixing, mtree, near_dup
+from wayfare.llm import perplexity, toxicity, url_filter
 from wayfare.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,14 +36,17 @@ def ranks_path() -> str:
 def queries() -> dict[str, Query]:
     return {
         "op1_html_extraction": _over(html_text.extract, "pages"),
+        "op2_exact_top_k": _over(mtree.top_k, "embeddings"),
         "op3_toxicity": _over(toxicity.predictions, "documents", "labels"),
         "op4_quality_rules": _over(lines.verdicts, "documents", "labels"),
         "op5_url_filters": _over(url_filter.verdicts, "pages", "labels"),
         "op6_byte_bpe": _over(lambda docs: bpe.digests(docs, ranks_path()), "documents"),
+        "op7_quality_classifier": _over(perplexity.judge, "documents", "labels"),
+        "op8_source_mixing": _over(mixing.positions, "documents"),
         "op9_language_id": _over(language.predictions, "documents"),
         "op10_minhash_near_dedup": _over(near_dup.query, "documents"),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filters": url_filter.VERDICTS_SQL}
+    return {"op2_exact_top_k": mtree.TOP_K_SQL, "op5_url_filters": url_filter.VERDICTS_SQL}
