@@ -15,16 +15,18 @@ from __future__ import annotations
 import base64
 import heapq
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import chunks, texts
+from wayfare.llm.common import chunks, cut, texts
 
 # Character classes. The public split pattern knows letters, numbers, white
 # space, the rest, and the contractions 's 't 'm 'd 're 've 'll.
@@ -37,8 +39,10 @@ CONTRACTED_ONE, CONTRACTED_TWO = "stmd", {"r": "e", "v": "e", "l": "l"}
 # States: what the character before belongs to.
 STATES = START, IN_LETTERS, IN_NUMBERS, IN_OTHER, LONE_QUOTE, AFTER_SPACE, AFTER_WHITE, HALF, WHOLE = range(9)
 
-CACHED_SLICES = 400_000  # distinct slices that a worker remembers before it starts afresh
+CACHED_SLICES = 200_000  # distinct slices that a worker remembers before it starts afresh
 SCAN_WIDTH = 256
+TEXT_AT_ONCE = 1 << 20  # bytes that are encoded together, or one longer text
+TOKENS_AT_ONCE = 1 << 18  # tokens that are decoded together, or those of one longer text
 LONG_SLICE = 64  # bytes; longer slices are merged one by one with a heap
 NO_MERGE = np.iinfo(np.int32).max
 
@@ -149,28 +153,40 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
 
 
+class Decoder:
+    """The bytes of the tokens of a vocabulary."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        size = max(ranks.values()) + 1
+        self.lengths = np.zeros(size, np.int64)
+        tokens = [b""] * size
+        for token, rank in ranks.items():
+            self.lengths[rank], tokens[rank] = len(token), token
+        self.token_bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        self.token_at = np.cumsum(self.lengths) - self.lengths
+
+    def decode(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of all tokens in a row."""
+        return gathered(self.token_bytes, self.token_at[ids], self.lengths[ids])
+
+
 class Codec:
-    """Encodes and decodes texts with the ranks of a vocabulary."""
+    """Encodes texts with the ranks of a vocabulary."""
 
     def __init__(self, ranks: dict[bytes, int], cached: int = CACHED_SLICES) -> None:
         self.ranks, self.cached, self.splitter = ranks, cached, Splitter()
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        pairs = {}
+        keys, merged = array("q"), array("i")
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
-                    pairs[left << 32 | right] = rank
-        self.pair_keys = np.array(sorted(pairs), np.int64)
-        self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int32)
-        self.pairs = pairs
-        size = max(ranks.values()) + 1
-        self.lengths = np.zeros(size, np.int64)
-        tokens = [b""] * size
-        for token, rank in ranks.items():
-            self.lengths[rank], tokens[rank] = len(token), token
-        self.token_bytes = np.frombuffer(b"".join(tokens), np.uint8)
-        self.token_at = np.cumsum(self.lengths) - self.lengths
+                    keys.append(left << 32 | right)
+                    merged.append(rank)
+        order = np.argsort(np.frombuffer(keys, np.int64))
+        self.pair_keys = np.frombuffer(keys, np.int64)[order]
+        self.pair_ranks = np.frombuffer(merged, np.int32)[order]
+        self.lengths = Decoder(ranks).lengths
         self._forget()
 
     def _forget(self) -> None:
@@ -229,12 +245,13 @@ class Codec:
         def push(i: int) -> None:
             j = after[i]
             if j < size:
-                rank = self.pairs.get(ids[i] << 32 | ids[j])
-                if rank is not None:
+                rank = int(self._ranks_of(np.array([ids[i]]), np.array([ids[j]]))[0])
+                if rank < NO_MERGE:
                     heapq.heappush(heap, (rank, i, ids[i], ids[j]))
 
-        for i in range(size):
-            push(i)
+        ranks = self._ranks_of(np.array(ids[:-1]), np.array(ids[1:]))
+        for i in np.flatnonzero(ranks < NO_MERGE).tolist():
+            heapq.heappush(heap, (int(ranks[i]), i, ids[i], ids[i + 1]))
         while heap:
             rank, i, left, right = heapq.heappop(heap)
             j = after[i]
@@ -302,10 +319,6 @@ class Codec:
         offsets -= np.repeat(first, per_text)
         return ids, per_text, offsets
 
-    def decode(self, ids: np.ndarray) -> np.ndarray:
-        """The bytes of all tokens in a row."""
-        return gathered(self.token_bytes, self.token_at[ids], self.lengths[ids])
-
 
 def gathered(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The runs ``values[start : start + count]``, one after the other."""
@@ -319,6 +332,11 @@ def codec(path: str, cached: int) -> Codec:
     return Codec(read_ranks(path), cached)
 
 
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    return Decoder(read_ranks(path))
+
+
 def encode(
     docs: DataFrame,
     path: str,
@@ -335,7 +353,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path, cached)
-        for batch in chunks(batches, "__text"):
+        for batch in chunks(batches, "__text", TEXT_AT_ONCE):
             ids, per_text, offsets = coder.encode(texts(batch, "__text"))
             ends = np.concatenate(([0], np.cumsum(per_text))).astype(np.int32)
             lists = [pa.ListArray.from_arrays(ends, x.astype(np.int32)) for x in (ids, offsets)]
@@ -355,27 +373,27 @@ def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = codec(path, CACHED_SLICES)
+        coder = decoder(path)
         for whole in batches:
-            for first in range(0, whole.num_rows, 256):
-                batch = whole.slice(first, 256)
-                tokens = batch.column(len(keep))
+            sizes = pc.fill_null(pc.list_value_length(whole.column(len(keep))), 0)
+            for batch in cut(whole, sizes.to_numpy(False), TOKENS_AT_ONCE):
+                tokens, offsets = batch.column(len(keep)), batch.column(len(keep) + 1)
+                counts = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(False)
                 ids = tokens.flatten().to_numpy(False)
-                counts = np.array([0 if x is None else x for x in pa.compute.list_value_length(tokens).to_pylist()])
                 lengths = coder.lengths[ids]
-                sizes = np.zeros(len(counts), np.int64)
-                np.add.at(sizes, np.repeat(np.arange(len(counts)), counts), lengths)
+                owner = np.repeat(np.arange(len(counts)), counts)
+                sizes = np.bincount(owner, lengths, len(counts)).astype(np.int64)
                 starts = np.cumsum(sizes) - sizes
-                at = batch.column(len(keep) + 1).flatten().to_numpy(False) + np.repeat(starts, counts)
+                at = offsets.flatten().to_numpy(False) + starts[owner]
                 out = np.zeros(int(sizes.sum()), np.uint8)
-                where = np.arange(len(out)) + np.repeat(at - (np.cumsum(lengths) - lengths), lengths)
-                out[where] = coder.decode(ids)
+                shift = at - (np.cumsum(lengths) - lengths)
+                out[np.arange(len(out)) + np.repeat(shift, lengths)] = coder.decode(ids)
                 ends = np.concatenate((starts, [len(out)])).astype(np.int32)
-                bytes_of = pa.Array.from_buffers(
+                decoded = pa.Array.from_buffers(
                     pa.binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(out)]
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:-1], bytes_of], [*keep, "tokens", "decoded"]
+                    [*batch.columns[:-1], decoded], [*keep, "tokens", "decoded"]
                 )
 
     source = encoded.select(*keep, "tokens", "offsets")

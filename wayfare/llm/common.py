@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 4 << 20  # text that a task handles at a time; one longer text is a chunk of its own
+CHUNK_BYTES = 2 << 20  # text that a task handles at a time; one longer text is a chunk of its own
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,14 +68,19 @@ def chunks(
 ) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the text of a part is at most ``limit`` bytes, or one row."""
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(False)
-        ends = np.cumsum(sizes, dtype=np.int64)
-        start = 0
-        while start < batch.num_rows:
-            before = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
-            yield batch.slice(start, stop - start)
-            start = stop
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+        yield from cut(batch, sizes.to_numpy(False), limit)
+
+
+def cut(batch: pa.RecordBatch, sizes: np.ndarray, limit: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose ``sizes`` add up to at most ``limit``, or one row."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
 
 
 def texts(batch: pa.RecordBatch, column: str) -> list[str]:
