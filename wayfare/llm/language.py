@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from wayfare.llm.common import chunks, held_out, texts
 
 SAMPLE_DOCS = 300  # documents of each language that a dictionary is made from
+SAMPLE_PARTS = 16  # parts of a language that are searched for its sample
 SAMPLE_CHARS = 1_000  # longest piece of one of them
 DICTIONARY_BYTES = 112 << 10
 BLOCK_BYTES = 8 << 10
@@ -43,14 +44,15 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
         & ~held_out(F.col("doc_id"))
     )
     first = F.greatest(F.lit(1), ((F.length("text") - SAMPLE_CHARS) / 2).cast("int"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "piece")
-    rows = (
-        usable.select("doc_id", "lang", F.substring("text", first, F.lit(SAMPLE_CHARS)).alias("piece"))
-        .withColumn("n", F.row_number().over(order))
-        .where(F.col("n") <= SAMPLE_DOCS)
-        .select("lang", "n", "piece")
-        .collect()
+    # The least hashes of ids, in two steps, so that no task gets all ids of a language.
+    ids = usable.select("lang", "doc_id", F.xxhash64("doc_id").alias("h")).distinct()
+    for keys in (["lang", F.pmod(F.col("h"), F.lit(SAMPLE_PARTS))], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy("h", "doc_id")
+        ids = ids.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_DOCS)
+    pieces = usable.select(
+        "doc_id", "lang", F.substring("text", first, F.lit(SAMPLE_CHARS)).alias("piece")
     )
+    rows = pieces.join(F.broadcast(ids.select("lang", "doc_id", "n")), ["lang", "doc_id"]).collect()
     found: dict[str, list[tuple[int, str]]] = {}
     for row in rows:
         found.setdefault(row["lang"], []).append((row["n"], row["piece"]))

@@ -20,7 +20,7 @@ from wayfare.llm.common import chunks, held_out, texts
 SYMBOLS = b"#*$%&|<>"  # fixed value of the contract
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 WINDOW = 5
-SAMPLE_OF_EACH = 3000  # labelled documents of each quality that the fit uses
+SAMPLE_OF_EACH = 2500  # labelled documents of each quality that the fit uses
 SAMPLE_CHARS = 20_000  # longest of them
 SAMPLE_LINES = 64  # most lines of them
 LEAST_CONTENT = 0.5  # share of words in content lines that a kept text has
@@ -149,7 +149,7 @@ class Field:
         return np.array(path[::-1])
 
 
-def fit(sequences: list[tuple[np.ndarray, int]], rounds: int = 150) -> Field:
+def fit(sequences: list[tuple[np.ndarray, int]], rounds: int = 100) -> Field:
     """Maximum likelihood (with a small Gaussian prior) over sequences whose lines all carry
     the label of their document; both labels count alike.
 

@@ -24,6 +24,7 @@ SAMPLE_OF_EACH = (2000, 4000)  # labelled rows to fit on: toxic, not toxic
 SAMPLE_CHARS = 20_000  # longest text in that sample
 LEAST_RATIO = 0.7  # features nearer to even odds than this are left out of the fit
 LEAST_DOCS = 3
+FITTED_AT_ONCE = 100  # texts whose features the fit works out together
 MIXED = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -62,14 +63,18 @@ def fit(batch: list[str], toxic: np.ndarray, rounds: int = 60) -> Model:
     positives, negatives = int(toxic.sum()), int((1 - toxic).sum())
     if not positives or not negatives:
         return Model(weights, -8.0 if not positives else 8.0)
-    parts = [features(batch[i : i + 500], None) for i in range(0, len(batch), 500)]
-    docs = np.concatenate([d + i * 500 for i, (d, _) in enumerate(parts)])
-    buckets = np.concatenate([b for _, b in parts])
-    counts = [np.bincount(buckets[toxic[docs] == k], minlength=BUCKETS) for k in (0, 1)]
+    counts = [np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)]
+    parts = []
+    for first in range(0, len(batch), FITTED_AT_ONCE):
+        d, b = features(batch[first : first + FITTED_AT_ONCE], None)
+        d += first
+        for k in (0, 1):
+            counts[k] += np.bincount(b[toxic[d] == k], minlength=BUCKETS)
+        parts.append((d.astype(np.int32), b.astype(np.int32)))
     ratio = np.log((counts[1] + 1) / (positives + 2)) - np.log((counts[0] + 1) / (negatives + 2))
     used = (np.abs(ratio) >= LEAST_RATIO) & (counts[0] + counts[1] >= LEAST_DOCS)
-    keep = used[buckets]
-    docs, buckets = docs[keep], buckets[keep]
+    parts = [(d[used[b]], b[used[b]]) for d, b in parts]
+    docs, buckets = (np.concatenate(x) for x in zip(*parts))
     columns, local = np.unique(buckets, return_inverse=True)
     scale = ratio[columns]
     values = scale[local]
