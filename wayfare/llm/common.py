@@ -88,6 +88,14 @@ def texts(batch: pa.RecordBatch, column: str) -> list[str]:
     return pc.fill_null(batch.column(column), "").to_pylist()
 
 
+BROADCAST_IDS = 4_000_000  # ids (32 MB) that are sent to all tasks; more are joined by shuffle
+
+
+def few(ids: DataFrame) -> DataFrame:
+    """A table of ids to join with: broadcast if counted to be few, else left to a shuffle."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def tasks_for(total: int, per_task: int) -> int:
     """Number of partitions so that each gets about ``per_task`` of ``total``."""
     return max(1, -(-int(total) // per_task))

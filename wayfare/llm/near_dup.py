@@ -25,12 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import chunks, stored
+from wayfare.llm.common import chunks, few, stored
 
 BANDS, ROWS = 36, 6
 SIGNATURE_SLACK = 0.14  # a pair is ruled out if signatures agree that much less than asked
 BLOCK_SHINGLES = 400_000  # shingles of the sets that a task compares at a time, about
-BROADCAST_IDS = 2_000_000  # ids (16 MB) that are sent to all tasks; more are joined by shuffle
 U64 = np.uint64
 BASE = U64(0x9E3779B97F4A7C15)
 INVERSE = U64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -165,7 +164,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int, text: str = "text"
     ``least``): the text of one document of each is read again."""
     source = (
         docs.select(F.col("doc_id").cast("long").alias("least"), F.col(text).alias("__text"))
-        .join(_few(wanted), "least")
+        .join(few(wanted), "least")
         .select("node", "__text")
     )
 
@@ -340,11 +339,6 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, text: str =
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
-def _few(ids: DataFrame) -> DataFrame:
-    """Broadcast ids if they are few enough, else leave the join to shuffle them."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-
-
 def deduplicated(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group of near copies, the one with the least id.
 
@@ -353,7 +347,7 @@ def deduplicated(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFr
     found = stored(components(docs, shingle, percent).select("doc_id", "kept"))
     least = found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
     least = stored(least.where(F.col("doc_id").isNotNull()))
-    kept = docs.join(_few(least.where(~F.col("kept")).select("doc_id")), "doc_id", "left_anti")
+    kept = docs.join(few(least.where(~F.col("kept")).select("doc_id")), "doc_id", "left_anti")
     repeated = least.where(F.col("kept") & (F.col("rows") > 1)).select("doc_id")
     if not repeated.limit(1).count():
         return kept

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfare.llm.common import held_out, stored, tasks_for
+from wayfare.llm.common import few, held_out, stored, tasks_for
 
 ORDER = 4
 BLOCK_CHARS = 12 << 20  # text of a block
@@ -254,7 +254,8 @@ def judged_rows(
 ) -> DataFrame:
     """Columns ``keep`` (``doc_id`` and ``lang`` among them), ``__bytes``, ``__log`` (minus the
     mean log probability of a byte) and ``__kept`` of every row; see ``judge``."""
-    good = labels.where(F.col("quality") == 1).select("doc_id").distinct()
+    # The ids are small, so the text is not shuffled to find what is trusted.
+    good = few(labels.where(F.col("quality") == 1).select("doc_id").distinct())
     trusted = docs.select("doc_id", F.col(text).alias("text")).join(good, "doc_id", "left_semi")
     model = fit(trusted.where(~held_out(F.col("doc_id"))), order)
     found = stored(scored(docs, model, text, keep))
