@@ -22,12 +22,14 @@ SHINGLE, PERCENT = 5, 80
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose perplexity is above what trusted text of their language has."""
+    ship(spark)
     judged = perplexity.judged_rows(docs, table(spark, sf_dir, "labels"), keep=tuple(COLUMNS))
     return judged.where("__kept").select(COLUMNS)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents with a toxicity of at least ``TOXIC_FROM``."""
+    ship(spark)
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score(docs.select(COLUMNS), model, keep=tuple(COLUMNS))
     return scored.where(F.col("score") < TOXIC_FROM).select(COLUMNS)
@@ -35,26 +37,31 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies keep the document with the least id."""
+    ship(spark)
     return near_dup.deduplicated(docs.select(COLUMNS), SHINGLE, PERCENT)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in an order that interleaves the sources by their target weights."""
+    ship(spark)
     return mixing.mixed(docs.select(COLUMNS))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text; ``round_trip`` says that decoding gives the text again."""
+    ship(spark)
     path = ranks_path()
-    kept = ("doc_id", "source", "text")
-    encoded = bpe.encode(docs.withColumn("__input", F.col("text")), path, text="__input", keep=kept)
-    decoded = bpe.decode(encoded, path, keep=kept)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    # A digest goes along instead of a second copy of the text.
+    marked = docs.select("doc_id", "source", F.sha2(text, 256).alias("digest"), "text")
+    kept = ("doc_id", "source", "digest")
+    decoded = bpe.decode(bpe.encode(marked, path, keep=kept), path, keep=kept)
     return decoded.select(
         "doc_id",
         "source",
         "tokens",
         F.size("tokens").cast("long").alias("n_tokens"),
-        (F.coalesce(F.col("text"), F.lit("")).cast("binary") == F.col("decoded")).alias("round_trip"),
+        (F.sha2("decoded", 256) == F.col("digest")).alias("round_trip"),
     )
 
 
@@ -72,7 +79,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
-    ship(spark)
     docs = table(spark, sf_dir, "documents")
     folder = shared_path(spark)
     for number, (_, stage) in enumerate(STAGES):

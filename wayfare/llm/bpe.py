@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import chunks, cut, texts
+from wayfare.llm.common import chunks, cut, released, texts
 
 # Character classes. The public split pattern knows letters, numbers, white
 # space, the rest, and the contractions 's 't 'm 'd 're 've 'll.
@@ -41,7 +41,7 @@ STATES = START, IN_LETTERS, IN_NUMBERS, IN_OTHER, LONE_QUOTE, AFTER_SPACE, AFTER
 
 CACHED_SLICES = 200_000  # distinct slices that a worker remembers before it starts afresh
 SCAN_WIDTH = 256
-TEXT_AT_ONCE = 1 << 20  # bytes that are encoded together, or one longer text
+TEXT_AT_ONCE = 1 << 19  # bytes that are encoded together, or one longer text
 TOKENS_AT_ONCE = 1 << 18  # tokens that are decoded together, or those of one longer text
 LONG_SLICE = 64  # bytes; longer slices are merged one by one with a heap
 NO_MERGE = np.iinfo(np.int32).max
@@ -187,9 +187,9 @@ class Codec:
         self.pair_keys = np.frombuffer(keys, np.int64)[order]
         self.pair_ranks = np.frombuffer(merged, np.int32)[order]
         self.lengths = Decoder(ranks).lengths
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.ids, self.counts = np.empty(0, np.int32), np.empty(0, np.int64)
 
@@ -302,7 +302,7 @@ class Codec:
         cuts = [*begins.tolist(), len(raw)]
         slices = [raw[a:b] for a, b in pairwise(cuts)]
         if len(self.known) > self.cached:
-            self._forget()
+            self.forget()
         missing = [x for x in dict.fromkeys(slices) if x not in self.known]
         if missing:
             self._learn(missing)
@@ -363,7 +363,7 @@ def encode(
 
     source = docs.select(*keep, F.col(text).alias("__text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1])
-    return source.mapInArrow(run, f"{fields}, tokens array<int>, offsets array<int>")
+    return source.mapInArrow(released(run), f"{fields}, tokens array<int>, offsets array<int>")
 
 
 def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -398,7 +398,7 @@ def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -
 
     source = encoded.select(*keep, "tokens", "offsets")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1])
-    return source.mapInArrow(run, f"{fields}, decoded binary")
+    return source.mapInArrow(released(run), f"{fields}, decoded binary")
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import chunks, texts
+from wayfare.llm.common import chunks, released, texts
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes noscript".split())
@@ -345,4 +345,4 @@ def extract(
 
     source = pages.select(*keep, F.col(page).alias("__page"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1])
-    return source.mapInArrow(run, f"{fields}, text string, n_chars bigint")
+    return source.mapInArrow(released(run), f"{fields}, text string, n_chars bigint")

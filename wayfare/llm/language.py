@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import chunks, held_out, texts
+from wayfare.llm.common import chunks, held_out, released, texts
 
 SAMPLE_DOCS = 300  # documents of each language that a dictionary is made from
 SAMPLE_PARTS = 16  # parts of a language that are searched for its sample
@@ -128,7 +128,7 @@ def predict(
 
     source = docs.select(*keep, F.col(text).alias("__text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1])
-    return source.mapInArrow(run, f"{fields}, lang_pred string, score double, rejected boolean")
+    return source.mapInArrow(released(run), f"{fields}, lang_pred string, score double, rejected boolean")
 
 
 def predictions(docs: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import chunks, held_out, texts
+from wayfare.llm.common import chunks, held_out, released, texts
 
 SYMBOLS = b"#*$%&|<>"  # fixed value of the contract
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -269,7 +269,7 @@ def judge(
     source = docs.select(*keep, F.col(text).alias("__text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1])
     counted = ", ".join(f"{x} bigint" for x in names)
-    found = source.mapInArrow(run, f"{fields}, {counted}, content_share double")
+    found = source.mapInArrow(released(run), f"{fields}, {counted}, content_share double")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return found.withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (F.col("content_share") >= LEAST_CONTENT)

@@ -27,6 +27,7 @@ BLOCK_DOCS = 16
 PERIOD = 1000  # slots; the parts of the sources add up to it
 TEMPERATURE = 0.5  # without given weights, the power of a source's documents
 NUMBERED_AT_ONCE = 20_000  # documents that a task numbers, about
+DOCS_OF_A_FILE = 4_000  # documents in a file of the mixed table, about
 MOST_SOURCES = 2_000  # sources a mixture can have; their schedule is broadcast
 
 
@@ -196,5 +197,5 @@ def mixed(docs: DataFrame, weights: Mapping[str | None, float] | None = None) ->
     right = order.select(F.col("doc_id").alias("__id"), F.col("__turn").alias("__at"), "position")
     joined = left.join(right, left["doc_id"].eqNullSafe(right["__id"]) & (left["__turn"] == right["__at"]))
     total = order.count()
-    ordered = joined.repartitionByRange(tasks_for(total, NUMBERED_AT_ONCE), "position")
+    ordered = joined.repartitionByRange(tasks_for(total, DOCS_OF_A_FILE), "position")
     return ordered.sortWithinPartitions("position").select(*docs.columns)

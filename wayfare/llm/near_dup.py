@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import chunks, few, stored
+from wayfare.llm.common import chunks, few, released, stored
 
 BANDS, ROWS = 36, 6
 SIGNATURE_SLACK = 0.14  # a pair is ruled out if signatures agree that much less than asked
@@ -44,7 +44,7 @@ _POWERS = [np.ones(1, U64), np.ones(1, U64)]
 
 def _powers(size: int) -> list[np.ndarray]:
     if len(_POWERS[0]) < size:
-        size = 1 << size.bit_length()
+        size += size >> 4
         for n, base in enumerate((BASE, INVERSE)):
             steps = np.full(size, base, U64)
             steps[0] = 1
@@ -141,7 +141,7 @@ def described(docs: DataFrame, shingle: int, text: str = "text") -> DataFrame:
             )
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("__text"))
-    return source.mapInArrow(run, "doc_id bigint, n_shingles bigint, node bigint, bands array<bigint>")
+    return source.mapInArrow(released(run), "doc_id bigint, n_shingles bigint, node bigint, bands array<bigint>")
 
 
 def families(classes: DataFrame) -> DataFrame:
@@ -182,7 +182,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int, text: str = "text"
             )
 
     return stored(
-        source.mapInArrow(run, "node bigint, shingles binary").dropDuplicates(["node"])
+        source.mapInArrow(released(run), "node bigint, shingles binary").dropDuplicates(["node"])
     )
 
 
@@ -270,7 +270,7 @@ def links_of(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int)
             found += _forest(nodes, sets, key[0], percent)
         yield batch_of()
 
-    return stored(dealt.mapInArrow(run, "src bigint, dst bigint").distinct())
+    return stored(dealt.mapInArrow(released(run), "src bigint, dst bigint").distinct())
 
 
 def connected(links: DataFrame) -> DataFrame:

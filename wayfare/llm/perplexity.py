@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfare.llm.common import few, held_out, stored, tasks_for
+from wayfare.llm.common import few, held_out, release, released, stored, tasks_for
 
 ORDER = 4
 BLOCK_CHARS = 12 << 20  # text of a block
@@ -72,7 +72,7 @@ def counts(docs: DataFrame, order: int, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys[part]), pa.array(sums[part])], ["key", "n"])
 
     source = docs.select(F.col(text).alias("__text"))
-    return source.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    return source.mapInArrow(released(run), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def discounts(table: DataFrame) -> tuple[float, float, float]:
@@ -197,7 +197,7 @@ def scored(
     pairs = T.StructType(
         [T.StructField("block", T.IntegerType(), False), T.StructField("key", T.LongType(), False)]
     )
-    asked = dealt.mapInArrow(distinct, pairs).repartition(shards, "key")
+    asked = dealt.mapInArrow(released(distinct), pairs).repartition(shards, "key")
     answers = log_probabilities(asked.select("key").distinct(), model)
     replies = asked.join(answers, "key")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema[:-1])
@@ -215,6 +215,8 @@ def scored(
             sums.append(float((logs[np.searchsorted(keys, own[first])] * n).sum()))
             sizes.append(len(raw))
         columns = [left.column(c) for c in keep]
+        del keys, logs, by
+        release()
         return pa.table(
             [*columns, pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())],
             names=[*keep, "n_bytes", "log_p"],

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import chunks, held_out, texts
+from wayfare.llm.common import chunks, held_out, released, texts
 
 ORDERS = (3, 4, 5)
 BUCKETS = 1 << 21
@@ -145,7 +145,7 @@ def score(
 
     source = docs.select(*keep, F.col(text).alias("__text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1])
-    return source.mapInArrow(run, f"{fields}, score double")
+    return source.mapInArrow(released(run), f"{fields}, score double")
 
 
 def predictions(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
