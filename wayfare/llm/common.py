@@ -24,6 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _SHIPPED: set[str] = set()
+_LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -47,14 +48,17 @@ def held_out(doc_id: Column) -> Column:
 def shared_path(spark: SparkSession) -> str:
     """A new folder below the one that the cluster names for intermediate tables.
 
-    The setting is only given here where it is unset and all tasks run on this machine.
+    Only where the setting is unset and all tasks run on this machine, as in tests, a folder
+    of its own is made for the application.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="wayfare-llm-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if context.applicationId not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="wayfare-llm-")
+        base = _LOCAL_FOLDERS[context.applicationId]
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 

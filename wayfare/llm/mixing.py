@@ -184,18 +184,20 @@ def positions(
 
 def mixed(docs: DataFrame, weights: Mapping[str | None, float] | None = None) -> DataFrame:
     """``docs``, all rows and columns, as a table whose files are in the order of the mixture."""
-    order = stored(positions(docs, weights).select("doc_id", "position"))
+    order = stored(
+        positions(docs, weights).select("doc_id", F.col("position").alias("__position"))
+    )
     repeated = order.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     if repeated.limit(1).count():
         # Rows with one id: each takes one of its places.
-        one = Window.partitionBy("doc_id").orderBy("position")
+        one = Window.partitionBy("doc_id").orderBy("__position")
         order = order.withColumn("__turn", F.row_number().over(one))
         two = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
         left = docs.withColumn("__turn", F.row_number().over(two))
     else:
         order, left = order.withColumn("__turn", F.lit(1)), docs.withColumn("__turn", F.lit(1))
-    right = order.select(F.col("doc_id").alias("__id"), F.col("__turn").alias("__at"), "position")
+    right = order.select(F.col("doc_id").alias("__id"), F.col("__turn").alias("__at"), "__position")
     joined = left.join(right, left["doc_id"].eqNullSafe(right["__id"]) & (left["__turn"] == right["__at"]))
     total = order.count()
-    ordered = joined.repartitionByRange(tasks_for(total, DOCS_OF_A_FILE), "position")
-    return ordered.sortWithinPartitions("position").select(*docs.columns)
+    ordered = joined.repartitionByRange(tasks_for(total, DOCS_OF_A_FILE), "__position")
+    return ordered.sortWithinPartitions("__position").select(*docs.columns)

@@ -311,8 +311,9 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, text: str =
     Two documents are linked when ``percent`` of the union of their shingle sets is in both;
     ``component_id`` is the least ``doc_id`` that can be reached over links. A NULL or empty
     text, or one of white space, has no shingles and is linked with nothing. Rows that repeat
-    an id count as documents of their own; a NULL id is never the least of a component, and
-    such a row is not kept. Other columns are not read.
+    an id count as documents of their own; a NULL id is never the least of a component, such a
+    row is not kept, and texts that only such rows have are linked with nothing. Other columns
+    are not read.
     """
     rows = stored(described(docs, shingle, text))
     filled = rows.where(F.col("node").isNotNull())

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from wayfare.llm.common import few, held_out, release, released, stored, tasks_for
 
 ORDER = 4
-BLOCK_CHARS = 12 << 20  # text of a block
+BLOCK_CHARS = 8 << 20  # text of a block
 MIDDLE, UPPER = 0.5, 0.99  # quantiles of log perplexity
 MARGIN = 1.5  # times the distance of the quantiles is allowed above the upper one
 TYPICAL_BYTES = 50  # bytes of typical text that each text is filled up with when it is judged
@@ -232,9 +232,10 @@ def scored(
 def limits(trusted: DataFrame) -> DataFrame:
     """For each language and for all (NULL): the middle and the highest log perplexity kept.
 
-    Exact quantiles would need a sort of each language; ``percentile_approx`` sketches merge.
+    Values are rounded to a thousandth: then the mergeable sketches of ``percentile_approx``
+    have room for every value that occurs, and the quantiles are exact and repeatable.
     """
-    value = -F.col("log_p") / (F.col("n_bytes") + 1)
+    value = F.round(-F.col("log_p") / (F.col("n_bytes") + 1), 3)
     each = trusted.where("n_bytes > 0").select("lang", value.alias("v"))
     both = each.where("lang is not null").withColumn("of", F.col("lang")).unionByName(
         each.withColumn("of", F.lit(None).cast("string"))
