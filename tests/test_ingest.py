@@ -6,8 +6,8 @@ from decimal import Decimal
 import pytest
 from pyspark.errors import AnalysisException
 
-from wayfare.schemas import RAW_TRIPS, RAW_ZONES
-from wayfare.sources.ingest import read_trips, read_zones
+from wayfare.schemas import RAW_TRIPS, RAW_ZONES, TRIP_RENAMES
+from wayfare.sources.ingest import align, read_trips, read_zones
 
 TIMES = "tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz"
 MOMENT = datetime(2026, 1, 1)
@@ -52,6 +52,29 @@ def test_wildcard_reads_all_matches(spark, folder):
     assert read_trips(spark, str(folder / "a" / "*.parquet")).count() == 1
 
 
+def test_wildcard_keeps_columns_that_only_some_files_have(spark, tmp_path):
+    """A column that only the later file has, one whose type differs, and both at once."""
+    for name, columns, row in (
+        ("2024-12", "VendorID long, fare_amount double", (1, 2.5)),
+        ("2025-01", "VendorID int, fare_amount double, cbd_congestion_fee double", (2, 3.5, 0.75)),
+        ("2025-02", "VendorID long, fare_amount long, cbd_congestion_fee double", (3, 4, 1.25)),
+    ):
+        spark.createDataFrame([row], columns).coalesce(1).write.parquet(str(tmp_path / name))
+    expected = {1: ("2.5", "None"), 2: ("3.5", "0.75"), 3: ("4", "1.25")}
+    for vendors, pattern in ((expected, "*"), ([1, 2], "202[45]-{12,01}"), ([2, 3], "2025-*")):
+        rows = read_trips(spark, str(tmp_path / pattern)).collect()
+        got = {r.vendor_id: (r.fare_amount, r.cbd_congestion_fee) for r in rows}
+        assert got == {
+            v: tuple(None if x == "None" else Decimal(x) for x in expected[v]) for v in vendors
+        }
+
+
+def test_two_columns_of_one_name_are_an_error(spark):
+    table = spark.createDataFrame([(1, 2)], "VendorID int, vendor_id int")
+    with pytest.raises(ValueError, match="both vendor_id"):
+        align(table, RAW_TRIPS, TRIP_RENAMES)
+
+
 def test_no_match_is_an_error(spark, folder):
     with pytest.raises(AnalysisException):
         read_trips(spark, str(folder / "none*.parquet"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,10 +22,15 @@ def align(
 
     Source names are renamed, then lower-cased. Columns that are missing become NULL,
     others are left out. NaN becomes NULL. One projection, so the scan reads only the
-    columns that are used later.
+    columns that are used later. Two source columns that come to the same name are an error.
     """
     renames = renames or {}
-    found = {renames.get(field.name, field.name).lower(): field for field in table.schema.fields}
+    found: dict[str, T.StructField] = {}
+    for field in table.schema.fields:
+        name = renames.get(field.name, field.name).lower()
+        if name in found and name in schema.names:
+            raise ValueError(f"columns {found[name].name} and {field.name} are both {name}")
+        found[name] = field
     columns = []
     for field in schema.fields:
         source = found.get(field.name)
@@ -43,14 +50,30 @@ def with_source_file(table: DataFrame) -> DataFrame:
 def read_trips(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Trip files (Parquet). A path may hold wildcards, all files it matches are read.
 
-    Give files whose column types differ as a list of paths: each path is aligned on its
-    own. A path that matches nothing is an error.
+    Files may differ in their columns and in the types of them: each row is aligned as if
+    its file had been read alone. A path that matches nothing is an error.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    parts = [
-        align(with_source_file(spark.read.parquet(path)), RAW_TRIPS, TRIP_RENAMES) for path in paths
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    parts = [part for path in paths for part in _of_one_schema(spark, path)]
+    aligned = [align(with_source_file(part), RAW_TRIPS, TRIP_RENAMES) for part in parts]
+    return reduce(DataFrame.unionByName, aligned)
+
+
+def _of_one_schema(spark: SparkSession, path: str) -> list[DataFrame]:
+    """The files of ``path``, as few tables as their column types allow.
+
+    Schemas are merged by Spark from all footers. If a column has different types, files of
+    the same schema are read together; that looks at one footer per file from the driver.
+    """
+    try:
+        return [spark.read.option("mergeSchema", True).parquet(path)]
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+    groups: dict[str, list[str]] = {}
+    for file in sorted(spark.read.parquet(path).inputFiles()):
+        groups.setdefault(spark.read.parquet(file).schema.json(), []).append(file)
+    return [spark.read.parquet(*files) for files in groups.values()]
 
 
 def read_zones(spark: SparkSession, path: str, na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
