@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wayfare.session import CLUSTER_SETTINGS, SETTINGS, chosen_settings
 from wayfare.functions.cleaning import nan_to_null, text_or, tokens_to_null
 from wayfare.functions.labels import label_of
 from wayfare.functions.numeric import (
@@ -140,3 +141,11 @@ def test_minutes_ignore_daylight_saving(spark):
         assert minutes(spark, datetime(2026, 3, 8, 1), datetime(2026, 3, 8, 2, 30)) == Decimal("90.00")
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_settings_follow_the_master_and_the_user():
+    zone = "spark.sql.session.timeZone"
+    assert chosen_settings("local[8]", set()) == SETTINGS
+    for master in ("yarn", "k8s://x", "spark://h:1", "local-cluster[2,1,1024]"):
+        assert chosen_settings(master, set()) == CLUSTER_SETTINGS
+        assert chosen_settings(master, {zone}) == {k: v for k, v in CLUSTER_SETTINGS.items() if k != zone}

@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 from wayfare.plans.exports import named_reports
 from wayfare.plans.refresh import publish, refresh
 from wayfare.profile import DEFAULT_PROFILE, TripProfile
-from wayfare.session import SETTINGS
+from wayfare.session import apply_settings
 from wayfare.sources.ingest import read_trips, read_zones
 from wayfare.sources.sinks import export_reports
 
@@ -31,10 +31,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--strict", action="store_true", help="fail when a value rounds to zero")
     options = parser.parse_args(argv)
 
-    builder = SparkSession.builder.appName("wayfare")
-    for key, value in SETTINGS.items():
-        builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+    spark = SparkSession.builder.appName("wayfare").getOrCreate()
+    apply_settings(spark)
     profile = TripProfile(
         window_start=options.start,
         window_end=options.end,

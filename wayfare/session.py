@@ -26,6 +26,21 @@ CLUSTER_SETTINGS = {
 }
 
 
+def chosen_settings(master: str, given: set[str]) -> dict[str, str]:
+    """Settings to apply to a session: those of a cluster unless all tasks run on this
+    machine, and none that the user has ``given``."""
+    alone = master == "local" or master.startswith("local[")
+    settings = SETTINGS if alone else CLUSTER_SETTINGS
+    return {key: value for key, value in settings.items() if key not in given}
+
+
+def apply_settings(spark: SparkSession) -> None:
+    context = spark.sparkContext
+    given = {key for key, _ in context.getConf().getAll()}
+    for key, value in chosen_settings(context.master, given).items():
+        spark.conf.set(key, value)
+
+
 def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
     """A session on this machine, for tests and benchmarks."""
     partitions = "8" if cores == "*" else str(cores)
