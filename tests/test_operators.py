@@ -2,6 +2,7 @@
 
 from collections import Counter
 from datetime import date, timedelta
+from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -189,3 +190,22 @@ def test_row_conservation(spark):
     )
     bad = audit.row_conservation(spark.range(11), spark.range(4), spark.range(3), copies).first()
     assert bad.status == "FAILED"
+
+
+def test_equal_values_are_not_above_their_mean(spark):
+    table = spark.createDataFrame(
+        [(1, Decimal("0.10"))] * 3 + [(2, Decimal("0.10")), (2, Decimal("0.11"))],
+        "g long, v decimal(12,2)",
+    )
+    for size in (SMALL, LARGE):
+        above = reports.above_group_mean(table, "g", "v", "m", size)
+        assert [(r["g"], r["v"]) for r in above.collect()] == [(2, Decimal("0.11"))]
+
+
+def test_a_share_of_exactly_the_bound_is_not_below_it(spark):
+    table = spark.createDataFrame(
+        [("a", Decimal("0.30")), ("b", Decimal("0.29")), ("c", Decimal("5.41"))],
+        "name string, v decimal(22,2)",
+    )
+    assert rows(reports.below_share(table, "v", Decimal("0.05")).select("name")) == [("b",)]
+    assert rows(reports.below_share(table.limit(0), "v", Decimal("0.05"))) == []

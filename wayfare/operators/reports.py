@@ -8,6 +8,7 @@ row count is set by the calendar or by the zone list and does not grow with the
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -114,6 +115,12 @@ def share_of_total(table: DataFrame, value: str, share: str) -> DataFrame:
     return table.withColumn(share, F.try_divide(F.col(value).cast("double"), total.scalar()))
 
 
+def below_share(table: DataFrame, value: str, share: Decimal) -> DataFrame:
+    """Rows with less than ``share`` of the grand total, compared without dividing."""
+    total = table.agg(F.sum(value))
+    return table.where(F.col(value) < total.scalar() * F.lit(share))
+
+
 def outliers(table: DataFrame, value: str, deviations: float = 2.0, floor: float = 0.0) -> DataFrame:
     """Rows further than ``deviations`` population standard deviations from the mean.
 
@@ -135,8 +142,9 @@ def above_group_mean(
     holds a third of the rows. ``size`` is the measured size of the lookup table that
     bounds the number of groups.
     """
-    means = table.groupBy(group).agg(
-        (F.sum(value).cast("double") / F.count(value)).alias(mean)
-    )
+    sums = table.groupBy(group).agg(F.sum(value).alias("__sum"), F.count(value).alias("__count"))
+    means = sums.withColumn(mean, F.col("__sum").cast("double") / F.col("__count"))
     joined = lookup_join(table, means, group, "inner", size)
-    return joined.where(F.col(value).cast("double") > F.col(mean))
+    # Compared without dividing: values equal to the mean are not above it.
+    above = joined.where(F.col(value) * F.col("__count") > F.col("__sum"))
+    return above.drop("__sum", "__count")

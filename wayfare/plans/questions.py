@@ -5,6 +5,8 @@ Ties are broken by the key of the mart (or of the trip), so a top-k is always th
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -166,11 +168,11 @@ def long_trips(layers: Layers, k: int = 100) -> DataFrame:
     )
 
 
-def small_boroughs(layers: Layers, below: float = 0.05) -> DataFrame:
+def small_boroughs(layers: Layers, below: Decimal = Decimal("0.05")) -> DataFrame:
     """Q17: pickup boroughs with a small share of the revenue."""
     boroughs = gold.borough_sums(layers.route_sums, layers.zones)
     shares = reports.share_of_total(boroughs, "total_revenue", "revenue_share")
-    return shares.where(F.col("revenue_share") < below).orderBy(
+    return reports.below_share(shares, "total_revenue", below).orderBy(
         *reports.ascending("revenue_share", "pickup_borough")
     )
 

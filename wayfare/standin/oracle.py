@@ -336,14 +336,16 @@ _FINAL = {
         .replace('total_amount,', 'total_amount::DOUBLE AS total_amount,')},
         pickup_borough, pickup_zone, trip_duration_minutes::DOUBLE AS trip_duration_minutes,
         round(m, 6) AS avg_zone_duration
-        FROM (SELECT * FROM (SELECT *, (sum(trip_duration_minutes) OVER z)::DOUBLE
-                     / count(*) OVER z AS m FROM named WINDOW z AS (PARTITION BY pickup_location_id))
-              WHERE trip_duration_minutes::DOUBLE > m
+        FROM (SELECT *, total_minutes::DOUBLE / n AS m
+              FROM (SELECT *, sum(trip_duration_minutes) OVER z AS total_minutes, count(*) OVER z AS n
+                    FROM named WINDOW z AS (PARTITION BY pickup_location_id))
+              WHERE trip_duration_minutes::DECIMAL(18, 2) * n::DECIMAL(18, 0) > total_minutes
               ORDER BY trip_duration_minutes DESC, {_TRIP_KEY} LIMIT 100)""",
     "q17_small_boroughs": """SELECT pickup_borough, r::DOUBLE AS total_revenue,
-        round(r::DOUBLE / all_r, 6) AS revenue_share
-        FROM (SELECT pickup_borough, sum(total_amount) AS r FROM named GROUP BY pickup_borough),
-             (SELECT sum(total_amount)::DOUBLE AS all_r FROM named) WHERE r::DOUBLE / all_r < 0.05""",
+        round(r::DOUBLE / all_r::DOUBLE, 6) AS revenue_share
+        FROM (SELECT pickup_borough, sum(total_amount)::DECIMAL(24, 2) AS r FROM named GROUP BY pickup_borough),
+             (SELECT sum(total_amount)::DECIMAL(24, 2) AS all_r FROM named)
+        WHERE r < all_r * 0.05::DECIMAL(2, 2)""",
     "q18_zone_rank": """SELECT borough, zone, total_revenue::DOUBLE AS total_revenue,
         rank() OVER (ORDER BY zone.total_revenue DESC NULLS LAST) AS revenue_rank FROM zone""",
     "q19_top3_revenue": _top_per_borough(
@@ -387,7 +389,9 @@ _FINAL = {
     "k1_primary_keys": """SELECT * FROM (
         SELECT 'silver.taxi_zones' AS object_name, count(*) AS violations FROM (
             SELECT 1 FROM zones GROUP BY location_id HAVING count(*) > 1 OR location_id IS NULL)
-        UNION ALL SELECT 'silver.taxi_trips_cleaned', 0
+        UNION ALL SELECT 'silver.taxi_trips_cleaned', count(*) FROM (
+            SELECT 1 FROM (SELECT row_number() OVER (ORDER BY pickup_datetime) AS trip_id FROM trips)
+            GROUP BY trip_id HAVING count(*) > 1 OR trip_id IS NULL)
         UNION ALL SELECT 'gold.daily_trip_summary', count(*) FROM (
             SELECT 1 FROM daily GROUP BY pickup_date HAVING count(*) > 1 OR pickup_date IS NULL)
         UNION ALL SELECT 'gold.hourly_demand_summary', count(*) FROM (
@@ -404,8 +408,10 @@ _FINAL = {
         WHERE pickup_location_id NOT IN (SELECT location_id FROM zones)
         UNION ALL SELECT 'dropoff_location_id', count(*) FROM trips
         WHERE dropoff_location_id NOT IN (SELECT location_id FROM zones)""",
-    "k2_raw_orphans": """SELECT pu AS pu_location_id, count(*) AS orphans FROM raw
-        WHERE pu NOT IN (SELECT location_id FROM zones) GROUP BY pu""",
+    "k2_raw_orphans": """SELECT trip_end, location_id, count(*) AS orphans FROM (
+            SELECT 'pu_location_id' AS trip_end, pu AS location_id FROM raw
+            UNION ALL SELECT 'do_location_id', dropoff FROM raw)
+        WHERE location_id NOT IN (SELECT location_id FROM zones) GROUP BY ALL""",
     "k3_not_null": """UNPIVOT (SELECT
         count(*) FILTER (pickup_datetime IS NULL) AS pickup_datetime,
         count(*) FILTER (dropoff_datetime IS NULL) AS dropoff_datetime,
@@ -430,7 +436,22 @@ _FINAL = {
         count(*) FILTER (p IS NULL) AS tpep_pickup_datetime,
         count(*) FILTER (d IS NULL) AS tpep_dropoff_datetime,
         count(*) FILTER (passengers IS NULL) AS passenger_count,
-        count(*) FILTER (pay IS NULL) AS payment_type
+        count(*) FILTER (distance IS NULL) AS trip_distance,
+        count(*) AS ratecode_id,
+        count(*) AS store_and_fwd_flag,
+        count(*) FILTER (pu IS NULL) AS pu_location_id,
+        count(*) FILTER (dropoff IS NULL) AS do_location_id,
+        count(*) FILTER (pay IS NULL) AS payment_type,
+        count(*) FILTER (fare IS NULL) AS fare_amount,
+        count(*) AS extra,
+        count(*) AS mta_tax,
+        count(*) FILTER (tip IS NULL) AS tip_amount,
+        count(*) AS tolls_amount,
+        count(*) AS improvement_surcharge,
+        count(*) FILTER (total IS NULL) AS total_amount,
+        count(*) AS congestion_surcharge,
+        count(*) AS airport_fee,
+        count(*) AS cbd_congestion_fee
         FROM raw) ON COLUMNS(*) INTO NAME check_name VALUE violations""",
     "k4_ranges": """UNPIVOT (SELECT
         count(*) FILTER (pickup_hour NOT BETWEEN 0 AND 23) AS pickup_hour,

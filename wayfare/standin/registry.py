@@ -12,6 +12,7 @@ from wayfare.operators import quality
 from wayfare.plans import checks, exports, questions, silver
 from wayfare.plans.layers import Layers, StoredLayers
 from wayfare.plans.refresh import refresh
+from wayfare.schemas import RAW_TRIPS
 from wayfare.sources.sinks import shared_folder, stored
 from wayfare.standin import trips as standin
 
@@ -82,10 +83,16 @@ def _repeated_valid(layers: Layers) -> DataFrame:
 
 
 def _raw_orphans(layers: Layers) -> DataFrame:
-    lost = quality.orphans(
-        layers.raw_trips, "pu_location_id", layers.zones, "location_id", layers.zone_size
+    """Ids that are not in the zone list, for both ends of the trips."""
+    ends = F.array(
+        *[
+            F.struct(F.lit(name).alias("trip_end"), F.col(name).alias("location_id"))
+            for name in ("pu_location_id", "do_location_id")
+        ]
     )
-    return lost.groupBy("pu_location_id").agg(F.count(F.lit(1)).alias("orphans"))
+    both = layers.raw_trips.select(F.inline(ends))
+    lost = quality.orphans(both, "location_id", layers.zones, "location_id", layers.zone_size)
+    return lost.groupBy("trip_end", "location_id").agg(F.count(F.lit(1)).alias("orphans"))
 
 
 def _raw_ranges(layers: Layers) -> DataFrame:
@@ -98,13 +105,7 @@ def _raw_ranges(layers: Layers) -> DataFrame:
     return quality.range_violations(layers.raw_trips, allowed)
 
 
-_RAW_NULLABLE = (
-    "vendor_id",
-    "tpep_pickup_datetime",
-    "tpep_dropoff_datetime",
-    "passenger_count",
-    "payment_type",
-)
+_RAW_COLUMNS = [name for name in RAW_TRIPS.names if name != "source_file"]
 
 
 LAZY: dict[str, Callable[[Layers], DataFrame]] = {
@@ -157,7 +158,7 @@ LAZY: dict[str, Callable[[Layers], DataFrame]] = {
     "k2_foreign_keys": checks.foreign_keys,
     "k2_raw_orphans": _raw_orphans,
     "k3_not_null": checks.required_values,
-    "k3_raw_nulls": lambda x: quality.null_counts(x.raw_trips, _RAW_NULLABLE),
+    "k3_raw_nulls": lambda x: quality.null_counts(x.raw_trips, _RAW_COLUMNS),
     "k4_ranges": checks.trip_ranges,
     "k4_raw_ranges": _raw_ranges,
     "k5_natural_key": lambda x: checks.natural_key(x).agg(
