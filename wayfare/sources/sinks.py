@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def rebalanced(table: DataFrame, *by: str) -> DataFrame:
     """Bring rows of the same partition value together before a partitioned write.
 
@@ -50,15 +53,17 @@ def export_reports(
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the one the cluster names for intermediate tables.
 
-    Without such a setting a local session uses a temporary folder; a cluster must have
-    one that all executors reach.
+    Without such a setting a session on this machine gets one temporary folder; a cluster
+    must have one that all executors reach.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="wayfare-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="wayfare-")
+        base = _LOCAL_FOLDERS[application]
     return f"{base.rstrip('/')}/wayfare-{uuid.uuid4().hex}"
 
 
