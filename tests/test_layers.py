@@ -172,10 +172,9 @@ def test_date_filter_reads_one_partition(spark, lazy, tmp_path):
 
 
 def test_stored_tables_use_the_shared_folder(spark, lazy):
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or shared_folder(spark).rsplit("/", 1)[0]
     kept = stored(lazy.zones, "zones")
     assert counted(kept) == counted(lazy.zones)
-    base = base or spark.conf.get("spark.checkpoint.dir")
     assert all(base.rstrip("/") in name for name in kept.inputFiles())
     assert shared_folder(spark) != shared_folder(spark)
 
