@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from wayfare.llm.common import few, held_out, release, released, stored, tasks_for
 
 ORDER = 4
-BLOCK_CHARS = 8 << 20  # text of a block
+BLOCK_CHARS = 10 << 20  # text of a block
 MIDDLE, UPPER = 0.5, 0.99  # quantiles of log perplexity
 MARGIN = 1.5  # times the distance of the quantiles is allowed above the upper one
 TYPICAL_BYTES = 50  # bytes of typical text that each text is filled up with when it is judged
