@@ -1,7 +1,6 @@
 """Raw files: names, columns, types and missing values."""
 
 from datetime import datetime
-from decimal import Decimal
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -37,7 +36,7 @@ def test_trips_are_aligned(spark, folder):
     row = trips.first()
     assert (row.vendor_id, row.pu_location_id, row.do_location_id) == (2, 7, 8)
     assert row.passenger_count is None  # NaN
-    assert (row.trip_distance, row.airport_fee) == (Decimal("1.25"), Decimal("0.5"))
+    assert (row.trip_distance, row.airport_fee) == (1.25, 0.5)
     assert row.tip_amount is None and row.payment_type is None  # not in the file
     assert row.source_file.endswith(".parquet")
 
@@ -45,7 +44,7 @@ def test_trips_are_aligned(spark, folder):
 def test_files_of_different_types(spark, folder):
     trips = read_trips(spark, [str(folder / "a"), str(folder / "b")])
     assert sorted(row.vendor_id for row in trips.collect()) == [1, 2]
-    assert sorted(str(row.passenger_count) for row in trips.collect()) == ["3.000000", "None"]
+    assert sorted(str(row.passenger_count) for row in trips.collect()) == ["3.0", "None"]
 
 
 def test_wildcard_reads_all_matches(spark, folder):
@@ -65,10 +64,22 @@ def test_wildcard_keeps_columns_that_only_some_files_have(spark, tmp_path):
         rows = read_trips(spark, str(tmp_path / pattern)).collect()
         got = {r.vendor_id: (r.fare_amount, r.cbd_congestion_fee) for r in rows}
         assert got == {
-            v: tuple(None if x == "None" else Decimal(x) for x in expected[v]) for v in vendors
+            v: tuple(None if x == "None" else float(x) for x in expected[v]) for v in vendors
         }
 
 
+def test_measures_keep_their_printed_value(spark):
+    """Floats, texts and decimals become the double that is printed like them; NaN is no value."""
+    table = spark.sql(
+        "SELECT 0.1F AS fare_amount, '2.675' AS tip_amount, 'NaN' AS extra, 1.005BD AS tolls_amount, "
+        "double('Infinity') AS total_amount, 123456789012345D AS mta_tax, float('NaN') AS airport_fee"
+    )
+    row = align(table, RAW_TRIPS).first()
+    assert (row.fare_amount, row.tip_amount, row.tolls_amount) == (0.1, 2.675, 1.005)
+    assert (row.total_amount, row.mta_tax) == (float("inf"), 123456789012345.0)
+    assert row.extra is None and row.airport_fee is None
+
+
 def test_two_columns_of_one_name_are_an_error(spark):
     table = spark.createDataFrame([(1, 2)], "VendorID int, vendor_id int")
     with pytest.raises(ValueError, match="both vendor_id"):

@@ -6,10 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from wayfare.__main__ import main
+from wayfare.operators import audit
 from wayfare.operators.lookup import LookupSize
-from wayfare.plans import checks, exports, gold, layers, questions
+from wayfare.plans import checks, exports, gold, layers, questions, runs, silver
 from wayfare.plans.layers import StoredLayers
-from wayfare.plans.refresh import publish, refresh
+from wayfare.plans.refresh import LostRowsError, publish, refresh
+from wayfare.profile import TripProfile
 from wayfare.sources.sinks import export_reports, shared_folder, stored
 from wayfare.standin import trips as standin
 
@@ -44,7 +46,7 @@ def test_stored_marts_equal_direct_ones(lazy, built, mart):
 
 def test_stored_rows_equal_direct_ones(lazy, built):
     assert counted(built.trips.select(*lazy.trips.columns)) == counted(lazy.trips)
-    assert counted(built.issues.drop("logged_at")) == counted(lazy.issues)
+    assert counted(built.issues.drop("issue_id", "logged_at")) == counted(lazy.issues)
     assert counted(built.zones) == counted(lazy.zones)
 
 
@@ -70,7 +72,8 @@ def test_zone_without_trips(built):
 
 
 def test_constraints_hold(built):
-    assert {row.violations for row in checks.primary_keys(built).collect()} == {0}
+    keys = checks.primary_keys(built).collect()
+    assert {row.violations for row in keys} == {0} and len(keys) == 8
     assert {row.violations for row in checks.foreign_keys(built).collect()} == {0}
     assert {row.violations for row in checks.required_values(built).collect()} == {0}
     assert {row.violations for row in checks.trip_ranges(built).collect()} == {0}
@@ -88,6 +91,59 @@ def test_rerun_replaces_everything(spark, lazy, tmp_path):
     assert counted(StoredLayers.read(spark, root).daily) == before["daily"]
 
 
+def log(spark, root, name, *columns):
+    return sorted(tuple(row) for row in runs.read_log(spark, root, name).select(*columns).collect())
+
+
+def test_failed_run_leaves_the_old_one(spark, lazy, tmp_path):
+    """An error midway is logged, and readers and names stay at the run before."""
+    root = str(tmp_path)
+    first = refresh(lazy.raw_trips, lazy.raw_zones, root)
+    before = counted(first.daily)
+    with pytest.raises(Exception, match="rounds to zero"):
+        refresh(lazy.raw_trips, lazy.raw_zones, root, TripProfile(strict=True), name="strict")
+    assert log(spark, root, runs.RUN_LOG, "run_name", "status") == [
+        ("refresh", "STARTED"),
+        ("refresh", "SUCCESS"),
+        ("strict", "FAILED"),
+        ("strict", "STARTED"),
+    ]
+    failed = runs.read_log(spark, root, runs.LOAD_LOG).where("status = 'FAILED'").collect()
+    assert [(row.object_name, row.row_count) for row in failed] == [(layers.TRIPS, 0)]
+    assert failed[0].message
+    assert counted(StoredLayers.read(spark, root).daily) == before
+    publish(spark, root)
+    assert counted(spark.table("gold.daily_trip_summary")) == before
+    assert spark.table("audit.pipeline_run").count() == 4
+    refresh(lazy.raw_trips.limit(0), lazy.raw_zones, root)
+    empty = StoredLayers.read(spark, root)
+    assert (empty.trips.count(), empty.daily.count()) == (0, 0)
+    publish(spark, root)
+    assert spark.table("gold.vw_trip_enriched").count() == 0
+    assert len(set(log(spark, root, runs.LOAD_LOG, "run_id"))) == 3
+
+
+def test_lost_trips_fail_the_run(spark, lazy, tmp_path, monkeypatch):
+    whole = silver.rejected_trips
+    monkeypatch.setattr(silver, "rejected_trips", lambda *a: whole(*a).where("error_type <> 'negative_fare'"))
+    with pytest.raises(LostRowsError, match="do not add up"):
+        refresh(lazy.raw_trips, lazy.raw_zones, str(tmp_path))
+    with pytest.raises(LookupError):
+        StoredLayers.read(spark, str(tmp_path))
+
+
+def test_bad_status_in_a_log_is_found(spark, lazy, tmp_path):
+    root = str(tmp_path)
+    run = runs.Run.start(spark, root, "x")
+    run.log_loads(audit.load_audit({"bronze.a": spark.range(3)}))
+    run.log_loads(audit.load_audit({"bronze.a": spark.range(3)}).withColumn("status", F.lit("DONE")))
+    run._log("HALF")
+    assert {tuple(row) for row in checks.status_values(spark, root).collect()} == {
+        (runs.LOAD_LOG, 2, 1),
+        (runs.RUN_LOG, 2, 1),
+    }
+
+
 def test_partitions_do_not_change_results(spark, lazy, sf_dir):
     """One or many shuffle partitions, rows in any order: equal to the last digit."""
     before = spark.conf.get("spark.sql.shuffle.partitions")
@@ -105,7 +161,7 @@ def test_partitions_do_not_change_results(spark, lazy, sf_dir):
 
 
 def test_large_zone_list(lazy, sf_dir, spark):
-    """A zone list too large to broadcast gives the same layers through salted joins."""
+    """A zone list too large to broadcast gives the same layers through merge joins."""
     large = standin.layers(spark, sf_dir)
     large.__dict__["zone_size"] = LookupSize(25, 1000, max_rows=1)
     assert counted(large.trips) == counted(lazy.trips)

@@ -24,16 +24,16 @@ LARGE = LookupSize(3, 100, max_rows=0)
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_broadcast_join(spark, how):
+def test_merge_join_equals_broadcast_join(spark, how):
     """Most rows share one key, as they may at scale."""
     table = spark.range(0, 2000, numPartitions=7).select(
         F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 5).alias("k"), "id"
     )
     lookup = spark.createDataFrame([(1, "one"), (2, "two"), (9, "nine")], "k long, name string")
     plain = lookup_join(table, lookup, "k", how, SMALL)
-    salted = lookup_join(table, lookup, "k", how, LARGE, salts=4)
-    assert plain.columns == salted.columns
-    assert Counter(rows(plain)) == Counter(rows(salted))
+    merged = lookup_join(table, lookup, "k", how, LARGE)
+    assert plain.columns == merged.columns
+    assert Counter(rows(plain)) == Counter(rows(merged))
     assert "BroadcastExchange" in plain._jdf.queryExecution().executedPlan().toString()
 
 
@@ -165,7 +165,6 @@ def test_constraint_checks(spark):
         assert rows(quality.orphans(table, "k", lookup, "id", size)) == [(2, None)]
     assert dict(rows(quality.null_counts(table, ["k", "s"]))) == {"k": 2, "s": 1}
     assert dict(rows(quality.range_violations(table, {"k": F.col("k") > 1}))) == {"k": 2}
-    assert rows(quality.outside_values(table, "s", ["a", "b", "c"])) == [(None, "d")]
 
 
 def test_load_audit(spark):

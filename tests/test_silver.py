@@ -149,13 +149,56 @@ def test_least_values_that_do_not_round_to_zero(spark):
     )
 
 
+@pytest.mark.parametrize(
+    "change, reason",
+    [
+        ({"fare_amount": "-0.0000004"}, "negative_fare"),
+        ({"trip_distance": "0.0049999"}, "rounds_to_zero"),
+        ({"trip_distance": "0.0000004"}, "rounds_to_zero"),
+        ({"fare_amount": "2e12", "passenger_count": "0"}, "invalid_passenger_count"),
+        ({"fare_amount": "2e12"}, "exceeds_range"),
+        ({"fare_amount": "Infinity"}, "exceeds_range"),
+        ({"fare_amount": "-Infinity"}, "negative_fare"),
+        ({"total_amount": "9999999999.995"}, "exceeds_range"),
+        ({"passenger_count": "2147483647.5"}, "exceeds_range"),
+        ({"trip_distance": "1e300", "passenger_count": "0.4"}, "exceeds_range"),
+    ],
+)
+def test_raw_values_meet_the_rules_unrounded(spark, change, reason):
+    both = layers(spark, change)
+    (row,) = both.issues.collect()
+    assert row.error_type == reason
+    assert {name: getattr(row, name) for name in change} == {k: float(v) for k, v in change.items()}
+    assert both.trips.count() == 0
+
+
+@pytest.mark.parametrize(
+    "raw_value, cleaned",
+    [
+        ("1.0049999", "1.00"),
+        ("1.005", "1.01"),
+        ("2.675", "2.68"),
+        ("0.0000004", "0.00"),
+        ("9999999999.99", "9999999999.99"),
+    ],
+)
+def test_money_is_rounded_once(spark, raw_value, cleaned):
+    (row,) = layers(spark, {"fare_amount": raw_value}).trips.collect()
+    assert row.fare_amount == Decimal(cleaned)
+
+
+def test_strict_stops_on_values_without_room(spark):
+    with pytest.raises(Exception, match="too large"):
+        layers(spark, {"fare_amount": "2e12"}, profile=TripProfile(strict=True)).trips.collect()
+
+
 def test_strict_keeps_good_trips(spark):
     assert layers(spark, {}, profile=TripProfile(strict=True)).trips.count() == 1
 
 
 def test_issue_keeps_raw_values_and_reason(spark):
     row = layers(spark, {"trip_distance": "-1.2345"}).issues.first()
-    assert row.trip_distance == Decimal("-1.234500")
+    assert row.trip_distance == -1.2345
     assert row.error_description == "Record rejected during bronze to silver validation"
     assert row.source_file == "x.parquet"
 

@@ -2,28 +2,31 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfare.schemas import MEASURE, MONEY
+from wayfare.schemas import MONEY
 
 
 # Positive values below these become zero when they are rounded.
-LEAST_MONEY = Decimal("0.005")
-LEAST_WHOLE = Decimal("0.5")
+LEAST_MONEY = 0.005
+LEAST_WHOLE = 0.5
+
+# Values from these on do not fit ``MONEY`` or an integer once they are rounded.
+TOO_MUCH_MONEY = 9_999_999_999.995
+TOO_MUCH_WHOLE = 2_147_483_647.5
 
 
 def to_money(value: Column) -> Column:
-    """Two decimals. A decimal cast rounds halves away from zero, with whole numbers only."""
-    return value.cast(MEASURE).cast(MONEY)
+    """Two decimals, rounded once: a decimal cast takes the digits a double is printed with
+    and rounds halves away from zero."""
+    return value.cast(MONEY)
 
 
 def to_whole(value: Column) -> Column:
     """Nearest integer, halves away from zero (a plain cast to int would truncate)."""
-    return value.cast(MEASURE).cast(T.DecimalType(12, 0)).cast("int")
+    return value.cast(T.DecimalType(12, 0)).cast("int")
 
 
 def mean(total: Column, count: Column) -> Column:

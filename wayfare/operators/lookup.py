@@ -10,9 +10,6 @@ from pyspark.sql import types as T
 
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-DEFAULT_SALTS = 32
-
-_SALT = "__salt"
 
 
 @dataclass(frozen=True)
@@ -67,19 +64,14 @@ def lookup_join(
     on: str,
     how: str,
     size: LookupSize,
-    salts: int = DEFAULT_SALTS,
 ) -> DataFrame:
     """Join ``table`` with a lookup that is unique on ``on``.
 
     A lookup that fits is broadcast and the table is not shuffled. One that does not is
-    joined by shuffle on (key, salt): each map task of the table uses one salt and the
-    lookup is repeated once per salt, so a key that holds a third of the table is shared
-    by ``salts`` tasks. The salt is the number of the map task, which is the same again
-    when the task is rerun, and any salt finds its partner, so the result is the same.
+    joined by a sort merge join. A key that holds a third of the table makes one large
+    shuffle partition, which adaptive execution cuts by map task into parts of the advisory
+    size, however many these are; each part meets the lookup rows of that partition.
     """
     if size.fits:
         return table.join(F.broadcast(lookup), on, how)
-    spread = table.withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(salts)))
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    repeated = lookup.withColumn(_SALT, every_salt)
-    return spread.join(repeated, [on, _SALT], how).drop(_SALT)
+    return table.join(lookup.hint("merge"), on, how)

@@ -25,6 +25,16 @@ def repeated_keys(table: DataFrame, keys: Sequence[str], nulls_distinct: bool =
     return copies.where(bad if nulls_distinct else bad | any_null)
 
 
+def key_counts(table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: ``distinct_keys``, and ``violations`` (keys that are repeated or not complete)."""
+    complete = reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys])
+    copies = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+    return copies.agg(
+        F.count(F.when(complete, 1)).alias("distinct_keys"),
+        F.count(F.when((F.col("copies") > 1) | ~complete, 1)).alias("violations"),
+    )
+
+
 def orphans(table: DataFrame, column: str, lookup: DataFrame, key: str, size: LookupSize) -> DataFrame:
     """Rows whose ``column`` is set and not in the lookup. NULL refers to nothing."""
     ids = lookup.select(F.col(key).alias(column))
@@ -48,8 +58,3 @@ def null_counts(table: DataFrame, columns: Sequence[str]) -> DataFrame:
 def range_violations(table: DataFrame, allowed: Mapping[str, Column]) -> DataFrame:
     """Rows outside each allowed range; a NULL breaks no range."""
     return count_where(table, {name: ~condition for name, condition in allowed.items()})
-
-
-def outside_values(table: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:
-    """Rows whose ``column`` is none of the allowed values."""
-    return table.where(~F.col(column).isin(*allowed))

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.operators import audit, quality
 from wayfare.plans import layers as names
-from wayfare.plans import silver
+from wayfare.plans import runs, silver
 from wayfare.plans.layers import Layers, StoredLayers
 from wayfare.schemas import CLEANED_TRIPS
 
@@ -17,6 +17,7 @@ from wayfare.schemas import CLEANED_TRIPS
 PRIMARY_KEYS = {
     names.ZONES: ("location_id",),
     names.TRIPS: ("trip_id",),
+    names.ISSUES: ("issue_id",),
     names.DAILY: ("pickup_date",),
     names.HOURLY: ("pickup_date", "pickup_hour"),
     names.ZONE: ("location_id",),
@@ -57,12 +58,10 @@ def row_conservation(layers: Layers) -> DataFrame:
 
 
 def primary_keys(stored: StoredLayers) -> DataFrame:
-    """Number of repeated or missing keys per table."""
+    """Per table, how many different keys it has and how many are repeated or missing."""
     tables = stored_tables(stored)
     counts = [
-        quality.repeated_keys(tables[name], keys)
-        .agg(F.count(F.lit(1)).alias("violations"))
-        .select(F.lit(name).alias("object_name"), "violations")
+        quality.key_counts(tables[name], keys).select(F.lit(name).alias("object_name"), "*")
         for name, keys in PRIMARY_KEYS.items()
     ]
     return reduce(DataFrame.unionByName, counts)
@@ -101,9 +100,19 @@ def natural_key(layers: Layers) -> DataFrame:
     return quality.repeated_keys(layers.trips, layers.profile.trip_key, nulls_distinct=True)
 
 
-def status_values(stored: StoredLayers) -> DataFrame:
-    return (
-        quality.outside_values(load_audit(stored), "status", audit.STATUSES)
-        .agg(F.count(F.lit(1)).alias("violations"))
-        .select(F.lit("audit.load_audit").alias("object_name"), "violations")
-    )
+def status_values(spark: SparkSession, root: str) -> DataFrame:
+    """Per log below ``root``: its rows, and how many of them have a state that is not allowed."""
+    allowed = {
+        runs.LOAD_LOG: audit.STATUSES,
+        runs.RUN_LOG: (runs.STARTED, *audit.STATUSES),
+    }
+    counts = []
+    for name, states in allowed.items():
+        # A missing state is not allowed either.
+        bad = F.col("status").isNull() | ~F.col("status").isin(*states)
+        counts.append(
+            runs.read_log(spark, root, name)
+            .agg(F.count(F.lit(1)).alias("log_rows"), F.count(F.when(bad, 1)).alias("violations"))
+            .select(F.lit(name).alias("object_name"), "log_rows", "violations")
+        )
+    return reduce(DataFrame.unionByName, counts)

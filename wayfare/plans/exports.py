@@ -34,8 +34,11 @@ def data_quality_issues(layers: Layers) -> tuple[DataFrame, list[Column]]:
     ]
 
 
+REPORTS = {
+    report.__name__: report
+    for report in (daily_summary, top_pickup_zones, payment_behavior, data_quality_issues)
+}
+
+
 def named_reports(layers: Layers) -> dict[str, tuple[DataFrame, list[Column]]]:
-    return {
-        report.__name__: report(layers)
-        for report in (daily_summary, top_pickup_zones, payment_behavior, data_quality_issues)
-    }
+    return {name: report(layers) for name, report in REPORTS.items()}

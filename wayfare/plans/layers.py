@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wayfare.operators.lookup import LookupSize, measure_lookup
 from wayfare.plans import gold, silver, views
+from wayfare.plans.runs import latest_run, run_folder, table_path
 from wayfare.profile import DEFAULT_PROFILE, TripProfile
+from wayfare.schemas import STORED_TRIPS
 
 # Names of the stored tables.
 RAW_TRIPS = "bronze.raw_taxi_trips"
@@ -31,8 +33,6 @@ ZONE_VIEW = "gold.vw_zone_performance"
 TIME_SUMS = "gold.time_sums"
 ROUTE_SUMS = "gold.route_sums"
 
-LOAD_AUDIT = "audit.load_audit"
-
 AUDITED = (RAW_ZONES, RAW_TRIPS, TRIPS, ISSUES, DAILY, HOURLY, ZONE, PAYMENT, ROUTE)
 
 
@@ -136,11 +136,10 @@ class StoredLayers(Layers):
     def read(
         cls, spark: SparkSession, root: str, profile: TripProfile = DEFAULT_PROFILE
     ) -> StoredLayers:
-        """The layers of the last refresh below ``root``."""
-        names = STORED.values()
-        return cls({name: spark.read.parquet(table_path(root, name)) for name in names}, profile)
-
-
-def table_path(root: str, name: str) -> str:
-    """``<root>/<layer>/<table>``."""
-    return f"{root.rstrip('/')}/{name.replace('.', '/')}"
+        """The layers of the last refresh below ``root`` that succeeded."""
+        folder = run_folder(root, latest_run(spark, root))
+        tables = {}
+        for name in STORED.values():
+            reader = spark.read.schema(STORED_TRIPS) if name == TRIPS else spark.read
+            tables[name] = reader.parquet(table_path(folder, name))
+        return cls(tables, profile)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfare.operators.lookup import measure_lookup
 from wayfare.plans import checks, gold, layers, silver
-from wayfare.plans.layers import Layers, StoredLayers, table_path
+from wayfare.plans.layers import Layers, StoredLayers
+from wayfare.plans.runs import LOAD_LOG, RUN_LOG, Run, latest_run, run_folder, table_path
 from wayfare.profile import DEFAULT_PROFILE, TripProfile
+from wayfare.schemas import STORED_TRIPS
 from wayfare.sources.ingest import stamped
 from wayfare.sources.sinks import rebalanced, write_layer
 
@@ -18,19 +21,58 @@ def refresh(
     root: str,
     profile: TripProfile = DEFAULT_PROFILE,
     partition_trips_by: tuple[str, ...] = ("pickup_date",),
+    name: str = "refresh",
 ) -> StoredLayers:
-    """Rebuild every stored table below ``root``; running it again gives the same tables.
+    """Build every stored table in a new run folder below ``root``.
+
+    The run counts when all tables are written and every raw trip is accounted for; then
+    ``StoredLayers.read`` and ``publish`` find it. If anything fails, the error is logged
+    and raised, and the run before stays the current one. Running it again gives the same
+    tables but for the surrogate ids and the load stamps. Folders of old runs stay until
+    they are deleted by hand.
 
     Each layer is read back before the next is derived, so a lost executor costs a reread
     of files and never a recomputation of the whole chain. ``partition_trips_by`` stores
     the cleaned trips by date, which lets date filters skip files; ``()`` saves the
     shuffle that this takes.
     """
-
+    run = Run.start(raw_trips.sparkSession, root, name)
     made: dict[str, DataFrame] = {}
+    current = [layers.RAW_TRIPS]
+    try:
+        _build(raw_trips, raw_zones, run.folder, profile, partition_trips_by, made, current)
+        stored = StoredLayers(made, profile)
+        current.append("audit.row_conservation")
+        balance = checks.row_conservation(stored).first()
+        if balance["status"] != "SUCCESS":
+            raise LostRowsError(f"trips do not add up: {balance.asDict()}")
+        current.append(LOAD_LOG)
+        run.log_loads(checks.load_audit(stored))
+    except Exception as error:
+        run.fail(current[-1], error)
+        raise
+    run.succeed()
+    return stored
+
+
+class LostRowsError(RuntimeError):
+    """Raw trips are not all cleaned, rejected or dropped as duplicates."""
+
+
+def _build(
+    raw_trips: DataFrame,
+    raw_zones: DataFrame,
+    folder: str,
+    profile: TripProfile,
+    partition_trips_by: tuple[str, ...],
+    made: dict[str, DataFrame],
+    current: list[str],
+) -> None:
+    """Write all tables; ``made`` gets them by name, ``current`` the names as they begin."""
 
     def put(table: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        made[name] = write_layer(table, table_path(root, name), partition_by)
+        current.append(name)
+        made[name] = write_layer(table, table_path(folder, name), partition_by)
         return made[name]
 
     bronze = Layers(
@@ -41,7 +83,8 @@ def refresh(
     zones = put(bronze.zones, layers.ZONES)
     size = measure_lookup(zones, "location_id")
     classified = silver.classify(bronze.raw_trips, zones, size, profile)
-    put(stamped(silver.rejected_trips(classified, profile), "logged_at"), layers.ISSUES)
+    rejected = silver.with_row_id(silver.rejected_trips(classified, profile), "issue_id")
+    put(stamped(rejected, "logged_at"), layers.ISSUES)
     valid = silver.valid_trips(bronze.raw_trips, zones, size, profile)
     unique = silver.unique_trips(silver.rounded_trips(valid), profile)
     if partition_trips_by:
@@ -49,7 +92,7 @@ def refresh(
         values = silver.cleaned_columns(partition_trips_by, profile)
         unique = unique.withColumns(dict(zip(partition_trips_by, values)))
         unique = rebalanced(unique, *partition_trips_by)
-    cleaned = silver.with_trip_id(silver.enrich_trips(unique, profile))
+    cleaned = silver.with_row_id(silver.enrich_trips(unique, profile), "trip_id")
     trips = put(stamped(cleaned), layers.TRIPS, partition_trips_by)
 
     by_time = put(gold.time_sums(trips), layers.TIME_SUMS)
@@ -60,10 +103,6 @@ def refresh(
     put(gold.zone_mart(by_route, zones), layers.ZONE)
     put(gold.route_mart(by_route, zones, size), layers.ROUTE)
 
-    stored = StoredLayers(made, profile)
-    put(stamped(checks.load_audit(stored), "logged_at"), layers.LOAD_AUDIT)
-    return stored
-
 
 _VIEWS = {
     layers.ENRICHED_VIEW: f"""
@@ -89,15 +128,24 @@ _VIEWS = {
 def publish(spark: SparkSession, root: str) -> None:
     """Name the stored tables and views in the catalog, for questions asked in SQL.
 
-    ``spark.sql("SELECT * FROM gold.daily_trip_summary")`` then works as is. Spark joins
-    the zone list by its file size: broadcast while it is small, shuffled beyond.
+    ``spark.sql("SELECT * FROM gold.daily_trip_summary")`` then works as is, on the tables
+    of the last run that succeeded. Spark joins the zone list by its file size: broadcast
+    while it is small, shuffled beyond.
     """
-    tables = (*layers.AUDITED, layers.ZONES, layers.TIME_SUMS, layers.ROUTE_SUMS, layers.LOAD_AUDIT)
-    for name in tables:
+    folder = run_folder(root, latest_run(spark, root))
+    places = {name: folder for name in layers.STORED.values()}
+    for name, place in {**places, LOAD_LOG: root, RUN_LOG: root}.items():
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        # Schema and partition columns come from the files.
-        spark.catalog.createTable(name, path=table_path(root, name), source="parquet")
+        try:  # schema and partition columns come from the files
+            spark.catalog.createTable(name, path=table_path(place, name), source="parquet")
+        except AnalysisException as error:
+            if name != layers.TRIPS or "UNABLE_TO_INFER_SCHEMA" not in str(error):
+                raise
+            # No valid trip, so no file.
+            spark.catalog.createTable(
+                name, path=table_path(place, name), source="parquet", schema=STORED_TRIPS
+            )
         if any(column.isPartition for column in spark.catalog.listColumns(name)):
             spark.catalog.recoverPartitions(name)
     for name, text in _VIEWS.items():

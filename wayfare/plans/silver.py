@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from wayfare.functions.cleaning import text_or
 from wayfare.functions.labels import label_of
-from wayfare.functions.numeric import LEAST_MONEY, LEAST_WHOLE, to_money, to_whole
+from wayfare.functions.numeric import (
+    LEAST_MONEY,
+    LEAST_WHOLE,
+    TOO_MUCH_MONEY,
+    TOO_MUCH_WHOLE,
+    to_money,
+    to_whole,
+)
 from wayfare.functions.temporal import (
     LEAST_DURATION,
     day_name,
@@ -29,6 +36,7 @@ _PICKUP = "tpep_pickup_datetime"
 _DROPOFF = "tpep_dropoff_datetime"
 
 ROUNDS_TO_ZERO = "rounds_to_zero"
+EXCEEDS_RANGE = "exceeds_range"
 
 
 def clean_zones(raw_zones: DataFrame, profile: TripProfile = DEFAULT_PROFILE) -> DataFrame:
@@ -62,6 +70,14 @@ def _window_rule(profile: TripProfile) -> Rule:
     return Rule(profile.window_error, ~inside)
 
 
+def _range_rule() -> Rule:
+    """Values, infinity among them, that the cleaned columns have no room for."""
+    too_large = F.col("passenger_count") >= F.lit(TOO_MUCH_WHOLE)
+    for column in ("trip_distance", "fare_amount", "tip_amount", "total_amount"):
+        too_large = too_large | (F.col(column) >= F.lit(TOO_MUCH_MONEY))
+    return Rule(EXCEEDS_RANGE, too_large)
+
+
 def _rounding_rule() -> Rule:
     """Positive values that the cleaned columns would show as zero.
 
@@ -87,6 +103,7 @@ def trip_rules(profile: TripProfile = DEFAULT_PROFILE) -> list[Rule]:
         Rule("unknown_pickup_location", F.col("pickup_known").isNull()),
         Rule("unknown_dropoff_location", F.col("dropoff_known").isNull()),
         _window_rule(profile),
+        _range_rule(),
         _rounding_rule(),
     ]
 
@@ -143,11 +160,14 @@ def valid_trips(
     for column in ("pu_location_id", "do_location_id"):
         ids = zones.select(F.col("location_id").alias(column))
         kept = lookup_join(kept, ids, column, "left_semi", size)
-    vanishes = _rounding_rule().fails
+    unfit = [_range_rule(), _rounding_rule()]
     if profile.strict:
-        stop = F.raise_error(F.lit("a positive count, distance or duration rounds to zero"))
-        return kept.where(F.when(vanishes, stop.cast("boolean")).otherwise(F.lit(True)))
-    return kept.where(~vanishes)
+        stop = F.raise_error(
+            F.lit("a positive count, distance or duration rounds to zero, or a value is too large")
+        )
+        failed = unfit[0].fails | unfit[1].fails
+        return kept.where(F.when(failed, stop.cast("boolean")).otherwise(F.lit(True)))
+    return kept.where(passes(unfit))
 
 
 # --- cleaned trips ----------------------------------------------------------------
@@ -222,9 +242,9 @@ def cleaned_trips(
     return enrich_trips(unique_trips(rounded_trips(valid), profile), profile)
 
 
-def with_trip_id(trips: DataFrame) -> DataFrame:
+def with_row_id(table: DataFrame, name: str) -> DataFrame:
     """Add a surrogate key: unique, with gaps, and no shuffle to number the rows.
 
     It depends on how the rows are split, so it is given once, when the layer is written.
     """
-    return trips.select(F.monotonically_increasing_id().alias("trip_id"), "*")
+    return table.select(F.monotonically_increasing_id().alias(name), "*")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-MEASURE = T.DecimalType(18, 6)  # raw amounts and distances, before rounding
+MEASURE = T.DoubleType()  # raw amounts and distances, as the files hold them
 MONEY = T.DecimalType(12, 2)  # rounded amounts, distances and minutes
 
 
@@ -72,6 +72,15 @@ CLEANED_TRIPS = _fields(
     }
 )
 
+# As stored: a load without a valid trip writes no file that would tell the columns.
+STORED_TRIPS = T.StructType(
+    [
+        T.StructField("trip_id", T.LongType(), True),
+        *CLEANED_TRIPS.fields,
+        T.StructField("loaded_at", T.TimestampType(), True),
+    ]
+)
+
 # Spelling of the source columns that change name.
 TRIP_RENAMES = {
     "VendorID": "vendor_id",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayfare.functions.cleaning import nan_to_null, tokens_to_null
-from wayfare.schemas import NA_TOKENS, RAW_TRIPS, RAW_ZONES, TRIP_RENAMES, ZONE_RENAMES
+from wayfare.schemas import MEASURE, NA_TOKENS, RAW_TRIPS, RAW_ZONES, TRIP_RENAMES, ZONE_RENAMES
 
 
 def align(
@@ -38,7 +38,12 @@ def align(
             value = F.lit(None)
         else:
             value = nan_to_null(F.col(f"`{source.name}`"), source.dataType)
-        columns.append(value.cast(field.dataType).alias(field.name))
+            if isinstance(source.dataType, T.FloatType) and field.dataType == MEASURE:
+                value = value.cast("string")  # 0.1 stays 0.1
+        value = value.cast(field.dataType)
+        if source is not None and isinstance(source.dataType, T.StringType):
+            value = nan_to_null(value, field.dataType)
+        columns.append(value.alias(field.name))
     return table.select(*columns)
 
 

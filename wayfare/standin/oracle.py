@@ -37,16 +37,24 @@ once AS (
                 WHEN h % 97 = 0 THEN 0
                 WHEN h % 83 = 0 THEN 1.5
                 WHEN h % 79 = 0 THEN 2.5
-                ELSE 1 + h % 6 END::DECIMAL(18, 6) AS passengers,
+                ELSE 1 + h % 6 END::DOUBLE AS passengers,
            CASE WHEN h % 103 = 0 THEN 0
-                ELSE l_quantity::DECIMAL(15, 0)
-                     + (h % 1000)::DECIMAL(15, 0) * 0.001::DECIMAL(4, 3) END::DECIMAL(18, 6) AS distance,
-           (CASE WHEN h % 107 = 0 THEN -fm ELSE fm END::DECIMAL(15, 0)
-            * 0.001::DECIMAL(4, 3))::DECIMAL(18, 6) AS fare,
-           (CASE WHEN h % 109 = 0 THEN -1 ELSE tm END::DECIMAL(15, 0)
-            * 0.001::DECIMAL(4, 3))::DECIMAL(18, 6) AS tip,
-           (CASE WHEN h % 113 = 0 THEN -1 ELSE fm + tm + 2500 END::DECIMAL(15, 0)
-            * 0.001::DECIMAL(4, 3))::DECIMAL(18, 6) AS total,
+                WHEN h % 67 = 0 THEN 0.0049999::DOUBLE
+                WHEN h % 179 = 0 THEN 4e-7::DOUBLE
+                ELSE (l_quantity::DECIMAL(15, 0)
+                      + (h % 1000)::DECIMAL(15, 0) * 0.001::DECIMAL(4, 3))::VARCHAR::DOUBLE END AS distance,
+           CASE WHEN h % 137 = 0 THEN -4e-7::DOUBLE
+                WHEN h % 139 = 0 THEN 2e12::DOUBLE
+                WHEN h % 149 = 0 THEN 1.0049999::DOUBLE
+                WHEN h % 151 = 0 THEN 1.005::DOUBLE
+                ELSE (CASE WHEN h % 107 = 0 THEN -fm ELSE fm END::DECIMAL(15, 0)
+                      * 0.001::DECIMAL(4, 3))::VARCHAR::DOUBLE END AS fare,
+           CASE WHEN h % 157 = 0 THEN 2.00499999999::DOUBLE
+                ELSE (CASE WHEN h % 109 = 0 THEN -1 ELSE tm END::DECIMAL(15, 0)
+                      * 0.001::DECIMAL(4, 3))::VARCHAR::DOUBLE END AS tip,
+           CASE WHEN h % 163 = 0 THEN 1e15::DOUBLE
+                ELSE (CASE WHEN h % 113 = 0 THEN -1 ELSE fm + tm + 2500 END::DECIMAL(15, 0)
+                      * 0.001::DECIMAL(4, 3))::VARCHAR::DOUBLE END AS total,
            CASE WHEN h % 127 = 0 THEN 999
                 WHEN c_nationkey = 24 THEN 3
                 WHEN c_nationkey % 5 = 4 AND h % 5 <> 0 THEN c_nationkey - 1
@@ -72,7 +80,14 @@ raw_zones AS (
 ),
 """
 
-_SILVER = """
+
+
+def cents(value: str) -> str:
+    """Two decimals, rounded once from the printed digits; NULL where they do not fit."""
+    return f"TRY_CAST(TRY_CAST({value}::VARCHAR AS DECIMAL(38, 18)) AS DECIMAL(12, 2))"
+
+
+_SILVER = f"""
 zones AS (
     SELECT DISTINCT location_id,
            coalesce(nullif(trim(borough), ''), 'Unknown') AS borough,
@@ -83,7 +98,7 @@ zones AS (
 checked AS (
     SELECT r.*,
            round(passengers, 0)::INTEGER AS passenger_count,
-           round(distance, 2)::DECIMAL(12, 2) AS trip_distance,
+           {cents('distance')} AS trip_distance,
            ((epoch_us(d) - epoch_us(p)) * 100 + 30000000) // 60000000 AS hundredths,
            pu IN (SELECT location_id FROM zones) AS pu_ok,
            dropoff IN (SELECT location_id FROM zones) AS do_ok
@@ -101,6 +116,8 @@ classified AS (
         WHEN pu_ok IS NOT TRUE THEN 'unknown_pickup_location'
         WHEN do_ok IS NOT TRUE THEN 'unknown_dropoff_location'
         WHEN p < TIMESTAMP '2026-01-01' OR p >= TIMESTAMP '2026-02-01' THEN 'outside_january_2026'
+        WHEN passengers >= 2147483647.5 OR greatest(distance, fare, tip, total) >= 9999999999.995
+            THEN 'exceeds_range'
         WHEN passenger_count <= 0 OR trip_distance <= 0 OR hundredths <= 0 THEN 'rounds_to_zero'
         END AS error_type
     FROM checked
@@ -116,9 +133,9 @@ issues AS (
 valid AS (
     SELECT vendor_id, p AS pickup_datetime, d AS dropoff_datetime, passenger_count, trip_distance,
            pu AS pickup_location_id, dropoff AS dropoff_location_id, coalesce(pay, 0) AS payment_type,
-           round(fare, 2)::DECIMAL(12, 2) AS fare_amount,
-           round(tip, 2)::DECIMAL(12, 2) AS tip_amount,
-           round(total, 2)::DECIMAL(12, 2) AS total_amount,
+           {cents('fare')} AS fare_amount,
+           {cents('tip')} AS tip_amount,
+           {cents('total')} AS total_amount,
            (hundredths::DECIMAL(15, 0) * 0.01::DECIMAL(3, 2))::DECIMAL(12, 2) AS trip_duration_minutes
     FROM classified WHERE error_type IS NULL
 ),
@@ -209,8 +226,8 @@ _TRIP_MONEY = """trip_duration_minutes::DOUBLE AS trip_duration_minutes,
 _TRIP_TIMES = """pickup_datetime, dropoff_datetime, pickup_date, pickup_hour, pickup_day_name,
     is_weekend, time_period"""
 
-_RAW_MEASURES = """passengers::DOUBLE AS passenger_count, distance::DOUBLE AS trip_distance,
-    fare::DOUBLE AS fare_amount, tip::DOUBLE AS tip_amount, total::DOUBLE AS total_amount"""
+_RAW_MEASURES = """passengers AS passenger_count, distance AS trip_distance, fare AS fare_amount,
+    tip AS tip_amount, total AS total_amount"""
 
 _DAILY = """SELECT pickup_date, total_trips, total_revenue::DOUBLE AS total_revenue,
     round(avg_revenue, 6) AS avg_revenue, round(avg_fare, 6) AS avg_fare,
@@ -251,6 +268,10 @@ _LOAD_AUDIT = """SELECT split_part(object_name, '.', 1) AS layer_name, object_na
         UNION ALL SELECT 'gold.payment_behavior_summary', count(*) FROM payment
         UNION ALL SELECT 'gold.route_performance_summary', count(*) FROM route)"""
 
+def _numbered(rows: str) -> str:
+    return f"(SELECT row_number() OVER () AS n FROM {rows})"
+
+
 _FINAL = {
     # raw layer
     "bronze_trips": f"""SELECT vendor_id, p AS tpep_pickup_datetime, d AS tpep_dropoff_datetime,
@@ -260,12 +281,20 @@ _FINAL = {
         NULL::DOUBLE AS improvement_surcharge, NULL::DOUBLE AS congestion_surcharge,
         NULL::DOUBLE AS airport_fee, NULL::DOUBLE AS cbd_congestion_fee,
         'lineitem.parquet' AS source_file, {_RAW_MEASURES} FROM raw""",
+    "ingest_trips": f"""SELECT vendor_id, p AS tpep_pickup_datetime, d AS tpep_dropoff_datetime,
+        NULL::DOUBLE AS ratecode_id, NULL::VARCHAR AS store_and_fwd_flag,
+        pu AS pu_location_id, dropoff AS do_location_id, pay AS payment_type,
+        NULL::DOUBLE AS extra, NULL::DOUBLE AS mta_tax, NULL::DOUBLE AS tolls_amount,
+        NULL::DOUBLE AS improvement_surcharge, NULL::DOUBLE AS congestion_surcharge,
+        NULL::DOUBLE AS airport_fee,
+        CASE WHEN vendor_id % 2 = 1 THEN 0.75::DOUBLE END AS cbd_congestion_fee,
+        '.parquet' AS source_file, {_RAW_MEASURES} FROM raw""",
+    "ingest_zones": """SELECT location_id, borough, zone, nullif(service_zone, '') AS service_zone,
+        '.csv' AS source_file FROM raw_zones""",
     "bronze_zones": "SELECT *, 'nation.parquet' AS source_file FROM raw_zones",
     # silver layer
     "silver_zones": "SELECT * FROM zones",
-    "silver_issues": """SELECT * REPLACE (passenger_count::DOUBLE AS passenger_count,
-        trip_distance::DOUBLE AS trip_distance, fare_amount::DOUBLE AS fare_amount,
-        tip_amount::DOUBLE AS tip_amount, total_amount::DOUBLE AS total_amount) FROM issues""",
+    "silver_issues": "SELECT * FROM issues",
     "silver_valid_trips": f"""SELECT vendor_id, p AS tpep_pickup_datetime,
         d AS tpep_dropoff_datetime, pu AS pu_location_id, dropoff AS do_location_id,
         pay AS payment_type, {_RAW_MEASURES} FROM classified WHERE error_type IS NULL""",
@@ -377,7 +406,7 @@ _FINAL = {
     "export_payment_behavior": _PAYMENT,
     "export_data_quality_issues": _ISSUE_COUNTS,
     # row counts
-    "load_audit": _LOAD_AUDIT,
+    "load_audit": f"SELECT *, 2 AS runs FROM ({_LOAD_AUDIT})",
     "row_conservation": """SELECT *, CASE WHEN raw_rows = kept_rows + rejected_rows + dropped_rows
         THEN 'SUCCESS' ELSE 'FAILED' END AS status FROM (
         SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELECT count(*) FROM trips) AS kept_rows,
@@ -386,23 +415,23 @@ _FINAL = {
     # constraint checks
     "k1_repeated_raw_zone_ids": """SELECT location_id, count(*) AS copies FROM raw_zones
         GROUP BY location_id HAVING count(*) > 1 OR location_id IS NULL""",
-    "k1_primary_keys": """SELECT * FROM (
-        SELECT 'silver.taxi_zones' AS object_name, count(*) AS violations FROM (
-            SELECT 1 FROM zones GROUP BY location_id HAVING count(*) > 1 OR location_id IS NULL)
-        -- The ids are given by Spark when trips are stored; here only that none may repeat.
-        UNION ALL SELECT 'silver.taxi_trips_cleaned', 0
-        UNION ALL SELECT 'gold.daily_trip_summary', count(*) FROM (
-            SELECT 1 FROM daily GROUP BY pickup_date HAVING count(*) > 1 OR pickup_date IS NULL)
-        UNION ALL SELECT 'gold.hourly_demand_summary', count(*) FROM (
-            SELECT 1 FROM hourly GROUP BY pickup_date, pickup_hour
-            HAVING count(*) > 1 OR pickup_date IS NULL OR pickup_hour IS NULL)
-        UNION ALL SELECT 'gold.zone_performance_summary', count(*) FROM (
-            SELECT 1 FROM zone GROUP BY location_id HAVING count(*) > 1 OR location_id IS NULL)
-        UNION ALL SELECT 'gold.payment_behavior_summary', count(*) FROM (
-            SELECT 1 FROM payment GROUP BY payment_type HAVING count(*) > 1 OR payment_type IS NULL)
-        UNION ALL SELECT 'gold.route_performance_summary', count(*) FROM (
-            SELECT 1 FROM route GROUP BY pickup_location_id, dropoff_location_id
-            HAVING count(*) > 1 OR pickup_location_id IS NULL OR dropoff_location_id IS NULL))""",
+    "k1_primary_keys": " UNION ALL ".join(
+        f"""SELECT '{name}' AS object_name, count(*) FILTER (complete) AS distinct_keys,
+            count(*) FILTER (copies > 1 OR NOT complete) AS violations
+            FROM (SELECT {' AND '.join(f'{key} IS NOT NULL' for key in keys.split(', '))} AS complete,
+                         count(*) AS copies FROM {rows} GROUP BY {keys})"""
+        for name, rows, keys in (
+            ("silver.taxi_zones", "zones", "location_id"),
+            # Spark numbers the stored rows in its own way: as many keys as rows are due.
+            ("silver.taxi_trips_cleaned", _numbered("trips"), "n"),
+            ("silver.data_quality_issues", _numbered("issues"), "n"),
+            ("gold.daily_trip_summary", "daily", "pickup_date"),
+            ("gold.hourly_demand_summary", "hourly", "pickup_date, pickup_hour"),
+            ("gold.zone_performance_summary", "zone", "location_id"),
+            ("gold.payment_behavior_summary", "payment", "payment_type"),
+            ("gold.route_performance_summary", "route", "pickup_location_id, dropoff_location_id"),
+        )
+    ),
     "k2_foreign_keys": """SELECT 'pickup_location_id' AS check_name, count(*) AS violations FROM trips
         WHERE pickup_location_id NOT IN (SELECT location_id FROM zones)
         UNION ALL SELECT 'dropoff_location_id', count(*) FROM trips
@@ -477,8 +506,9 @@ _FINAL = {
         pickup_location_id, dropoff_location_id, passenger_count,
         trip_distance::DOUBLE AS trip_distance, total_amount::DOUBLE AS total_amount,
         count(*) AS copies FROM valid WHERE vendor_id IS NOT NULL GROUP BY ALL HAVING count(*) > 1""",
-    "k6_status_values": f"""SELECT 'audit.load_audit' AS object_name,
-        count(*) FILTER (status NOT IN ('SUCCESS', 'FAILED')) AS violations FROM ({_LOAD_AUDIT})""",
+    "k6_status_values": f"""SELECT 'audit.load_audit' AS object_name, count(*) AS log_rows,
+        count(*) FILTER (status NOT IN ('SUCCESS', 'FAILED')) AS violations FROM ({_LOAD_AUDIT})
+        UNION ALL SELECT 'audit.pipeline_run', count(*), 0 FROM (VALUES ('STARTED'), ('SUCCESS'))""",
 }
 
 

@@ -43,18 +43,26 @@ _TRIP = {
     "passenger_count": "CASE WHEN h % 89 = 0 THEN NULL WHEN h % 97 = 0 THEN 0"
     " WHEN h % 83 = 0 THEN 1.5 WHEN h % 79 = 0 THEN 2.5"
     " ELSE CAST(1 + h % 6 AS DECIMAL(10,1)) END",
-    "trip_distance": "IF(h % 103 = 0, 0, CAST(l_quantity AS DECIMAL(15,0))"
-    f" + CAST(h % 1000 AS DECIMAL(15,0)) * {_MILL})",
+    "trip_distance": "CASE WHEN h % 103 = 0 THEN 0D WHEN h % 67 = 0 THEN 0.0049999D"
+    " WHEN h % 179 = 0 THEN 4e-7D ELSE CAST(CAST(l_quantity AS DECIMAL(15,0))"
+    f" + CAST(h % 1000 AS DECIMAL(15,0)) * {_MILL} AS DOUBLE) END",
     "pu_location_id": "CASE WHEN h % 127 = 0 THEN 999 WHEN c_nationkey = 24 THEN 3"
     " WHEN c_nationkey % 5 = 4 AND h % 5 <> 0 THEN c_nationkey - 1 ELSE c_nationkey END",
     "do_location_id": "IF(h % 131 = 0, 998, s_nationkey)",
     "payment_type": "IF(h % 61 = 0, NULL, h % 7)",
-    "fare_amount": f"CAST(IF(h % 107 = 0, -fm, fm) AS DECIMAL(15,0)) * {_MILL}",
-    "tip_amount": f"CAST(IF(h % 109 = 0, -1, tm) AS DECIMAL(15,0)) * {_MILL}",
-    "total_amount": f"CAST(IF(h % 113 = 0, -1, fm + tm + 2500) AS DECIMAL(15,0)) * {_MILL}",
+    "fare_amount": "CASE WHEN h % 137 = 0 THEN -4e-7D WHEN h % 139 = 0 THEN 2e12D"
+    " WHEN h % 149 = 0 THEN 1.0049999D WHEN h % 151 = 0 THEN 1.005D"
+    f" ELSE CAST(CAST(IF(h % 107 = 0, -fm, fm) AS DECIMAL(15,0)) * {_MILL} AS DOUBLE) END",
+    "tip_amount": "IF(h % 157 = 0, 2.00499999999D,"
+    f" CAST(CAST(IF(h % 109 = 0, -1, tm) AS DECIMAL(15,0)) * {_MILL} AS DOUBLE))",
+    "total_amount": "IF(h % 163 = 0, 1e15D,"
+    f" CAST(CAST(IF(h % 113 = 0, -1, fm + tm + 2500) AS DECIMAL(15,0)) * {_MILL} AS DOUBLE))",
     "source_file": f"'{SOURCE_FILE}'",
 }
 
+#: Columns that the stand-in leaves to the alignment.
+ABSENT = tuple(name for name in RAW_TRIPS.names if name not in ("vendor_id", *_TRIP))
+
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     def read(name: str) -> DataFrame:
