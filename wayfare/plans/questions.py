@@ -142,11 +142,12 @@ def daily_versus_mean(layers: Layers) -> DataFrame:
 def long_trips(layers: Layers, k: int = 100) -> DataFrame:
     """Q16: longest trips among those longer than the mean of their pickup zone.
 
-    Zone names are joined to the chosen trips only.
+    Zone names are joined to the chosen trips only. The natural key settles ties.
     """
     trips = layers.trips
-    key = [column for column in ("trip_id", *layers.profile.trip_key) if column in trips.columns]
-    trips = trips.select(*key, "trip_duration_minutes")
+    shown = [column for column in ("trip_id", "pickup_datetime") if column in trips.columns]
+    keys = dict.fromkeys([*shown, *layers.profile.trip_key])
+    trips = trips.select(*keys, "trip_duration_minutes")
     longer = reports.above_group_mean(
         trips, "pickup_location_id", "trip_duration_minutes", "avg_zone_duration", layers.zone_size
     )
@@ -159,7 +160,7 @@ def long_trips(layers: Layers, k: int = 100) -> DataFrame:
             *reports.ascending(*layers.profile.trip_key),
         )
         .select(
-            *key,
+            *shown,
             "pickup_borough",
             "pickup_zone",
             "trip_duration_minutes",

@@ -35,6 +35,7 @@ from wayfare.schemas import CLEANED_TRIPS
 _PICKUP = "tpep_pickup_datetime"
 _DROPOFF = "tpep_dropoff_datetime"
 
+# Rules of this library; the other names of rules below are fixed values.
 ROUNDS_TO_ZERO = "rounds_to_zero"
 EXCEEDS_RANGE = "exceeds_range"
 

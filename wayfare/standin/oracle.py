@@ -361,10 +361,8 @@ _FINAL = {
     "q15_daily_vs_avg": """SELECT pickup_date, total_revenue::DOUBLE AS total_revenue,
         round(m, 6) AS avg_daily_revenue, round(total_revenue::DOUBLE - m, 6) AS revenue_vs_average
         FROM daily, (SELECT sum(total_revenue)::DOUBLE / count(*) AS m FROM daily)""",
-    "q16_long_trips": f"""SELECT {_TRIP_KEY.replace('trip_distance,', 'trip_distance::DOUBLE AS trip_distance,')
-        .replace('total_amount,', 'total_amount::DOUBLE AS total_amount,')},
-        pickup_borough, pickup_zone, trip_duration_minutes::DOUBLE AS trip_duration_minutes,
-        round(m, 6) AS avg_zone_duration
+    "q16_long_trips": f"""SELECT pickup_datetime, pickup_borough, pickup_zone,
+        trip_duration_minutes::DOUBLE AS trip_duration_minutes, round(m, 6) AS avg_zone_duration
         FROM (SELECT *, total_minutes::DOUBLE / n AS m
               FROM (SELECT *, sum(trip_duration_minutes) OVER z AS total_minutes, count(*) OVER z AS n
                     FROM named WINDOW z AS (PARTITION BY pickup_location_id))
