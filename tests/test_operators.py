@@ -208,3 +208,28 @@ def test_a_share_of_exactly_the_bound_is_not_below_it(spark):
     )
     assert rows(reports.below_share(table, "v", Decimal("0.05")).select("name")) == [("b",)]
     assert rows(reports.below_share(table.limit(0), "v", Decimal("0.05"))) == []
+
+
+def test_hot_key_of_a_large_lookup_is_split(spark):
+    """Adaptive execution cuts the partition of a hot key; the rows stay the same."""
+    low = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key) for key in low}
+    for key, value in low.items():
+        spark.conf.set(key, value)
+    try:
+        table = spark.range(0, 400_000, numPartitions=8).select(
+            F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 1000).alias("k"), "id"
+        )
+        joined = lookup_join(table, spark.range(500).select(F.col("id").alias("k")), "k", "left_semi", LARGE)
+        kept = table.where(F.col("k") < 500)
+        assert joined.agg(F.sum("id"), F.count("id")).first() == kept.agg(F.sum("id"), F.count("id")).first()
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
