@@ -1,5 +1,6 @@
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 
@@ -212,6 +213,48 @@ def test_mixing_places_every_row_once(spark):
     assert [by_slot[i] for i in range(len(by_slot))] == expected
 
 
+def fluid(blocks, weights, slots):
+    """What each source should have placed after so many slots, by the given weights."""
+    sent = {x: Fraction(0) for x in blocks}
+    while slots > 0 and (open_ := [x for x in blocks if sent[x] < blocks[x]]):
+        total = sum(Fraction(weights[x]) for x in open_)
+        step = min([Fraction(slots)] + [(blocks[x] - sent[x]) * total / Fraction(weights[x]) for x in open_])
+        for x in open_:
+            sent[x] += step * Fraction(weights[x]) / total
+        slots -= step
+    return sent
+
+
+def test_mixing_keeps_to_the_given_weights():
+    third = [40_000] + [4_000] * 19
+    for blocks, weights in (
+        (third, [n**0.5 for n in third]),
+        ([3, 0, 700, 90, 1], [1e-3, 5.0, 1 / 3, 0.1, 2.0]),
+        ([2] * 1500 + [3000], [n**0.5 for n in [2] * 1500 + [3000]]),
+    ):
+        steps = list(mixing.exact_schedule(blocks, weights))
+        assert Counter(x for x, _ in steps) == Counter({x: n for x, n in enumerate(blocks) if n})
+        placed, looks = Counter(), {len(steps) * i // 20 for i in range(1, 21)}
+        for t, (x, k) in enumerate(steps, 1):
+            assert k == placed[x]
+            placed[x] += 1
+            if t in looks:
+                target = fluid(dict(enumerate(blocks)), weights, t)
+                assert all(abs(placed[x] - target[x]) < 1 for x in target)
+
+
+def test_positions_keep_to_the_given_weights(spark):
+    sizes = {"a": 3300, "b": 1700, None: 1600}
+    weights = {"a": 0.50049, "b": 0.25, None: 0.24951}
+    rows = [(i, s) for i, s in enumerate(x for x, n in sizes.items() for _ in range(n))]
+    found = mixing.positions(spark.createDataFrame(rows, "doc_id long, source string"), weights, block_docs=1)
+    order = [r["source"] for r in found.orderBy("position").collect()]
+    assert len(order) == len(rows)
+    for t in range(200, len(order), 200):
+        placed, target = Counter(order[:t]), fluid(sizes, weights, t)
+        assert all(abs(placed[x] - target[x]) < 1 for x in sizes)
+
+
 def test_mixed_rows(edge_docs, tables):
     for docs in (edge_docs, tables("documents"), edge_docs.limit(0)):
         mixed = mixing.mixed(docs)

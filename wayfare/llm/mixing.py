@@ -5,26 +5,33 @@ its block k no earlier than slot floor(k / w) and has to by slot ceil((k + 1) /
 blocks that may be placed the one with the earliest deadline goes first. Then at every slot
 each source has placed its share of the slots to within less than one block.
 
-Weights are whole parts of a period, so the schedule repeats: only one period of slots is
-ever worked out, and the place of every block follows from it. When a source has no blocks
-left, the weights of the others are scaled up and a new phase begins, so that all documents
-are placed.
+Windows come from the weights as they are given, in whole numbers, over all slots: nothing is
+rounded, so nothing adds up. When a source has no blocks left, the weights of the others are
+scaled up. That is what a fluid would do that every source sends in proportion to its weight:
+at the level V a source has sent min(V * w, its blocks), the slot is the sum of that over all
+sources, and the window of a block is the part of it in which the fluid sends the block. One
+task lays out the slots, a step for each block, and hands them out as it goes.
+
+With a ``period`` the weights are rounded to whole parts of it and the schedule repeats.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+import itertools
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from fractions import Fraction
+from functools import cmp_to_key
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import stored, tasks_for
+from wayfare.llm.common import released, stored, tasks_for
 
 BLOCK_DOCS = 16
-PERIOD = 1000  # slots; the parts of the sources add up to it
+SLOTS_AT_ONCE = 1 << 16  # rows of a batch of the schedule
 TEMPERATURE = 0.5  # without given weights, the power of a source's documents
 NUMBERED_AT_ONCE = 20_000  # documents that a task numbers, about
 DOCS_OF_A_FILE = 4_000  # documents in a file of the mixed table, about
@@ -96,6 +103,73 @@ def phases(blocks: Mapping[str | None, int], weights: Mapping[str | None, float]
     return found
 
 
+def exact_schedule(blocks: list[int], weights: list[float]) -> Iterator[tuple[int, int]]:
+    """For slot 0, 1, ... the place of its source in the list and the number of its block.
+
+    At the end of each slot the source has placed its part of the fluid to within less than one
+    block: windows hold no more blocks than slots, so earliest deadline first meets them all.
+    """
+    exact = [Fraction(w) for w in weights]
+    scale = max((w.denominator for w in exact), default=1)  # powers of two, as of all floats
+    whole = [int(w * scale) for w in exact]
+    active = [x for x in range(len(blocks)) if blocks[x] > 0]
+
+    def ends_before(x: int, y: int) -> int:
+        return blocks[x] * whole[y] - blocks[y] * whole[x]
+
+    # Sources by the level at which they are used up; blocks used up and weight left from then on.
+    ends = sorted(active, key=cmp_to_key(ends_before))
+    used, left = [0], [sum(whole[x] for x in active)]
+    for x in ends:
+        used.append(used[-1] + blocks[x])
+        left.append(left[-1] - whole[x])
+
+    def slot_at(x: int, k: int) -> tuple[int, bool]:
+        """Slot, rounded down, in which the fluid has sent k blocks; whether it was rounded."""
+        low, high = 0, len(ends)  # sources used up below the level k / whole[x]
+        while low < high:
+            at = (low + high) // 2
+            if blocks[ends[at]] * whole[x] < k * whole[ends[at]]:
+                low = at + 1
+            else:
+                high = at
+        slot, rest = divmod(k * left[low], whole[x])
+        return used[low] + slot, rest > 0
+
+    # Of each source only the next block is in either heap.
+    waiting = [(0, x, 0) for x in active]
+    ready: list = []
+    slot = 0
+    while waiting or ready:
+        while waiting and waiting[0][0] <= slot:
+            _, x, k = heapq.heappop(waiting)
+            release, part = slot_at(x, k + 1)
+            heapq.heappush(ready, (release + part, x, k, release))
+        _, x, k, release = heapq.heappop(ready)
+        yield x, k
+        slot += 1
+        if k + 1 < blocks[x]:
+            heapq.heappush(waiting, (release, x, k + 1))
+
+
+def laid_out(sources: DataFrame) -> DataFrame:
+    """``s``, ``block`` and ``slot`` of every block, of ``s``, ``blocks`` and ``weight`` of every source."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns))]
+        rows.sort(key=lambda r: (r[0] is not None, r[0] or ""))
+        names = pa.array([r[0] for r in rows], pa.string())
+        steps = exact_schedule([r[1] for r in rows], [r[2] for r in rows])
+        first = 0
+        while part := list(itertools.islice(steps, SLOTS_AT_ONCE)):
+            slots = pa.array(range(first, first + len(part)), pa.int64())
+            own, blocks = (pa.array(c, pa.int64()) for c in zip(*part))
+            yield pa.RecordBatch.from_arrays([names.take(own), blocks, slots], ["s", "block", "slot"])
+            first += len(part)
+
+    return sources.coalesce(1).mapInArrow(released(run), "s string, block long, slot long")
+
+
 def numbered(docs: DataFrame, total: int) -> DataFrame:
     """``docs`` with ``__n``, the place of each row in its source in the order of a hash.
 
@@ -123,11 +197,38 @@ def numbered(docs: DataFrame, total: int) -> DataFrame:
     )
 
 
+def periodic(
+    n: DataFrame, blocks: Mapping[str | None, int], weights: Mapping[str | None, float], period: int
+) -> tuple[DataFrame, Column]:
+    """``n`` with what the slot of its rows follows from, and the slot, in a repeating schedule."""
+    plan = phases(blocks, weights, period)
+    schedule = []  # one row for each source and phase, at most the square of the sources
+    for number, phase in enumerate(plan):
+        places: dict = {}
+        for at, x in enumerate(phase.slots):
+            places.setdefault(x, []).append(at)
+        for x, own in places.items():
+            end = plan[number + 1].first_block[x] if number + 1 < len(plan) else None
+            schedule.append((x, phase.first_block[x], end, phase.first_slot, len(phase.slots), own))
+    names = "s string, first_block long, end long, first_slot long, period long, places array<long>"
+    table = n.sparkSession.createDataFrame(schedule, names)
+    since = F.col("__block") - F.col("first_block")
+    placed = n.join(
+        F.broadcast(table),
+        n["__source"].eqNullSafe(table["s"])
+        & (since >= 0)
+        & (F.col("end").isNull() | (F.col("__block") < F.col("end"))),
+    )
+    part = F.size("places")
+    turn = F.get("places", F.pmod(since, part).cast("int"))
+    return placed, F.col("first_slot") + F.floor(since / part) * F.col("period") + turn
+
+
 def positions(
     docs: DataFrame,
     weights: Mapping[str | None, float] | None = None,
     block_docs: int = BLOCK_DOCS,
-    period: int = PERIOD,
+    period: int | None = None,
     source: str = "source",
     doc_id: str = "doc_id",
 ) -> DataFrame:
@@ -138,7 +239,9 @@ def positions(
     own. Rows with equal ids are all placed, in any order among themselves. ``weights`` has a
     positive weight for every source of ``docs`` (one more is ignored, one missing is an
     error); without it a source has the weight of its number of rows to the power of
-    ``TEMPERATURE``. An empty table has no rows. Other columns are not read.
+    ``TEMPERATURE``. With a ``period`` weights are rounded to whole parts of it, and what is
+    lost by that adds up from period to period. An empty table has no rows. Other columns are
+    not read.
     """
     picked = docs.select(
         F.col(doc_id).alias("__id"), F.col(source).alias("__source"), F.lit(0).alias("__tie")
@@ -151,29 +254,16 @@ def positions(
         weights = {x: n**TEMPERATURE for x, n in counts.items()}
     if missing := [x for x in counts if not weights.get(x, 0) > 0]:
         raise ValueError(f"no weight for {missing[:5]}")
-    spark = docs.sparkSession
-    plan = phases({x: -(-n // block_docs) for x, n in counts.items()}, weights, period)
-    schedule = []  # one row for each source and phase, at most the square of the sources
-    for number, phase in enumerate(plan):
-        places: dict = {}
-        for at, x in enumerate(phase.slots):
-            places.setdefault(x, []).append(at)
-        for x, own in places.items():
-            end = plan[number + 1].first_block[x] if number + 1 < len(plan) else None
-            schedule.append((x, phase.first_block[x], end, phase.first_slot, len(phase.slots), own))
-    names = "s string, first_block long, end long, first_slot long, period long, places array<long>"
-    table = spark.createDataFrame(schedule, names)
+    blocks = {x: -(-n // block_docs) for x, n in counts.items()}
     n = numbered(picked, sum(counts.values())).withColumn("__block", F.floor(F.col("__n") / block_docs))
-    since = F.col("__block") - F.col("first_block")
-    placed = n.join(
-        F.broadcast(table),
-        n["__source"].eqNullSafe(table["s"])
-        & (since >= 0)
-        & (F.col("end").isNull() | (F.col("__block") < F.col("end"))),
-    )
-    part = F.size("places")
-    turn = F.get("places", F.pmod(since, part).cast("int"))
-    slot = F.col("first_slot") + F.floor(since / part) * F.col("period") + turn
+    if period is None:
+        rows = [(x, blocks[x], float(weights[x])) for x in counts]
+        sources = docs.sparkSession.createDataFrame(rows, "s string, blocks long, weight double")
+        table = stored(laid_out(sources))
+        placed = n.join(table, n["__source"].eqNullSafe(table["s"]) & (n["__block"] == table["block"]))
+        slot = F.col("slot")
+    else:
+        placed, slot = periodic(n, blocks, weights, period)
     return placed.select(
         F.col("__id").alias("doc_id"),
         F.col("__source").alias("source"),
