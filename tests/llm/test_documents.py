@@ -169,6 +169,28 @@ def test_perplexity_on_labelled_rows(tables):
     assert kept[0, False] > kept[0, True]
 
 
+def test_perplexity_of_a_language_with_few_trusted_texts(spark):
+    rng = np.random.default_rng(3)
+    words = ["casa", "perro", "libro", "noche", "agua", "camino", "verde", "mesa", "calle", "tiempo"]
+    more = ["haus", "hund", "buch", "nacht", "wasser", "weg", "tisch", "gasse", "zeit", "abend"]
+
+    def rows(count, lang, own, first):
+        return [(first + i, " ".join(rng.choice(own, int(rng.integers(3, 60)))), lang) for i in range(count)]
+
+    spanish = rows(300, "es", words, 10_000)
+    held = [r for r in spanish if is_held_out(r[0])]
+    fitted = [r for r in spanish if not is_held_out(r[0])][:20]
+    german = rows(600, "de", more, 0)
+    names = "doc_id long, text string, lang string"
+    docs = spark.createDataFrame(german + spanish, names)
+    for few in (1, 2, 5):
+        # The one that is most predictable, so that the others lie above it.
+        model_rows = german + fitted + sorted(held, key=lambda r: -len(r[1]))[:few]
+        labels = spark.createDataFrame([(r[0], 1, 0) for r in model_rows], "doc_id long, quality int, toxic int")
+        kept = {r["doc_id"]: r["kept"] for r in perplexity.judge(docs, labels).collect()}
+        assert sum(kept[r[0]] for r in spanish) >= 0.98 * len(spanish)
+
+
 def test_perplexity_edge_rows(edge_docs, no_labels):
     rows = perplexity.judge(edge_docs, no_labels).collect()
     assert Counter((r["doc_id"], r["kept"]) for r in rows) == Counter(

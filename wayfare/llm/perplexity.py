@@ -26,6 +26,7 @@ from wayfare.llm.common import few, held_out, release, released, stored, tasks_f
 ORDER = 4
 BLOCK_CHARS = 8 << 20  # text of a block
 MIDDLE, UPPER = 0.5, 0.99  # quantiles of log perplexity
+ENOUGH = 100  # held-out trusted texts of a language from which its own quantiles hold alone
 MARGIN = 1.5  # times the distance of the quantiles is allowed above the upper one
 TYPICAL_BYTES = 50  # bytes of typical text that each text is filled up with when it is judged
 START = 0x0A  # a text begins and ends with a line feed
@@ -232,6 +233,9 @@ def scored(
 def limits(trusted: DataFrame) -> DataFrame:
     """For each language and for all (NULL): the middle and the highest log perplexity kept.
 
+    A language with fewer than ``ENOUGH`` texts says little about its spread: its limit is
+    not below its middle and the distance that texts of all languages have from their middles.
+
     Values are rounded to a thousandth: then the mergeable sketches of ``percentile_approx``
     have room for every value that occurs, and the quantiles are exact and repeatable.
     """
@@ -241,11 +245,18 @@ def limits(trusted: DataFrame) -> DataFrame:
         each.withColumn("of", F.lit(None).cast("string"))
     )
     q = F.percentile_approx("v", [MIDDLE, UPPER], 10_000)
-    return both.groupBy("of").agg(q.alias("q")).select(
+    found = both.groupBy("of").agg(q.alias("q"), F.count(F.lit(1)).alias("texts")).select(
         "of",
+        "texts",
         F.col("q")[0].alias("middle"),
-        (F.col("q")[1] + MARGIN * (F.col("q")[1] - F.col("q")[0])).alias("highest"),
+        (F.col("q")[1] + MARGIN * (F.col("q")[1] - F.col("q")[0])).alias("own"),
     )
+    middles = found.where("of is not null").select(F.col("of").alias("lang"), "middle")
+    apart = each.join(F.broadcast(middles), "lang").select(F.round(F.col("v") - F.col("middle"), 3).alias("v"))
+    pooled = apart.agg(q.alias("q")).select(((1 + MARGIN) * (F.col("q")[1] - F.col("q")[0])).alias("spread"))
+    wide = F.greatest(F.col("own"), F.col("middle") + F.col("spread"))
+    highest = F.when(F.col("of").isNotNull() & (F.col("texts") < ENOUGH), wide).otherwise(F.col("own"))
+    return found.crossJoin(F.broadcast(pooled)).select("of", "middle", highest.alias("highest"))
 
 
 def judged_rows(
@@ -288,7 +299,8 @@ def judge(docs: DataFrame, labels: DataFrame, order: int = ORDER, text: str = "t
     text filled up with ``TYPICAL_BYTES`` bytes of the language's middle perplexity, so a few
     odd words do not reject a short text. An empty or NULL text has perplexity NULL and is
     not kept. A language without held-out trusted text, or NULL, takes the quantiles over all
-    languages; without any trusted text every non-empty text is kept. Repeated rows and NULL
+    languages, and one with fewer than ``ENOUGH`` such texts has at least the spread that
+    texts of all languages have about the middles of their own; without any trusted text every non-empty text is kept. Repeated rows and NULL
     ids stay. Other columns are not read.
     """
     return judged_rows(docs, labels, order, text).select(
