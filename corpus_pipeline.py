@@ -8,6 +8,9 @@ it back as the next stage's documents. All stages but the last return the column
 
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,18 +50,47 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs.select(COLUMNS))
 
 
+def in_file_order(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` with ``position``, the place of a row when files are read in the order they were
+    written in. Spark itself reads large files first. Rows that are not from files, or from files
+    without numbers, are numbered by partition, in the order they come in.
+    """
+    try:
+        named = docs.withColumns({"__file": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index")})
+    except AnalysisException:
+        return docs.withColumn("position", F.monotonically_increasing_id())
+    sizes = named.groupBy("__file").agg(F.count(F.lit(1)).alias("rows")).collect()  # one row a file
+    # Both numbers of a name like part-00003-(id)-c000.snappy.parquet.
+    number = re.compile(r"/part-(\d+)-[^/]*?(?:-c(\d+))?\.[^/]*$")
+    found = [(number.search(r["__file"]), r["__file"], r["rows"]) for r in sizes]
+    if not all(match for match, _, _ in found):
+        return docs.withColumn("position", F.monotonically_increasing_id())
+    starts, before = [], 0
+    for _, name, rows in sorted(found, key=lambda x: (int(x[0][1]), int(x[0][2] or 0), x[1])):
+        starts.append((name, before))
+        before += rows
+    table = spark.createDataFrame(starts, "__name string, __before long")
+    placed = named.join(F.broadcast(table), F.col("__file") == F.col("__name"))
+    return placed.select(*docs.columns, (F.col("__before") + F.col("__row")).alias("position"))
+
+
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text; ``round_trip`` says that decoding gives the text again."""
+    """Token ids of every text; ``round_trip`` says that decoding gives the text again.
+
+    ``position`` is the place of the document in ``docs``: the order of the mixture.
+    """
     ship(spark)
     path = ranks_path()
     text = F.coalesce(F.col("text"), F.lit(""))
     # A digest goes along instead of a second copy of the text.
-    marked = docs.select("doc_id", "source", F.sha2(text, 256).alias("digest"), "text")
-    kept = ("doc_id", "source", "digest")
+    placed = in_file_order(spark, docs)
+    marked = placed.select("doc_id", "source", "position", F.sha2(text, 256).alias("digest"), "text")
+    kept = ("doc_id", "source", "position", "digest")
     decoded = bpe.decode(bpe.encode(marked, path, keep=kept), path, keep=kept)
     return decoded.select(
         "doc_id",
         "source",
+        "position",
         "tokens",
         F.size("tokens").cast("long").alias("n_tokens"),
         (F.sha2("decoded", 256) == F.col("digest")).alias("round_trip"),

@@ -169,3 +169,20 @@ def test_pipeline_matches_brute_force(spark, sf_dir, tables):
         assert Counter(r["doc_id"] for r in seen[number][1].collect()) == expected
     final = corpus_pipeline.run(spark, sf_dir)
     assert {r["doc_id"] for r in final.collect()} == {r["doc_id"] for r in docs.collect()}
+
+
+def test_order_of_the_mixture_reaches_the_tokens(spark, monkeypatch):
+    """Files of differing sizes: Spark reads the large ones first."""
+    from wayfare.llm import mixing
+    from wayfare.llm.common import shared_path
+
+    monkeypatch.setattr(mixing, "DOCS_OF_A_FILE", 40)
+    rows = [(i, f"text {i} " * (1 + i % 50), "en", "abc"[i % 7 % 3], 7) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    expected = [r["doc_id"] for r in mixing.positions(docs).orderBy("position").collect()]
+    path = shared_path(spark)
+    corpus_pipeline.mix_sources(spark, docs, "").write.parquet(path)
+    found = corpus_pipeline.tokenize(spark, spark.read.parquet(path), "").collect()
+    assert sorted(r["position"] for r in found) == list(range(400))
+    assert [r["doc_id"] for r in sorted(found, key=lambda r: r["position"])] == expected
+    assert all(r["round_trip"] for r in found)
