@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfare.llm import bpe, html_text, language, lines, mixing, mtree, near_dup
+from wayfare.llm import alignment, bpe, html_text, language, lines, mixing, mtree, near_dup
 from wayfare.llm import perplexity, toxicity, url_filter
 from wayfare.llm.common import ship, table
 
@@ -33,6 +33,18 @@ def ranks_path() -> str:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def tokenizer_path(name: str) -> str:
+    """A file of the installed package of public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def aligned_digests(docs: DataFrame) -> DataFrame:
+    first, second = map(tokenizer_path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.digests(docs, first, second)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_html_extraction": _over(html_text.extract, "pages"),
@@ -45,6 +57,7 @@ def queries() -> dict[str, Query]:
         "op8_source_mixing": _over(mixing.positions, "documents"),
         "op9_language_id": _over(language.predictions, "documents"),
         "op10_minhash_near_dedup": _over(near_dup.query, "documents"),
+        "op13_token_alignment": _over(aligned_digests, "documents"),
     }
 
 
