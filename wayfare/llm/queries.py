@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfare.llm import alignment, bpe, html_text, language, lines, mixing, mtree, near_dup
-from wayfare.llm import perplexity, substrings, toxicity, url_filter
+from wayfare.llm import perplexity, spelling, substrings, toxicity, url_filter
 from wayfare.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,7 @@ def queries() -> dict[str, Query]:
         "op8_source_mixing": _over(mixing.positions, "documents"),
         "op9_language_id": _over(language.predictions, "documents"),
         "op10_minhash_near_dedup": _over(near_dup.query, "documents"),
+        "op11_spelling_variants": _over(spelling.variants, "documents"),
         "op12_substring_dedup": _over(substrings.digests, "documents"),
         "op13_token_alignment": _over(aligned_digests, "documents"),
     }
@@ -66,5 +67,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_exact_top_k": mtree.TOP_K_SQL,
         "op5_url_filters": url_filter.VERDICTS_SQL,
+        "op11_spelling_variants": _over(spelling.variants, "documents"),
         "op12_substring_dedup": substrings.DIGESTS_SQL,
     }
