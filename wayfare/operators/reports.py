@@ -1,19 +1,21 @@
 """Report operators: top-k, ranks, shares, running values, outliers.
 
-Those that look along a whole ordered table (ranks, running totals, moving means) put
-its rows in one window unless ``within`` names groups. They are meant for marts, whose
-row count is set by the calendar or by the zone list and does not grow with the trips.
+Running totals, moving means and changes put a whole ordered table in one window unless
+``within`` names groups. They are meant for marts by date, whose row count is set by the
+calendar and does not grow with the trips. Ranks over a whole table are shared by many tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfare.operators.lookup import LookupSize, lookup_join
+from wayfare.operators.ranks import with_percent_rank, with_rank
+from wayfare.sources.sinks import stored
 
 RANKINGS = {
     "row_number": F.row_number,
@@ -56,13 +58,24 @@ def top_k_per_group(
 
 
 def rank_all(table: DataFrame, by: str, rank: str, method: str = "rank") -> DataFrame:
-    order = Window.orderBy(*descending(by))
-    return table.withColumn(rank, RANKINGS[method]().over(order).cast("long"))
+    """All rows ranked by ``by``, the largest first; ``method`` is rank or dense_rank."""
+    table = stored(table, "ranked")
+    return with_rank(table, by, descending(by), rank, method)
+
+
+def percentiles_of(table: DataFrame, names: Mapping[str, str]) -> DataFrame:
+    """Relative ranks from 0 (least) to 1 (largest); ``names`` maps each new column to the one
+    that it ranks. The table is stored and counted once for all of them."""
+    ranked = table = stored(table, "ranked")
+    rows = table.count()
+    for name, by in names.items():
+        ranked = with_percent_rank(ranked, by, ascending(by), name, rows)
+    return ranked
 
 
 def percentile_of(table: DataFrame, by: str, name: str) -> DataFrame:
     """Relative rank from 0 (least) to 1 (largest)."""
-    return table.withColumn(name, F.percent_rank().over(Window.orderBy(*ascending(by))))
+    return percentiles_of(table, {name: by})
 
 
 def running_total(

@@ -122,8 +122,9 @@ def unusual_hours(layers: Layers, deviations: float = 2.0) -> DataFrame:
 def busy_low_tip_zones(layers: Layers, busy: float = 0.75, low: float = 0.25) -> DataFrame:
     """Q14: zones in the upper part by pickups and in the lower part by mean tip."""
     served = layers.zone.where(F.col("total_pickup_trips") > 0)
-    ranked = reports.percentile_of(served, "total_pickup_trips", "pickup_percentile")
-    ranked = reports.percentile_of(ranked, "avg_tip", "tip_percentile")
+    ranked = reports.percentiles_of(
+        served, {"pickup_percentile": "total_pickup_trips", "tip_percentile": "avg_tip"}
+    )
     chosen = ranked.where((F.col("pickup_percentile") >= busy) & (F.col("tip_percentile") <= low))
     return chosen.orderBy(
         *reports.descending("total_pickup_trips"), *reports.ascending("location_id")
