@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from wayfare.operators import audit, quality, reports
-from wayfare.operators.dedup import first_per_key
+from wayfare.operators.dedup import PACKED, Packing, first_per_key
 from wayfare.operators.lookup import LookupSize, lookup_join
 from wayfare.operators.rules import Rule, first_failure, passes
 
@@ -55,6 +55,18 @@ def test_first_per_key(spark, data):
     assert Counter(rows(first_per_key(table, ["a", "b"], ["x"]))) == Counter(expected)
 
 
+@pytest.mark.parametrize("packed", [False, True])
+def test_first_per_key_counts_copies(spark, packed):
+    data = [(1, 5), (1, 3), (1, 4), (2, 7), (None, 1), (None, 1)]
+    table = spark.createDataFrame(data, "a int, x int").repartition(3)
+    packing = Packing(F.col("x").cast("long"), {"x": F.col(PACKED).cast("int")}) if packed else None
+    found = first_per_key(table, ["a"], ["x"], packing=packing, copies="n")
+    assert found.columns == ["a", "x", "n"]
+    assert Counter(rows(found)) == Counter([(1, 3, 3), (2, 7, 1), (None, 1, 1), (None, 1, 1)])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert ("SortAggregate" in plan) is not packed
+
+
 def test_first_per_key_without_other_columns(spark):
     table = spark.createDataFrame([(1,), (1,), (None,), (None,)], "a int")
     assert Counter(rows(first_per_key(table, ["a"], []))) == Counter([(1,), (None,), (None,)])
@@ -178,17 +190,12 @@ def test_load_audit(spark):
 
 
 def test_row_conservation(spark):
-    copies = spark.createDataFrame([(2,), (3,)], "copies long")
-    good = audit.row_conservation(spark.range(10), spark.range(4), spark.range(3), copies).first()
-    assert (good.raw_rows, good.kept_rows, good.rejected_rows, good.dropped_rows, good.status) == (
-        10,
-        4,
-        3,
-        3,
-        "SUCCESS",
-    )
-    bad = audit.row_conservation(spark.range(11), spark.range(4), spark.range(3), copies).first()
-    assert bad.status == "FAILED"
+    kept = spark.createDataFrame([(4, 3)], "kept_rows long, dropped_rows long")
+    for raw, status in ((10, "SUCCESS"), (11, "FAILED")):
+        outcomes = spark.createDataFrame([(raw, 3)], "raw_rows long, rejected_rows long")
+        found = audit.row_conservation(outcomes, kept).first()
+        assert tuple(found) == (raw, 4, 3, 3, status)
+        assert audit.balance(raw, 4, 3, 7) == found.asDict()
 
 
 def test_equal_values_are_not_above_their_mean(spark):

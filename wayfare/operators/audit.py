@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 STATUSES = ("SUCCESS", "FAILED")  # fixed values
@@ -27,25 +27,42 @@ def load_audit(objects: Mapping[str, DataFrame], status: str = "SUCCESS") -> Dat
     return reduce(DataFrame.unionByName, counts)
 
 
-def row_conservation(
-    raw: DataFrame, kept: DataFrame, rejected: DataFrame, surplus: DataFrame
-) -> DataFrame:
-    """Check that every raw row was kept, rejected or dropped as a duplicate.
+def logged(spark: SparkSession, counts: Mapping[str, int], status: str = "SUCCESS") -> DataFrame:
+    """``load_audit`` of objects whose rows were counted while they were written."""
+    rows = [(name.split(".")[0], name, rows, status) for name, rows in counts.items()]
+    return spark.createDataFrame(
+        rows, "layer_name string, object_name string, row_count bigint, status string"
+    )
+
 
-    ``surplus`` holds one row per natural key with its number of ``copies``; all but one
-    of them are dropped. It is computed apart from the kept rows, so the check is real.
+def balance(raw_rows: int, kept_rows: int, rejected_rows: int, folded_rows: int) -> dict:
+    """Whether every raw row was kept, rejected or dropped as a duplicate.
+
+    ``folded_rows`` are the rows that the kept ones were made of.
     """
-    one = F.count(F.lit(1))
-    dropped = F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))
-    parts = [
-        ("raw_rows", raw.agg(one.alias("n"))),
-        ("kept_rows", kept.agg(one.alias("n"))),
-        ("rejected_rows", rejected.agg(one.alias("n"))),
-        ("dropped_rows", surplus.agg(dropped.alias("n"))),
-    ]
-    tagged = [part.select(F.lit(name).alias("part"), "n") for name, part in parts]
-    totals = reduce(DataFrame.unionByName, tagged).agg(
-        *[F.sum(F.when(F.col("part") == name, F.col("n"))).alias(name) for name, _ in parts]
+    dropped = folded_rows - kept_rows
+    adds_up = raw_rows == folded_rows + rejected_rows
+    return {
+        "raw_rows": raw_rows,
+        "kept_rows": kept_rows,
+        "rejected_rows": rejected_rows,
+        "dropped_rows": dropped,
+        "status": "SUCCESS" if adds_up else "FAILED",
+    }
+
+
+def row_conservation(outcomes: DataFrame, kept: DataFrame) -> DataFrame:
+    """The same of tables, as one row. ``outcomes`` has ``raw_rows`` and ``rejected_rows``,
+    ``kept`` has ``kept_rows`` and ``dropped_rows``; each has one row, found apart from the other,
+    so the check is real."""
+    both = outcomes.select("raw_rows", "rejected_rows", F.lit(1).alias("__one")).join(
+        kept.select("kept_rows", "dropped_rows", F.lit(1).alias("__one")), "__one"
     )
     balanced = F.col("raw_rows") == F.col("kept_rows") + F.col("rejected_rows") + F.col("dropped_rows")
-    return totals.withColumn("status", F.when(balanced, "SUCCESS").otherwise("FAILED"))
+    return both.select(
+        "raw_rows",
+        "kept_rows",
+        "rejected_rows",
+        "dropped_rows",
+        F.when(balanced, "SUCCESS").otherwise("FAILED").alias("status"),
+    )

@@ -49,12 +49,29 @@ def load_audit(stored: StoredLayers) -> DataFrame:
 
 
 def row_conservation(layers: Layers) -> DataFrame:
-    """Raw rows = cleaned + rejected + dropped duplicates."""
+    """Raw rows = cleaned + rejected + dropped duplicates.
+
+    One scan classifies the raw trips, and one shuffle folds those that pass the filters of the
+    cleaned trips, which are written apart from the rules' outcome. Stored tables are counted.
+    """
+    one = F.count(F.lit(1))
+    outcomes = layers.classified.agg(
+        one.alias("raw_rows"), F.count("error_type").alias("rejected_rows")
+    )
     valid = silver.valid_trips(layers.raw_trips, layers.zones, layers.zone_size, layers.profile)
-    surplus = quality.repeated_keys(
-        silver.rounded_trips(valid), layers.profile.trip_key, nulls_distinct=True
+    unique = silver.unique_trips(
+        silver.rounded_trips(valid), layers.profile, layers.codes_fit, silver.COPIES
+    )
+    kept = unique.agg(
+        one.alias("kept_rows"),
+        (F.coalesce(F.sum(silver.COPIES), F.lit(0)) - one).alias("dropped_rows"),
     )
-    return audit.row_conservation(layers.raw_trips, layers.trips, layers.issues, surplus)
+    if isinstance(layers, StoredLayers):
+        outcomes = outcomes.select(
+            "raw_rows", layers.issues.agg(one).scalar().alias("rejected_rows")
+        )
+        kept = kept.select(layers.trips.agg(one).scalar().alias("kept_rows"), "dropped_rows")
+    return audit.row_conservation(outcomes, kept)
 
 
 def primary_keys(stored: StoredLayers) -> DataFrame:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wayfare.operators.lookup import LookupSize, measure_lookup
 from wayfare.plans import gold, silver, views
@@ -39,7 +40,7 @@ AUDITED = (RAW_ZONES, RAW_TRIPS, TRIPS, ISSUES, DAILY, HOURLY, ZONE, PAYMENT, RO
 @dataclass(frozen=True)
 class Layers:
     """Raw tables, and all that follows from them. Nothing runs until a result is used,
-    except for the one count of the zone list that the joins rely on."""
+    except for the count of the zone list and the range of payment codes that plans rely on."""
 
     raw_trips: DataFrame
     raw_zones: DataFrame
@@ -61,9 +62,23 @@ class Layers:
     def issues(self) -> DataFrame:
         return silver.rejected_trips(self.classified, self.profile)
 
+    @cached_property
+    def codes_fit(self) -> bool:
+        """Whether all payment codes fit the packed form in which duplicates are compared.
+
+        One row comes back to the driver; the count reads a single column, in Parquet files
+        of plain types their footers only.
+        """
+        bounds = self.raw_trips.agg(
+            F.min("payment_type").alias("least"), F.max("payment_type").alias("largest")
+        )
+        return bounds.select(silver.codes_fit(F.col("least"), F.col("largest"))).first()[0]
+
     @cached_property
     def trips(self) -> DataFrame:
-        return silver.cleaned_trips(self.raw_trips, self.zones, self.zone_size, self.profile)
+        return silver.cleaned_trips(
+            self.raw_trips, self.zones, self.zone_size, self.profile, self.codes_fit
+        )
 
     @cached_property
     def time_sums(self) -> DataFrame:

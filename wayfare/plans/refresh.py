@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from wayfare.operators import audit
 from wayfare.operators.lookup import measure_lookup
-from wayfare.plans import checks, gold, layers, silver
+from wayfare.plans import gold, layers, silver
 from wayfare.plans.layers import Layers, StoredLayers
 from wayfare.plans.runs import LOAD_LOG, RUN_LOG, Run, latest_run, run_folder, table_path
 from wayfare.profile import DEFAULT_PROFILE, TripProfile
-from wayfare.schemas import STORED_TRIPS
+from wayfare.schemas import CLEANED_TRIPS, STORED_TRIPS
 from wayfare.sources.ingest import stamped
-from wayfare.sources.sinks import rebalanced, write_layer
+from wayfare.sources.sinks import rebalanced, remove, write_counted
 
 
 def refresh(
@@ -38,62 +40,107 @@ def refresh(
     """
     run = Run.start(raw_trips.sparkSession, root, name)
     made: dict[str, DataFrame] = {}
+    seen: dict[str, dict[str, int]] = {}
     current = [layers.RAW_TRIPS]
     try:
-        _build(raw_trips, raw_zones, run.folder, profile, partition_trips_by, made, current)
-        stored = StoredLayers(made, profile)
+        _build(raw_trips, raw_zones, run, profile, partition_trips_by, made, seen, current)
         current.append("audit.row_conservation")
-        balance = checks.row_conservation(stored).first()
+        balance = audit.balance(
+            raw_rows=seen[layers.RAW_TRIPS]["rows"],
+            kept_rows=seen[layers.TRIPS]["rows"],
+            rejected_rows=seen[layers.ISSUES]["rows"],
+            folded_rows=seen[layers.TRIPS]["copies"] or 0,
+        )
         if balance["status"] != "SUCCESS":
-            raise LostRowsError(f"trips do not add up: {balance.asDict()}")
+            raise LostRowsError(f"trips do not add up: {balance}")
         current.append(LOAD_LOG)
-        run.log_loads(checks.load_audit(stored))
+        counts = {object_name: seen[object_name]["rows"] for object_name in layers.AUDITED}
+        run.log_loads(audit.logged(run.spark, counts))
     except Exception as error:
         run.fail(current[-1], error)
         raise
     run.succeed()
-    return stored
+    return StoredLayers(made, profile)
 
 
 class LostRowsError(RuntimeError):
     """Raw trips are not all cleaned, rejected or dropped as duplicates."""
 
 
+class NoRoomError(ValueError):
+    """A strict load met values that the cleaned columns cannot hold."""
+
+
 def _build(
     raw_trips: DataFrame,
     raw_zones: DataFrame,
-    folder: str,
+    run: Run,
     profile: TripProfile,
     partition_trips_by: tuple[str, ...],
     made: dict[str, DataFrame],
+    seen: dict[str, dict[str, int]],
     current: list[str],
 ) -> None:
-    """Write all tables; ``made`` gets them by name, ``current`` the names as they begin."""
+    """Write all tables; ``made`` gets them by name, ``seen`` what was counted while they were
+    written, ``current`` the names as they begin."""
 
-    def put(table: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    def put(table: DataFrame, name: str, partition_by: tuple[str, ...] = (), **watched) -> DataFrame:
         current.append(name)
-        made[name] = write_layer(table, table_path(folder, name), partition_by)
+        path = table_path(run.folder, name)
+        made[name], seen[name] = write_counted(table, path, partition_by, **watched)
         return made[name]
 
-    bronze = Layers(
-        put(stamped(raw_trips), layers.RAW_TRIPS),
-        put(stamped(raw_zones), layers.RAW_ZONES),
+    bronze = put(stamped(raw_trips), layers.RAW_TRIPS)
+    raw = Layers(bronze, put(stamped(raw_zones), layers.RAW_ZONES), profile)
+    zones = put(raw.zones, layers.ZONES)
+    size = measure_lookup(zones, "location_id")
+
+    # The only reader of the raw trips: each is classified once and stored by its route.
+    current.append(layers.ISSUES)
+    routed = f"{run.folder}/routed"
+    code = F.col("payment_type")
+    classified, found = write_counted(
+        silver.with_route(silver.classify(bronze, zones, size, profile)),
+        routed,
+        (silver.ROUTE,),
+        metrics={
+            "fit": silver.codes_fit(F.min(code), F.max(code)),
+            "no_room": F.count_if(silver.lacks_room()),
+        },
+    )
+
+    def route(name: str) -> DataFrame:
+        return classified.where(F.col(silver.ROUTE) == name).drop(silver.ROUTE)
+
+    rejected = silver.rejected_trips(route(silver.REJECTED), profile)
+    put(stamped(silver.with_row_id(rejected, "issue_id"), "logged_at"), layers.ISSUES)
+
+    current.append(layers.TRIPS)
+    if profile.strict and found["no_room"]:
+        raise NoRoomError(f"{silver.NO_ROOM}: {found['no_room']} trips")
+    unique = silver.unique_of_routes(
+        route(silver.KEYED),
+        route(silver.SINGLE),
         profile,
+        packed=found["fit"] is not False,
+        copies=silver.COPIES,
     )
-    zones = put(bronze.zones, layers.ZONES)
-    size = measure_lookup(zones, "location_id")
-    classified = silver.classify(bronze.raw_trips, zones, size, profile)
-    rejected = silver.with_row_id(silver.rejected_trips(classified, profile), "issue_id")
-    put(stamped(rejected, "logged_at"), layers.ISSUES)
-    valid = silver.valid_trips(bronze.raw_trips, zones, size, profile)
-    unique = silver.unique_trips(silver.rounded_trips(valid), profile)
     if partition_trips_by:
         # Before the derived columns are added: this shuffle does not carry them either.
         values = silver.cleaned_columns(partition_trips_by, profile)
         unique = unique.withColumns(dict(zip(partition_trips_by, values)))
         unique = rebalanced(unique, *partition_trips_by)
-    cleaned = silver.with_row_id(silver.enrich_trips(unique, profile), "trip_id")
-    trips = put(stamped(cleaned), layers.TRIPS, partition_trips_by)
+    cleaned = unique.select(
+        silver.COPIES, *silver.cleaned_columns(CLEANED_TRIPS.names, profile)
+    )
+    trips = put(
+        stamped(silver.with_row_id(cleaned, "trip_id")),
+        layers.TRIPS,
+        partition_trips_by,
+        metrics={"copies": F.sum(silver.COPIES)},
+        drop=(silver.COPIES,),
+    )
+    remove(run.spark, routed)
 
     by_time = put(gold.time_sums(trips), layers.TIME_SUMS)
     by_route = put(gold.route_sums(trips), layers.ROUTE_SUMS)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wayfare.functions.cleaning import text_or
 from wayfare.functions.labels import label_of
@@ -26,11 +28,11 @@ from wayfare.functions.temporal import (
     minutes_between,
     ntz,
 )
-from wayfare.operators.dedup import first_per_key
+from wayfare.operators.dedup import PACKED, Packing, first_per_key, folded, unfolded
 from wayfare.operators.lookup import LookupSize, lookup_join
 from wayfare.operators.rules import Rule, first_failure, negative, not_positive, passes
 from wayfare.profile import DEFAULT_PROFILE, TripProfile
-from wayfare.schemas import CLEANED_TRIPS
+from wayfare.schemas import CLEANED_TRIPS, MONEY
 
 _PICKUP = "tpep_pickup_datetime"
 _DROPOFF = "tpep_dropoff_datetime"
@@ -38,6 +40,7 @@ _DROPOFF = "tpep_dropoff_datetime"
 # Rules of this library; the other names of rules below are fixed values.
 ROUNDS_TO_ZERO = "rounds_to_zero"
 EXCEEDS_RANGE = "exceeds_range"
+NO_ROOM = "a positive count, distance or duration rounds to zero, or a value is too large"
 
 
 def clean_zones(raw_zones: DataFrame, profile: TripProfile = DEFAULT_PROFILE) -> DataFrame:
@@ -126,6 +129,42 @@ def classify(
     return outcome.select(*raw_trips.columns, "error_type")
 
 
+# Where a classified trip goes on: rejected, searched for duplicates, or unique as it is.
+ROUTE = "route"
+REJECTED, KEYED, SINGLE = "rejected", "keyed", "single"
+
+
+def with_route(classified: DataFrame) -> DataFrame:
+    """Trips as far as a later table needs them, with ``ROUTE`` as the last column."""
+    route = (
+        F.when(F.col("error_type").isNotNull(), REJECTED)
+        .when(F.col("vendor_id").isNull(), SINGLE)
+        .otherwise(KEYED)
+    )
+    return classified.select(*_ROUTED, "error_type", route.alias(ROUTE))
+
+
+_ROUTED = (
+    "vendor_id",
+    _PICKUP,
+    _DROPOFF,
+    "passenger_count",
+    "trip_distance",
+    "pu_location_id",
+    "do_location_id",
+    "payment_type",
+    "fare_amount",
+    "tip_amount",
+    "total_amount",
+    "source_file",
+)
+
+
+def lacks_room() -> Column:
+    """Trips rejected for a value that the cleaned columns cannot hold: errors when strict."""
+    return F.col("error_type").isin(EXCEEDS_RANGE, ROUNDS_TO_ZERO)
+
+
 def rejected_trips(classified: DataFrame, profile: TripProfile = DEFAULT_PROFILE) -> DataFrame:
     """Trips that fail a rule, with the reason."""
     return classified.where(F.col("error_type").isNotNull()).select(
@@ -163,9 +202,7 @@ def valid_trips(
         kept = lookup_join(kept, ids, column, "left_semi", size)
     unfit = [_range_rule(), _rounding_rule()]
     if profile.strict:
-        stop = F.raise_error(
-            F.lit("a positive count, distance or duration rounds to zero, or a value is too large")
-        )
+        stop = F.raise_error(F.lit(NO_ROOM))
         failed = unfit[0].fails | unfit[1].fails
         return kept.where(F.when(failed, stop.cast("boolean")).otherwise(F.lit(True)))
     return kept.where(passes(unfit))
@@ -191,13 +228,84 @@ def rounded_trips(valid: DataFrame) -> DataFrame:
     )
 
 
-def unique_trips(rounded: DataFrame, profile: TripProfile = DEFAULT_PROFILE) -> DataFrame:
-    """One trip per natural key; only the vendor can be missing in it."""
+# Payment codes within this distance of 0 fit the packed form below.
+MOST_CODE = 5 * 10**11
+_HALF, _CODES = 10**6, 10**12
+
+
+def codes_fit(least: Column, largest: Column) -> Column:
+    """Whether all payment codes between two can be packed; none at all can."""
+    return F.coalesce((least >= -MOST_CODE) & (largest < MOST_CODE), F.lit(True))
+
+
+def _whole_part(number: Column, by: Column) -> Column:
+    """Exact division of whole numbers, rounded down."""
+    return F.call_function("div", number, by)
+
+
+def _packing() -> Packing:
+    """Fare, tip and payment code, in this order, as one number of 36 digits: 12 for the cents
+    of the fare, 12 for those of the tip, and 12 for the code, moved to be positive."""
+    fare, tip = (
+        (F.col(name) * F.lit(100)).cast("long") for name in ("fare_amount", "tip_amount")
+    )
+    upper = fare * _HALF + _whole_part(tip, F.lit(_HALF))
+    lower = (tip % _HALF) * _CODES + F.col("payment_type") + MOST_CODE
+    whole = F.lit(Decimal(10**18))
+    number = upper.cast(T.DecimalType(18, 0)) * whole + lower.cast(T.DecimalType(18, 0))
+    packed = F.col(PACKED)
+    high = _whole_part(packed, whole)
+    low = (packed % whole).cast("long")
+
+    def money(cents: Column) -> Column:
+        return (cents.cast(T.DecimalType(14, 0)) * F.lit(Decimal("0.01"))).cast(MONEY)
+
+    return Packing(
+        number.cast(T.DecimalType(38, 0)),
+        {
+            "fare_amount": money(_whole_part(high, F.lit(_HALF))),
+            "tip_amount": money((high % _HALF) * _HALF + _whole_part(low, F.lit(_CODES))),
+            "payment_type": low % _CODES - MOST_CODE,
+        },
+    )
+
+
+_TIEBREAK = ("fare_amount", "tip_amount", "payment_type")
+COPIES = "__copies"
+
+
+def unique_of_routes(
+    keyed: DataFrame,
+    single: DataFrame,
+    profile: TripProfile = DEFAULT_PROFILE,
+    packed: bool = False,
+    copies: str | None = None,
+) -> DataFrame:
+    """``unique_trips`` of valid trips that were routed before: those with a vendor, and those
+    without, which have no duplicates."""
+    kept = folded(
+        rounded_trips(keyed), profile.trip_key, _TIEBREAK, _packing() if packed else None, copies
+    )
+    return kept.unionByName(unfolded(rounded_trips(single), copies))
+
+
+def unique_trips(
+    rounded: DataFrame,
+    profile: TripProfile = DEFAULT_PROFILE,
+    packed: bool = False,
+    copies: str | None = None,
+) -> DataFrame:
+    """One trip per natural key; only the vendor can be missing in it.
+
+    ``packed`` says that all payment codes fit (see ``codes_fit``); then no sort is needed.
+    """
     return first_per_key(
         rounded,
         profile.trip_key,
-        tiebreak=("fare_amount", "tip_amount", "payment_type"),
+        tiebreak=_TIEBREAK,
         nullable=("vendor_id",),
+        packing=_packing() if packed else None,
+        copies=copies,
     )
 
 
@@ -238,9 +346,10 @@ def cleaned_trips(
     zones: DataFrame,
     size: LookupSize,
     profile: TripProfile = DEFAULT_PROFILE,
+    packed: bool = False,
 ) -> DataFrame:
     valid = valid_trips(raw_trips, zones, size, profile)
-    return enrich_trips(unique_trips(rounded_trips(valid), profile), profile)
+    return enrich_trips(unique_trips(rounded_trips(valid), profile, packed), profile)
 
 
 def with_row_id(table: DataFrame, name: str) -> DataFrame:

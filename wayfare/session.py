@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A table stored by a few routes is written without sorting it by route.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     # Wall-clock times have no zone; load stamps are kept in UTC.
     "spark.sql.session.timeZone": "UTC",
     # Building a plan from Python asks the driver for a stack trace per column otherwise.

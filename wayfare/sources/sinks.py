@@ -5,11 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 
@@ -30,6 +30,33 @@ def write_layer(table: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
+def write_counted(
+    table: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    metrics: Mapping[str, Column] | None = None,
+    drop: Sequence[str] = (),
+) -> tuple[DataFrame, dict[str, Any]]:
+    """``write_layer``, and what was seen on the way: ``rows``, and ``metrics`` (aggregates).
+
+    The rows are observed by the tasks that write them, after the last shuffle, so a task that
+    is run again counts once. Columns in ``drop`` are for the metrics and are not written.
+    """
+    seen = Observation()
+    asked = {"rows": F.count(F.lit(1)), **(metrics or {})}
+    watched = table.observe(seen, *[value.alias(name) for name, value in asked.items()])
+    stored = write_layer(watched.drop(*drop), path, partition_by)
+    found = seen.get
+    # Spark leaves the observation out of the plan of a table that it knows to be empty.
+    return stored, {name: found.get(name, 0 if name == "rows" else None) for name in asked}
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library, in whatever store it is."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def write_csv(table: DataFrame, path: str, order: Sequence = ()) -> None:
     """One CSV file with header, rows in the given order. For report-sized results."""
     single = table.repartition(1)
