@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +31,33 @@ def to_whole(value: Column) -> Column:
     return value.cast(T.DecimalType(12, 0)).cast("int")
 
 
+# Cents are added up as two whole numbers. A ``MONEY`` value has less than 10^12 cents, so both
+# parts of one stay below 2^20, and 64 bits hold their sums over 2^43 (8.8 * 10^12) rows.
+_PART_BITS = 20
+_PART = 1 << _PART_BITS
+
+
+def cents_high(value: Column) -> Column:
+    """Whole parts of 2^20 cents in a ``MONEY`` value, rounded down."""
+    return F.shiftright(_cents(value), _PART_BITS)
+
+
+def cents_low(value: Column) -> Column:
+    """The cents beside ``cents_high``: 0 to 2^20 - 1."""
+    return _cents(value).bitwiseAND(F.lit(_PART - 1).cast("long"))
+
+
+def _cents(value: Column) -> Column:
+    return (value * F.lit(100)).cast("long")
+
+
+def cents_total(high: Column, low: Column) -> Column:
+    """The exact sum of amounts, of the sums of both parts."""
+    whole = T.DecimalType(19, 0)
+    cents = high.cast(whole) * F.lit(Decimal(_PART)) + low.cast(whole)
+    return (cents * F.lit(Decimal("0.01"))).cast(T.DecimalType(38, 2))
+
+
 def mean(total: Column, count: Column) -> Column:
     """Mean from an exact decimal total: the same however the rows were split."""
     return F.when(count > 0, total.cast("double") / count)

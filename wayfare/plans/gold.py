@@ -2,7 +2,7 @@
 
 All marts are roll-ups of additive sums. ``unit_sums`` writes each trip as a row of sums
 over one trip; ``roll_up`` adds such rows per key. It does not matter to a mart whether
-it starts from the trips or from sums that were added up before, since decimal sums are
+it starts from the trips or from sums that were added up before, since the sums are
 exact. A single mart is therefore one aggregation of the trips, and a full refresh
 scans the trips twice for all marts together (``time_sums`` and ``route_sums``).
 """
@@ -11,10 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wayfare.functions.labels import label_of
-from wayfare.functions.numeric import mean, ratio_or_zero
+from wayfare.functions.numeric import cents_high, cents_low, cents_total, mean, ratio_or_zero
 from wayfare.functions.temporal import day_part, is_weekend
 from wayfare.operators.lookup import LookupSize, lookup_join
 from wayfare.profile import DEFAULT_PROFILE, TripProfile
@@ -29,25 +28,40 @@ _SUMMED = {
     "sum_distance": "trip_distance",
     "sum_minutes": "trip_duration_minutes",
 }
-_SUMS = ("trips", *_SUMMED, "sum_tip_ratio")
+_RATIO = "sum_tip_ratio"
+_PARTS = {"_high": cents_high, "_low": cents_low}
+
+
+def total(name: str) -> Column:
+    """The exact decimal sum called ``name``, over rows of sums."""
+    return cents_total(*[F.col(name + part) for part in _PARTS])
 
 
 def unit_sums(trips: DataFrame) -> DataFrame:
-    """Each trip as sums over one trip, with the key columns of the marts."""
+    """Each trip as sums over one trip, with the key columns of the marts.
+
+    Amounts are two whole numbers each (see ``cents_high``), so their sums have a fixed width and
+    need no decimal arithmetic per row; only tip ratios have more digits and stay decimals.
+    """
     ratio = ratio_or_zero(F.col("tip_amount"), F.col("total_amount"))
     return trips.select(
         *TIME_KEYS,
         *ROUTE_KEYS,
         F.lit(1).cast("long").alias("trips"),
-        *[F.col(column).alias(name) for name, column in _SUMMED.items()],
-        ratio.alias("sum_tip_ratio"),
+        *[
+            cut(F.col(column)).alias(name + part)
+            for name, column in _SUMMED.items()
+            for part, cut in _PARTS.items()
+        ],
+        ratio.alias(_RATIO),
     )
 
 
 def roll_up(sums: DataFrame, *keys: str | Column) -> DataFrame:
     """Add up sums per key. Spark folds rows before the shuffle, so a key with a third of
     the trips sends one row per task; sums that nobody reads later are not computed."""
-    return sums.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in _SUMS])
+    names = [name for name in sums.columns if name == "trips" or name.startswith("sum_")]
+    return sums.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in names])
 
 
 def time_sums(trips: DataFrame) -> DataFrame:
@@ -55,15 +69,16 @@ def time_sums(trips: DataFrame) -> DataFrame:
 
 
 def route_sums(trips: DataFrame) -> DataFrame:
-    return roll_up(unit_sums(trips), *ROUTE_KEYS)
+    """No mart of routes or zones has tip ratios."""
+    return roll_up(unit_sums(trips).drop(_RATIO), *ROUTE_KEYS)
 
 
 def _revenue() -> Column:
-    return F.col("sum_total").cast(T.DecimalType(38, 2)).alias("total_revenue")
+    return total("sum_total").alias("total_revenue")
 
 
-def _mean(total: str, name: str) -> Column:
-    return mean(F.col(total), F.col("trips")).alias(name)
+def _mean(of: str, name: str) -> Column:
+    return mean(F.col(of) if of == _RATIO else total(of), F.col("trips")).alias(name)
 
 
 def _period(profile: TripProfile) -> Column:

@@ -9,7 +9,6 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wayfare.functions.numeric import exact_mean, money_text
 from wayfare.operators import reports
@@ -27,10 +26,10 @@ def total_trips(layers: Layers) -> DataFrame:
 def _overall(layers: Layers) -> tuple[DataFrame, dict[str, Column]]:
     trips = F.col("trips")
     means = {
-        f"avg_{name}": exact_mean(F.col(total), trips)
+        f"avg_{name}": exact_mean(gold.total(total), trips)
         for name, total in (("revenue", "sum_total"), ("fare", "sum_fare"), ("tip", "sum_tip"))
     }
-    revenue = F.col("sum_total").cast(T.DecimalType(38, 2))
+    revenue = gold.total("sum_total")
     some = gold.overall_sums(layers.time_sums).withColumn("trips", F.nullif(trips, F.lit(0)))
     return some, {"total_revenue": revenue, **means}
 
