@@ -12,7 +12,7 @@ from wayfare.plans import checks, exports, gold, layers, questions, runs, silver
 from wayfare.plans.layers import StoredLayers
 from wayfare.plans.refresh import LostRowsError, publish, refresh
 from wayfare.profile import TripProfile
-from wayfare.sources.sinks import export_reports, shared_folder, stored
+from wayfare.sources.sinks import export_reports, shared_folder, stored, write_csv
 from wayfare.standin import trips as standin
 
 
@@ -206,20 +206,42 @@ def test_sql_by_name(spark, built, root):
 
 
 def test_exports(spark, built, tmp_path):
-    export_reports(exports.named_reports(built), str(tmp_path))
+    for _ in range(2):  # the second time replaces the files of the first
+        export_reports(exports.named_reports(built), str(tmp_path))
+        assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == [
+            "daily_summary.csv",
+            "data_quality_issues.csv",
+            "payment_behavior.csv",
+            "top_pickup_zones.csv",
+        ]
     for name, header in {
         "daily_summary": "pickup_date,total_trips,total_revenue,avg_revenue,avg_fare,avg_tip,avg_distance,avg_duration_minutes",
         "top_pickup_zones": "borough,zone,total_pickup_trips,total_revenue",
         "payment_behavior": "payment_type,payment_label,total_trips,total_revenue,avg_revenue,avg_tip,avg_tip_ratio",
         "data_quality_issues": "error_type,issue_count",
     }.items():
-        (part,) = (tmp_path / f"{name}.csv").glob("part-*.csv")
-        assert part.read_text().splitlines()[0] == header
-    (part,) = (tmp_path / "daily_summary.csv").glob("part-*.csv")
-    dates = [line.split(",")[0] for line in part.read_text().splitlines()[1:]]
+        assert (tmp_path / f"{name}.csv").read_text().splitlines()[0] == header
+    lines = (tmp_path / "daily_summary.csv").read_text().splitlines()
+    dates = [line.split(",")[0] for line in lines[1:]]
     assert len(dates) == 31 and dates == sorted(dates)
 
 
+def test_export_that_fails_leaves_the_old_file(spark, tmp_path):
+    path = str(tmp_path / "report.csv")
+    write_csv(spark.range(3), path)
+    before = (tmp_path / "report.csv").read_text()
+    with pytest.raises(Exception, match="no good"):
+        write_csv(spark.range(3).select(F.raise_error(F.lit("no good")).cast("int").alias("x")), path)
+    assert (tmp_path / "report.csv").read_text() == before == "id\n0\n1\n2\n"
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["report.csv"]
+    write_csv(spark.range(0), path)
+    assert spark.read.csv(path, schema="id long", header=True).count() == 0
+    # A folder of that name, as older versions wrote it, is replaced too.
+    spark.range(2).write.csv(str(tmp_path / "old.csv"))
+    write_csv(spark.range(1), str(tmp_path / "old.csv"))
+    assert (tmp_path / "old.csv").read_text() == "id\n0\n"
+
+
 def test_date_filter_reads_one_partition(spark, lazy, tmp_path):
     trips = refresh(lazy.raw_trips, lazy.raw_zones, str(tmp_path)).trips
     plan = trips.where("pickup_date = DATE'2026-01-05'").select("total_amount")

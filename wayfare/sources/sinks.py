@@ -51,24 +51,64 @@ def write_counted(
     return stored, {name: found.get(name, 0 if name == "rows" else None) for name in asked}
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder of this library, in whatever store it is."""
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path``, and the path in its terms."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of this library, in whatever store it is; false if there was none."""
+    system, place = _file_system(spark, path)
+    return system.delete(place, True)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none where it is missing."""
+    system, place = _file_system(spark, path)
+    return [x.getPath().getName() for x in system.listStatus(place)] if system.exists(place) else []
 
 
 def write_csv(table: DataFrame, path: str, order: Sequence = ()) -> None:
-    """One CSV file with header, rows in the given order. For report-sized results."""
+    """One CSV file of this name with header, rows in the given order. For report-sized results.
+
+    Spark writes it in a folder beside; then it takes the place of an older file in one step (in
+    stores that can rename), so a reader finds the old report or the new one. If that fails, the
+    old one stays.
+    """
+    spark = table.sparkSession
     single = table.repartition(1)
     if order:
         single = single.sortWithinPartitions(*order)
-    single.write.mode("overwrite").option("header", True).csv(path)
+    folder = f"{path}.{uuid.uuid4().hex}"
+    try:
+        single.write.option("header", True).csv(folder)
+        parts = [name for name in names_in(spark, folder) if name.startswith("part-")]
+        if len(parts) != 1:
+            raise RuntimeError(f"expected one file in {folder}, found {len(parts)}")
+        _replace(spark, f"{folder}/{parts[0]}", path)
+    finally:
+        remove(spark, folder)
+
+
+def _replace(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file over another."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop
+    system, place = _file_system(spark, target)
+    if system.exists(place) and system.getFileStatus(place).isDirectory():
+        system.delete(place, True)  # a report as older versions wrote it
+    options = spark.sparkContext._gateway.new_array(hadoop.fs.Options.Rename, 1)
+    options[0] = hadoop.fs.Options.Rename.OVERWRITE
+    context = hadoop.fs.FileContext.getFileContext(
+        system.getUri(), spark.sparkContext._jsc.hadoopConfiguration()
+    )
+    context.rename(hadoop.fs.Path(source), place, options)
 
 
 def export_reports(
     reports: Mapping[str, tuple[DataFrame, Sequence]], directory: str
 ) -> list[str]:
-    """Write each named report to ``directory/<name>.csv``; returns the paths."""
+    """Write each named report to the file ``directory/<name>.csv``; returns the paths."""
     paths = []
     for name, (report, order) in reports.items():
         path = f"{directory.rstrip('/')}/{name}.csv"
