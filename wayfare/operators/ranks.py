@@ -24,7 +24,9 @@ def _range_count(table: DataFrame) -> int:
     return min(MOST_RANGES, int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _before(table: DataFrame, by: str, order: Sequence[Column], method: str) -> DataFrame:
+def rows_before(
+    table: DataFrame, by: str, order: Sequence[Column], method: str = "rank"
+) -> DataFrame:
     """Each value of ``by`` with ``__before``: rows (or, for dense ranks, values) ahead of it."""
     ranges = _range_count(table)
     size = F.count(F.lit(1)) if method == "rank" else F.lit(1).cast("long")
@@ -56,7 +58,7 @@ def with_rank(
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
-    ranks = _before(table, by, order, method).select(
+    ranks = rows_before(table, by, order, method).select(
         F.col(by).alias("__value"), (F.col("__before") + 1).alias(name)
     )
     joined = table.join(ranks, table[by].eqNullSafe(ranks["__value"]))
