@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 
 from wayfare.plans.exports import named_reports
 from wayfare.plans.refresh import publish, refresh
+from wayfare.plans.runs import retain
 from wayfare.profile import DEFAULT_PROFILE, TripProfile
 from wayfare.session import apply_settings
 from wayfare.sources.ingest import read_trips, read_zones
@@ -29,6 +30,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--end", type=datetime.fromisoformat, default=DEFAULT_PROFILE.window_end)
     parser.add_argument("--window-error", default=DEFAULT_PROFILE.window_error)
     parser.add_argument("--strict", action="store_true", help="fail when a value rounds to zero")
+    parser.add_argument("--keep", type=int, help="delete all but so many successful runs")
     options = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("wayfare").getOrCreate()
@@ -43,6 +45,9 @@ def main(argv: list[str] | None = None) -> None:
         read_trips(spark, options.trips), read_zones(spark, options.zones), options.root, profile
     )
     publish(spark, options.root)
+    if options.keep:
+        for run_id in retain(spark, options.root, options.keep):
+            print(f"deleted run {run_id}")
     if options.exports:
         for path in export_reports(named_reports(layers), options.exports):
             print(f"exported {path}")

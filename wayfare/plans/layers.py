@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from wayfare.operators.lookup import LookupSize, measure_lookup
 from wayfare.plans import gold, silver, views
-from wayfare.plans.runs import latest_run, run_folder, table_path
+from wayfare.plans.runs import latest_run, leased, run_folder, table_path
 from wayfare.profile import DEFAULT_PROFILE, TripProfile
 from wayfare.schemas import STORED_TRIPS
 
@@ -151,8 +152,26 @@ class StoredLayers(Layers):
     def read(
         cls, spark: SparkSession, root: str, profile: TripProfile = DEFAULT_PROFILE
     ) -> StoredLayers:
-        """The layers of the last refresh below ``root`` that succeeded."""
-        folder = run_folder(root, latest_run(spark, root))
+        """The layers of the last refresh below ``root`` that succeeded.
+
+        ``retain`` may delete them when newer ones have come; ``StoredLayers.leased`` holds them.
+        """
+        return cls._of_run(spark, root, latest_run(spark, root), profile)
+
+    @classmethod
+    @contextmanager
+    def leased(
+        cls, spark: SparkSession, root: str, profile: TripProfile = DEFAULT_PROFILE
+    ) -> Iterator[StoredLayers]:
+        """``read`` for a ``with`` block, in which the tables are not deleted."""
+        with leased(spark, root) as run_id:
+            yield cls._of_run(spark, root, run_id, profile)
+
+    @classmethod
+    def _of_run(
+        cls, spark: SparkSession, root: str, run_id: str, profile: TripProfile
+    ) -> StoredLayers:
+        folder = run_folder(root, run_id)
         tables = {}
         for name in STORED.values():
             reader = spark.read.schema(STORED_TRIPS) if name == TRIPS else spark.read

@@ -31,7 +31,7 @@ def refresh(
     ``StoredLayers.read`` and ``publish`` find it. If anything fails, the error is logged
     and raised, and the run before stays the current one. Running it again gives the same
     tables but for the surrogate ids and the load stamps. Folders of old runs stay until
-    they are deleted by hand.
+    ``runs.retain`` deletes them.
 
     Each layer is read back before the next is derived, so a lost executor costs a reread
     of files and never a recomputation of the whole chain. ``partition_trips_by`` stores

@@ -3,17 +3,25 @@
 A run counts once its SUCCESS row is in the log. Readers take the last such run, so they
 see either all tables of the old run or all of the new one, and a run that fails midway
 leaves the old one as it was.
+
+``retain`` deletes the folders of older runs. A reader that must not lose its tables holds a
+lease on their run: an empty file that names the time it ends, so that a reader which dies
+does not keep a run for ever.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayfare.sources.sinks import move, names_in, remove, touch
+
 # Names of the logs and states of a run.
 RUN_LOG = "audit.pipeline_run"
 LOAD_LOG = "audit.load_audit"
@@ -36,7 +44,7 @@ def table_path(root: str, name: str) -> str:
 
 
 def run_folder(root: str, run_id: str) -> str:
-    return f"{root.rstrip('/')}/runs/{run_id}"
+    return f"{root.rstrip('/')}/{RUNS}/{run_id}"
 
 
 def read_log(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -52,6 +60,93 @@ def latest_run(spark: SparkSession, root: str) -> str:
     return run_id
 
 
+RUNS, LEASES = "runs", "leases"
+LEASE = timedelta(days=1)
+ABANDONED = timedelta(days=7)
+
+
+def _now() -> datetime:
+    return datetime.now(timezone.utc)
+
+
+class ExpiredRunError(LookupError):
+    """The tables of a run were deleted before a lease on it was taken."""
+
+
+@contextmanager
+def leased(
+    spark: SparkSession, root: str, run_id: str | None = None, length: timedelta = LEASE
+) -> Iterator[str]:
+    """Hold a run (the last that succeeded) while its tables are read; gives the run's id.
+
+    The lease is taken first and the folder looked for after it, as ``retain`` looks for leases
+    after it has chosen what to delete: either the reader sees that the run is gone, or the run
+    stays.
+    """
+    run_id = run_id or latest_run(spark, root)
+    until = _now() + length
+    path = f"{root.rstrip('/')}/{LEASES}/{run_id}/{until:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    touch(spark, path)
+    try:
+        if run_id not in names_in(spark, f"{root.rstrip('/')}/{RUNS}"):
+            raise ExpiredRunError(f"run {run_id} has been deleted")
+        yield run_id
+    finally:
+        remove(spark, path)
+
+
+def _held(spark: SparkSession, root: str, run_id: str, now: datetime) -> bool:
+    """Whether a lease on a run has not ended yet."""
+    names = names_in(spark, f"{root.rstrip('/')}/{LEASES}/{run_id}")
+    return any(name.split("-")[0] > f"{now:%Y%m%dT%H%M%S%f}" for name in names)
+
+
+def retain(
+    spark: SparkSession, root: str, keep: int = 3, abandoned: timedelta = ABANDONED
+) -> list[str]:
+    """Delete the folders of runs that nobody needs; returns their ids.
+
+    The last ``keep`` runs that succeeded stay, runs with a lease, and runs that are under way:
+    those that have begun and not ended, unless that was longer than ``abandoned`` ago. The logs
+    keep their rows. One row per run comes back to the driver. A folder is first moved aside, so
+    no reader finds a run of which some tables are gone.
+    """
+    if keep < 1:
+        raise ValueError("the last run must be kept")
+    now = _now()
+    states = {
+        row["run_id"]: row
+        for row in read_log(spark, root, RUN_LOG)
+        .groupBy("run_id")
+        .agg(
+            F.max(F.when(F.col("status") == SUCCESS, F.col("finished_at"))).alias("succeeded"),
+            F.max((F.col("status") != STARTED).cast("int")).alias("ended"),
+            (F.min("started_at") > F.lit(now - abandoned)).alias("recent"),
+        )
+        .collect()
+    }
+    done = sorted((r for r in states.values() if r["succeeded"]), key=lambda r: r["succeeded"])
+    needed = {row["run_id"] for row in done[-keep:]}
+    needed |= {x for x, r in states.items() if not r["ended"] and r["recent"]}
+    base = root.rstrip("/")
+    gone = []
+    for name in names_in(spark, f"{base}/{RUNS}"):
+        if name.startswith(_ASIDE):
+            remove(spark, f"{base}/{RUNS}/{name}")  # left by a cleaning that did not end
+        elif name not in needed and not _held(spark, root, name, now):
+            move(spark, f"{base}/{RUNS}/{name}", f"{base}/{RUNS}/{_ASIDE}{name}")
+            if _held(spark, root, name, now):  # taken in between: its reader may have seen the run
+                move(spark, f"{base}/{RUNS}/{_ASIDE}{name}", f"{base}/{RUNS}/{name}")
+                continue
+            remove(spark, f"{base}/{RUNS}/{_ASIDE}{name}")
+            remove(spark, f"{base}/{LEASES}/{name}")
+            gone.append(name)
+    return sorted(gone)
+
+
+_ASIDE = ".deleting-"
+
+
 @dataclass(frozen=True)
 class Run:
     """One refresh that is under way."""

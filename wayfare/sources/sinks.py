@@ -69,6 +69,19 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return [x.getPath().getName() for x in system.listStatus(place)] if system.exists(place) else []
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Make an empty file, and the folders above it."""
+    system, place = _file_system(spark, path)
+    system.create(place, True).close()
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder."""
+    system, place = _file_system(spark, source)
+    if not system.rename(place, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"cannot rename {source}")
+
+
 def write_csv(table: DataFrame, path: str, order: Sequence = ()) -> None:
     """One CSV file of this name with header, rows in the given order. For report-sized results.
 
