@@ -2,10 +2,13 @@
 
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
+from pyarrow import parquet
 from pyspark.errors import AnalysisException
 
 from wayfare.schemas import RAW_TRIPS, RAW_ZONES, TRIP_RENAMES
+from wayfare.sources import ingest
 from wayfare.sources.ingest import align, read_trips, read_zones
 
 TIMES = "tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz"
@@ -68,6 +71,47 @@ def test_wildcard_keeps_columns_that_only_some_files_have(spark, tmp_path):
         }
 
 
+@pytest.fixture(scope="module")
+def many_files(spark, tmp_path_factory):
+    """1,000 files of two types, in turn."""
+    folder = tmp_path_factory.mktemp("many files")  # with a space
+    for n in range(1_000):
+        kind = pa.int64() if n % 2 else pa.int32()
+        table = pa.table({"VendorID": pa.array([n], kind), "fare_amount": pa.array([n / 4], pa.float64())})
+        parquet.write_table(table, folder / f"{n:04}.parquet")
+    return str(folder)
+
+
+def jobs_of(spark, action):
+    """What an action gives, and how many jobs it took."""
+    spark.sparkContext.setJobGroup("counted", "", False)
+    try:
+        before = len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+        found = action()
+        return found, len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted")) - before
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_many_files_of_two_types_take_few_jobs(spark, many_files):
+    trips, jobs = jobs_of(spark, lambda: read_trips(spark, many_files))
+    assert jobs <= 8
+    some, fewer = jobs_of(spark, lambda: read_trips(spark, f"{many_files}/000[0-3].parquet"))
+    assert jobs <= fewer + 2  # Spark lists a thousand files by a job, once for each look at them
+    assert sorted((r.vendor_id, r.fare_amount) for r in trips.collect()) == [(n, n / 4) for n in range(1_000)]
+    assert some.count() == 4
+
+
+def test_files_that_only_spark_can_open(spark, many_files, monkeypatch):
+    def nothing(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.nulls(batch.num_rows, pa.string())], ["file", "columns"])
+
+    monkeypatch.setattr(ingest, "_read_footers", nothing)
+    trips = read_trips(spark, f"{many_files}/000*.parquet")
+    assert sorted(r.vendor_id for r in trips.collect()) == list(range(10))
+
+
 def test_measures_keep_their_printed_value(spark):
     """Floats, texts and decimals become the double that is printed like them; NaN is no value."""
     table = spark.sql(

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -67,8 +70,9 @@ def read_trips(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 def _of_one_schema(spark: SparkSession, path: str) -> list[DataFrame]:
     """The files of ``path``, as few tables as their column types allow.
 
-    Schemas are merged by Spark from all footers. If a column has different types, files of
-    the same schema are read together; that looks at one footer per file from the driver.
+    Schemas are merged by Spark from all footers. If a column has different types, the footers
+    are looked at by tasks, and files of the same schema are read together: a job for the
+    footers and one for each schema, however many files there are.
     """
     try:
         return [spark.read.option("mergeSchema", True).parquet(path)]
@@ -76,9 +80,44 @@ def _of_one_schema(spark: SparkSession, path: str) -> list[DataFrame]:
         if "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
     groups: dict[str, list[str]] = {}
-    for file in sorted(spark.read.parquet(path).inputFiles()):
-        groups.setdefault(spark.read.parquet(file).schema.json(), []).append(file)
-    return [spark.read.parquet(*files) for files in groups.values()]
+    for file, schema in sorted(_schemas(spark, spark.read.parquet(path).inputFiles())):
+        groups.setdefault(schema, []).append(file)
+    return [spark.read.parquet(*map(unquote, files)) for files in groups.values()]
+
+
+FOOTERS_OF_A_TASK = 200
+
+
+def _schemas(spark: SparkSession, files: Sequence[str]) -> list[tuple[str, str]]:
+    """Each file (a URI, as Spark lists them) with the columns and types in its footer, read by
+    tasks.
+
+    A store that only Spark can open is asked by Spark instead, some files at a time.
+    """
+    tasks = -(-len(files) // FOOTERS_OF_A_TASK)
+    named = spark.createDataFrame([(file,) for file in files], "file string").repartition(tasks)
+    found = named.mapInArrow(_read_footers, "file string, columns string").collect()
+    if all(row["columns"] is not None for row in found):
+        return [(row["file"], row["columns"]) for row in found]
+    with ThreadPoolExecutor(16) as pool:
+        schemas = pool.map(lambda file: spark.read.parquet(unquote(file)).schema.json(), files)
+        return list(zip(files, schemas))
+
+
+def _read_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns and types of Parquet files; NULL for those that cannot be opened from here."""
+    from pyarrow import fs, parquet
+
+    for batch in batches:
+        files, columns = batch.column(0).to_pylist(), []
+        for file in files:
+            try:
+                system, place = fs.FileSystem.from_uri(file)
+                schema = parquet.read_schema(place, filesystem=system)
+                columns.append(schema.remove_metadata().to_string())
+            except (OSError, ValueError, ImportError, pa.ArrowException):
+                columns.append(None)
+        yield pa.RecordBatch.from_arrays([pa.array(files), pa.array(columns, pa.string())], ["file", "columns"])
 
 
 def read_zones(spark: SparkSession, path: str, na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
