@@ -55,14 +55,10 @@ def row_conservation(outcomes: DataFrame, kept: DataFrame) -> DataFrame:
     """The same of tables, as one row. ``outcomes`` has ``raw_rows`` and ``rejected_rows``,
     ``kept`` has ``kept_rows`` and ``dropped_rows``; each has one row, found apart from the other,
     so the check is real."""
-    both = outcomes.select("raw_rows", "rejected_rows", F.lit(1).alias("__one")).join(
-        kept.select("kept_rows", "dropped_rows", F.lit(1).alias("__one")), "__one"
+    names = ("raw_rows", "kept_rows", "rejected_rows", "dropped_rows")
+    rows = outcomes.select("raw_rows", "rejected_rows").unionByName(
+        kept.select("kept_rows", "dropped_rows"), allowMissingColumns=True
     )
+    both = rows.agg(*[F.max(name).alias(name) for name in names])
     balanced = F.col("raw_rows") == F.col("kept_rows") + F.col("rejected_rows") + F.col("dropped_rows")
-    return both.select(
-        "raw_rows",
-        "kept_rows",
-        "rejected_rows",
-        "dropped_rows",
-        F.when(balanced, "SUCCESS").otherwise("FAILED").alias("status"),
-    )
+    return both.select(*names, F.when(balanced, "SUCCESS").otherwise("FAILED").alias("status"))

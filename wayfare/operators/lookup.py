@@ -72,6 +72,9 @@ def lookup_join(
     shuffle partition, which adaptive execution cuts by map task into parts of the advisory
     size, however many these are; each part meets the lookup rows of that partition.
     """
-    if size.fits:
-        return table.join(F.broadcast(lookup), on, how)
-    return table.join(lookup.hint("merge"), on, how)
+    return table.join(lookup_hint(lookup, size), on, how)
+
+
+def lookup_hint(lookup: DataFrame, size: LookupSize) -> DataFrame:
+    """``lookup`` with the way it is to be joined."""
+    return F.broadcast(lookup) if size.fits else lookup.hint("merge")

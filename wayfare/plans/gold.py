@@ -205,9 +205,3 @@ def borough_sums(sums: DataFrame, zones: DataFrame) -> DataFrame:
     per_zone = roll_up(sums, "pickup_location_id")
     named = per_zone.join(zone_names(zones, "pickup", "borough"), "pickup_location_id")
     return roll_up(named, "pickup_borough").select("pickup_borough", _revenue())
-
-
-def dropoff_counts(sums: DataFrame) -> DataFrame:
-    return roll_up(sums, "dropoff_location_id").select(
-        F.col("dropoff_location_id").alias("location_id"), F.col("trips").alias("dropoff_trips")
-    )

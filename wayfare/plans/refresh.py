@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from wayfare.operators import audit
 from wayfare.operators.lookup import measure_lookup
-from wayfare.plans import gold, layers, silver
+from wayfare.plans import gold, layers, silver, views
 from wayfare.plans.layers import Layers, StoredLayers
 from wayfare.plans.runs import LOAD_LOG, RUN_LOG, Run, latest_run, run_folder, table_path
 from wayfare.profile import DEFAULT_PROFILE, TripProfile
@@ -152,23 +152,11 @@ def _build(
 
 
 _VIEWS = {
-    layers.ENRICHED_VIEW: f"""
-        SELECT t.* EXCEPT (vendor_id, pickup_location_id, dropoff_location_id, loaded_at),
-               a.location_id AS pickup_location_id, a.borough AS pickup_borough,
-               a.zone AS pickup_zone, a.service_zone AS pickup_service_zone,
-               b.location_id AS dropoff_location_id, b.borough AS dropoff_borough,
-               b.zone AS dropoff_zone, b.service_zone AS dropoff_service_zone
-        FROM {layers.TRIPS} AS t
-        JOIN {layers.ZONES} AS a ON a.location_id = t.pickup_location_id
-        JOIN {layers.ZONES} AS b ON b.location_id = t.dropoff_location_id""",
-    layers.DAILY_VIEW: f"SELECT * FROM {layers.DAILY}",
-    layers.ZONE_VIEW: f"""
-        SELECT z.location_id, z.borough, z.zone, z.total_pickup_trips,
-               coalesce(d.trips, 0) AS total_dropoff_trips,
-               z.total_revenue, z.avg_fare, z.avg_tip, z.avg_distance
-        FROM {layers.ZONE} AS z
-        LEFT JOIN (SELECT dropoff_location_id, sum(trips) AS trips FROM {layers.ROUTE_SUMS}
-                   GROUP BY dropoff_location_id) AS d ON d.dropoff_location_id = z.location_id""",
+    layers.ENRICHED_VIEW: views.enriched_sql().format(
+        trips=layers.TRIPS, pickups=layers.ZONES, dropoffs=layers.ZONES
+    ),
+    layers.DAILY_VIEW: views.DAILY_SQL.format(daily=layers.DAILY),
+    layers.ZONE_VIEW: views.ZONE_SQL.format(zones=layers.ZONE, sums=layers.ROUTE_SUMS),
 }
 
 

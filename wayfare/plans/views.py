@@ -1,12 +1,16 @@
-"""Views over the cleaned trips and the marts."""
+"""Views over the cleaned trips and the marts.
+
+Each is defined once, as a query with places for its tables. The DataFrame functions put
+tables in these places, and ``publish`` the names of stored ones.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from wayfare.operators.lookup import LookupSize, lookup_join
-from wayfare.plans.gold import dropoff_counts, zone_names
+from wayfare.operators.lookup import LookupSize, lookup_hint
 
 _TRIP_COLUMNS = (
     "trip_id",
@@ -26,35 +30,43 @@ _TRIP_COLUMNS = (
     "tip_amount",
     "total_amount",
 )
-_ZONE_COLUMNS = ("borough", "zone", "service_zone")
+_ZONE_COLUMNS = ("location_id", "borough", "zone", "service_zone")
+_ENDS = ("pickup", "dropoff")
+
+
+def enriched_sql(columns: Sequence[str] = _TRIP_COLUMNS) -> str:
+    """Trips with the names of both zones, in ``{trips}``, ``{pickups}`` and ``{dropoffs}`` (the
+    zones twice)."""
+    shown = [f"trip.{column}" for column in columns if column in _TRIP_COLUMNS]
+    for end in _ENDS:
+        shown += [f"{end}.{column} AS {end}_{column}" for column in _ZONE_COLUMNS]
+    joins = [f"JOIN {{{end}s}} AS {end} ON {end}.location_id = trip.{end}_location_id" for end in _ENDS]
+    return f"SELECT {', '.join(shown)} FROM {{trips}} AS trip {' '.join(joins)}"
+
+
+DAILY_SQL = "SELECT * FROM {daily}"
+
+# The dropoffs are added up per zone before they meet the zone mart, ``{zones}``.
+ZONE_SQL = """
+    WITH ends AS (
+        SELECT dropoff_location_id AS location_id, sum(trips) AS dropoffs FROM {sums} GROUP BY 1)
+    SELECT location_id, borough, zone, total_pickup_trips,
+           coalesce(dropoffs, 0) AS total_dropoff_trips,
+           total_revenue, avg_fare, avg_tip, avg_distance
+    FROM {zones} LEFT JOIN ends USING (location_id)"""
 
 
 def enriched_trips(trips: DataFrame, zones: DataFrame, size: LookupSize) -> DataFrame:
     """Every cleaned trip with the names of both its zones."""
-    named = trips
-    columns = [column for column in _TRIP_COLUMNS if column in trips.columns]
-    for end in ("pickup", "dropoff"):
-        names = zone_names(zones, end, *_ZONE_COLUMNS)
-        named = lookup_join(named, names, f"{end}_location_id", "inner", size)
-        columns += names.columns
-    return named.select(*columns)
+    zones = lookup_hint(zones, size)
+    query = enriched_sql(trips.columns)
+    return trips.sparkSession.sql(query, trips=trips, pickups=zones, dropoffs=zones)
 
 
 def daily_view(daily: DataFrame) -> DataFrame:
-    return daily.select("*")
+    return daily.sparkSession.sql(DAILY_SQL, daily=daily)
 
 
 def zone_view(zone: DataFrame, sums: DataFrame) -> DataFrame:
     """The zone mart with the number of trips that end in each zone."""
-    joined = zone.join(dropoff_counts(sums), "location_id", "left")
-    return joined.select(
-        "location_id",
-        "borough",
-        "zone",
-        "total_pickup_trips",
-        F.coalesce(F.col("dropoff_trips"), F.lit(0)).alias("total_dropoff_trips"),
-        "total_revenue",
-        "avg_fare",
-        "avg_tip",
-        "avg_distance",
-    )
+    return zone.sparkSession.sql(ZONE_SQL, zones=zone, sums=sums)

@@ -179,14 +179,15 @@ hourly AS (
            sum(trip_duration_minutes)::DOUBLE / count(*) AS avg_duration_minutes
     FROM trips GROUP BY pickup_date, pickup_hour, time_period
 ),
+per_zone AS (
+    SELECT pickup_location_id AS location_id, count(*) AS n, sum(total_amount) AS revenue,
+           sum(fare_amount) AS fares, sum(tip_amount) AS tips, sum(trip_distance) AS distance
+    FROM trips GROUP BY ALL
+),
 zone AS (
-    SELECT z.location_id, z.borough, z.zone, count(t.pickup_datetime) AS total_pickup_trips,
-           sum(t.total_amount) AS total_revenue,
-           sum(t.fare_amount)::DOUBLE / count(t.pickup_datetime) AS avg_fare,
-           sum(t.tip_amount)::DOUBLE / count(t.pickup_datetime) AS avg_tip,
-           sum(t.trip_distance)::DOUBLE / count(t.pickup_datetime) AS avg_distance
-    FROM zones z LEFT JOIN trips t ON t.pickup_location_id = z.location_id
-    GROUP BY z.location_id, z.borough, z.zone
+    SELECT location_id, borough, zone, coalesce(n, 0) AS total_pickup_trips, revenue AS total_revenue,
+           fares::DOUBLE / n AS avg_fare, tips::DOUBLE / n AS avg_tip, distance::DOUBLE / n AS avg_distance
+    FROM zones LEFT JOIN per_zone USING (location_id)
 ),
 payment AS (
     SELECT payment_type, payment_label, count(*) AS total_trips, sum(total_amount) AS total_revenue,
