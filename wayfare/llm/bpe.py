@@ -186,12 +186,13 @@ class Codec:
         order = np.argsort(np.frombuffer(keys, np.int64))
         self.pair_keys = np.frombuffer(keys, np.int64)[order]
         self.pair_ranks = np.frombuffer(merged, np.int32)[order]
-        self.lengths = Decoder(ranks).lengths
+        self.decoder = Decoder(ranks)
+        self.lengths = self.decoder.lengths
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.ids, self.counts = np.empty(0, np.int32), np.empty(0, np.int64)
+        self.ids, self.starts, self.counts = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         keys = left.astype(np.int64) << 32 | np.maximum(right, 0)
@@ -199,8 +200,9 @@ class Codec:
         hit = (self.pair_keys[at] == keys) & (left >= 0) & (right >= 0)
         return np.where(hit, self.pair_ranks[at], NO_MERGE)
 
-    def _merge_together(self, slices: list[bytes]) -> list[np.ndarray]:
-        """Merge many short slices, one merge of each at a time."""
+    def _merge_together(self, slices: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Merge many short slices, one merge of each at a time: ids of all in a row, and the
+        number of each."""
         lengths = np.array([len(x) for x in slices])
         width = int(lengths.max())
         ids = np.full((len(slices), width), -1, np.int32)
@@ -233,7 +235,8 @@ class Codec:
                 ranks[every[ok], place[ok]] = self._ranks_of(
                     ids[every[ok], place[ok]], ids[every[ok], place[ok] + 1]
                 )
-        return [row[row >= 0] for row in out]
+        there = out >= 0
+        return out[there], there.sum(1)
 
     def _merge_long(self, piece: bytes) -> np.ndarray:
         """Merge one slice with a heap of pairs and a linked list of parts."""
@@ -267,24 +270,28 @@ class Codec:
         return np.array([x for x in ids if x >= 0], np.int32)
 
     def _learn(self, slices: list[bytes]) -> None:
-        new: list[np.ndarray | None] = []
-        groups: dict[int, list[int]] = {}
-        for n, piece in enumerate(slices):
-            rank = self.ranks.get(piece)
-            if rank is not None:
-                new.append(np.array([rank], np.int32))
-            elif len(piece) > LONG_SLICE:
-                new.append(self._merge_long(piece))
-            else:
-                new.append(None)
-                groups.setdefault((len(piece) + 3) // 4, []).append(n)
+        ranks = [self.ranks.get(x) for x in slices]
+        order = [x for x, rank in zip(slices, ranks) if rank is not None]
+        ids = [np.array([rank for rank in ranks if rank is not None], np.int32)]
+        counts = [np.ones(len(order), np.int64)]
+        groups: dict[int, list[bytes]] = {}
+        for piece, rank in zip(slices, ranks):
+            if rank is None and len(piece) > LONG_SLICE:
+                order.append(piece)
+                ids.append(self._merge_long(piece))
+                counts.append(np.array([len(ids[-1])]))
+            elif rank is None:
+                groups.setdefault((len(piece) + 3) // 4, []).append(piece)
         for members in groups.values():
-            for n, ids in zip(members, self._merge_together([slices[n] for n in members])):
-                new[n] = ids
+            order += members
+            merged, sizes = self._merge_together(members)
+            ids.append(merged)
+            counts.append(sizes)
         first = len(self.known)
-        self.known.update((piece, first + n) for n, piece in enumerate(slices))
-        self.ids = np.concatenate([self.ids, *new])
-        self.counts = np.concatenate([self.counts, [len(x) for x in new]]).astype(np.int64)
+        self.known.update(zip(order, range(first, first + len(order))))
+        self.ids = np.concatenate([self.ids, *ids])
+        self.starts = np.concatenate([self.starts, len(self.ids) - sum(map(len, ids)) + _starts(np.concatenate(counts))])
+        self.counts = np.concatenate([self.counts, *counts])
 
     def encode(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts in a row, the number of ids of each text, and the byte where
@@ -308,7 +315,7 @@ class Codec:
             self._learn(missing)
         picked = np.fromiter(map(self.known.__getitem__, slices), np.int64, len(slices))
         counts = self.counts[picked]
-        ids = gathered(self.ids, (np.cumsum(self.counts) - self.counts)[picked], counts)
+        ids = gathered(self.ids, self.starts[picked], counts)
         per_text = np.zeros(len(batch), np.int64)
         text_of = np.cumsum(ends)[starts]
         np.add.at(per_text, text_of, counts)
@@ -320,6 +327,10 @@ class Codec:
         return ids, per_text, offsets
 
 
+def _starts(counts: np.ndarray) -> np.ndarray:
+    return np.cumsum(counts) - counts
+
+
 def gathered(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The runs ``values[start : start + count]``, one after the other."""
     total = int(counts.sum())
@@ -366,6 +377,54 @@ def encode(
     return source.mapInArrow(released(run), f"{fields}, tokens array<int>, offsets array<int>")
 
 
+def _placed(
+    coder: Decoder, ids: np.ndarray, counts: np.ndarray, offsets: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts in a row, each token's where its offset says, and their ends."""
+    lengths = coder.lengths[ids]
+    owner = np.repeat(np.arange(len(counts)), counts)
+    sizes = np.bincount(owner, lengths, len(counts)).astype(np.int64)
+    starts = _starts(sizes)
+    out = np.zeros(int(sizes.sum()), np.uint8)
+    shift = offsets + starts[owner] - _starts(lengths)
+    out[np.arange(len(out)) + np.repeat(shift, lengths)] = coder.decode(ids)
+    return out, np.concatenate((starts, [len(out)])).astype(np.int32)
+
+
+def _binaries(raw: np.ndarray, ends: np.ndarray) -> pa.Array:
+    buffers = [None, pa.py_buffer(ends), pa.py_buffer(raw)]
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, buffers)
+
+
+def coded(
+    docs: DataFrame,
+    path: str,
+    text: str = "text",
+    keep: tuple[str, ...] = ("doc_id",),
+    cached: int = CACHED_SLICES,
+) -> DataFrame:
+    """``encode`` and ``decode`` in one step: columns ``keep``, ``tokens``, ``offsets`` and
+    ``decoded``. A worker holds the ranks once, and tokens do not travel between the two.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = codec(path, cached)
+        for batch in chunks(batches, "__text", TEXT_AT_ONCE):
+            ids, per_text, offsets = coder.encode(texts(batch, "__text"))
+            ends = np.concatenate(([0], np.cumsum(per_text))).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(ends, x.astype(np.int32)) for x in (ids, offsets)]
+            decoded = _binaries(*_placed(coder.decoder, ids, per_text, offsets))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], *lists, decoded], [*keep, "tokens", "offsets", "decoded"]
+            )
+
+    source = docs.select(*keep, F.col(text).alias("__text"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1])
+    return source.mapInArrow(
+        released(run), f"{fields}, tokens array<int>, offsets array<int>, decoded binary"
+    )
+
+
 def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns ``keep``, ``tokens`` and ``decoded``, the bytes of the text.
 
@@ -380,18 +439,7 @@ def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -
                 tokens, offsets = batch.column(len(keep)), batch.column(len(keep) + 1)
                 counts = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(False)
                 ids = tokens.flatten().to_numpy(False)
-                lengths = coder.lengths[ids]
-                owner = np.repeat(np.arange(len(counts)), counts)
-                sizes = np.bincount(owner, lengths, len(counts)).astype(np.int64)
-                starts = np.cumsum(sizes) - sizes
-                at = offsets.flatten().to_numpy(False) + starts[owner]
-                out = np.zeros(int(sizes.sum()), np.uint8)
-                shift = at - (np.cumsum(lengths) - lengths)
-                out[np.arange(len(out)) + np.repeat(shift, lengths)] = coder.decode(ids)
-                ends = np.concatenate((starts, [len(out)])).astype(np.int32)
-                decoded = pa.Array.from_buffers(
-                    pa.binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(out)]
-                )
+                decoded = _binaries(*_placed(coder, ids, counts, offsets.flatten().to_numpy(False)))
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[:-1], decoded], [*keep, "tokens", "decoded"]
                 )
@@ -402,11 +450,16 @@ def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
-    """Per document the number of tokens and digests of its ids and of the decoded bytes."""
-    done = decode(encode(docs, path), path)
-    return done.select(
+    """Per document the number of tokens and digests of its ids and of the decoded bytes.
+
+    One row per input row, repeated rows and NULL ids included. A NULL or empty text has no
+    tokens and the digests of nothing; a text of any length is encoded whole. An empty table
+    gives none. Other columns are not read, whatever their names.
+    """
+    written = F.array_join(F.col("tokens").cast("array<string>"), ",")
+    return coded(docs, path).select(
         "doc_id",
         F.size("tokens").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("tokens").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(written, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
