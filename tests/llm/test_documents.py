@@ -1,4 +1,5 @@
 import zlib
+import pytest
 from collections import Counter
 from fractions import Fraction
 
@@ -199,40 +200,46 @@ def test_perplexity_edge_rows(edge_docs, no_labels):
     assert perplexity.judge(edge_docs.limit(0), no_labels).count() == 0
 
 
-def test_pfair_deviation_is_below_one_block():
-    for weights in ({"a": 1, "b": 2, "c": 5}, {"a": 0.001, "b": 1, None: 0.3}, {"x": 1}):
-        parts = mixing.parts_of(weights, 100)
-        slots, placed = mixing.one_period(parts), Counter()
-        assert Counter(slots) == parts
-        for t, source in enumerate(slots, 1):
-            placed[source] += 1
-            assert all(abs(placed[x] - t * parts[x] / len(slots)) < 1 for x in parts)
-
-
-def schedule_by_hand(blocks, weights, period):
-    """The slots one after the other."""
-    out, left = [], dict(blocks)
-    while any(left.values()):
-        slots = mixing.one_period(mixing.parts_of({x: weights[x] for x in left if left[x]}, period))
-        size, at = sum(v > 0 for v in left.values()), 0
-        while sum(v > 0 for v in left.values()) == size:
-            out.append(slots[at % len(slots)])
-            left[out[-1]] -= 1
-            at += 1
-    return out
-
-
 def test_mixing_places_every_row_once(spark):
     sizes = {"a": 300, "b": 40, "c": 95, None: 7}
     rows = [(i, s, 0) for i, s in enumerate(x for x, n in sizes.items() for _ in range(n))]
     docs = spark.createDataFrame(rows, "doc_id long, source string, slot int")
-    weights = {"a": 1.0, "b": 1.0, "c": 2.0, None: 0.5}
-    found = mixing.positions(docs, weights, block_docs=8, period=50).collect()
+    weights = {"a": 1.0, "b": 1.0, "c": 2.0, None: 0.5, "unused": 3.0}
+    found = mixing.positions(docs, weights, block_docs=8).collect()
     assert sorted(r["doc_id"] for r in found) == list(range(len(rows)))
     assert len({r["position"] for r in found}) == len(rows)
     by_slot = {r["slot"]: r["source"] for r in found}
-    expected = schedule_by_hand({x: -(-n // 8) for x, n in sizes.items()}, weights, 50)
-    assert [by_slot[i] for i in range(len(by_slot))] == expected
+    names = [None, "a", "b", "c"]
+    steps = mixing.exact_schedule([-(-sizes[x] // 8) for x in names], [weights[x] for x in names])
+    assert [by_slot[i] for i in range(len(by_slot))] == [names[x] for x, _ in steps]
+    with pytest.raises(ValueError, match="no weight for"):
+        mixing.positions(docs, {"a": 1.0, "b": 1.0, "c": 0.0, None: 0.5})
+
+
+def test_any_number_of_sources(spark):
+    docs = spark.range(5_002).selectExpr("id AS doc_id", "concat('s', id % 2501) AS source")
+    found = mixing.positions(docs, block_docs=1).collect()
+    assert sorted(r["position"] for r in found) == list(range(5_002))
+    # All weights are equal: each source has one of the first slots.
+    assert len({r["source"] for r in found if r["position"] < 2_501}) == 2_501
+
+
+def test_rows_of_one_id_are_numbered_apart(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "ROWS_OF_A_KEY", 16)
+    monkeypatch.setattr(mixing, "NUMBERED_AT_ONCE", 50)
+    docs = spark.range(2_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 7 ELSE id END AS doc_id",
+        "concat('s', id % 2) AS source", "concat('t', id % 500) AS text")
+    found = mixing.positions(docs, block_docs=4).collect()
+    assert len({r["position"] for r in found}) == 2_000
+    given = Counter((r["doc_id"], r["source"]) for r in docs.collect())
+    assert Counter((r["doc_id"], r["source"]) for r in found) == given
+    assert Counter(map(tuple, mixing.mixed(docs).collect())) == Counter(map(tuple, docs.collect()))
+    numbered = mixing.numbered(docs.selectExpr("source AS __source", "doc_id AS __key"), 2_000)
+    by_source = Counter()
+    for r in numbered.collect():
+        by_source[r["__source"], r["__n"]] += 1
+    assert set(by_source.values()) == {1} and len(by_source) == 2_000
 
 
 def fluid(blocks, weights, slots):

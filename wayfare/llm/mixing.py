@@ -11,8 +11,6 @@ scaled up. That is what a fluid would do that every source sends in proportion t
 at the level V a source has sent min(V * w, its blocks), the slot is the sum of that over all
 sources, and the window of a block is the part of it in which the fluid sends the block. One
 task lays out the slots, a step for each block, and hands them out as it goes.
-
-With a ``period`` the weights are rounded to whole parts of it and the schedule repeats.
 """
 
 from __future__ import annotations
@@ -20,12 +18,11 @@ from __future__ import annotations
 import heapq
 import itertools
 from collections.abc import Iterator, Mapping
-from dataclasses import dataclass
 from fractions import Fraction
 from functools import cmp_to_key
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfare.llm.common import released, stored, tasks_for
@@ -35,72 +32,7 @@ SLOTS_AT_ONCE = 1 << 16  # rows of a batch of the schedule
 TEMPERATURE = 0.5  # without given weights, the power of a source's documents
 NUMBERED_AT_ONCE = 20_000  # documents that a task numbers, about
 DOCS_OF_A_FILE = 4_000  # documents in a file of the mixed table, about
-MOST_SOURCES = 2_000  # sources a mixture can have; their schedule is broadcast
-
-
-def parts_of(weights: Mapping[str | None, float], period: int) -> dict[str | None, int]:
-    """Whole parts of ``period`` nearest to the weights, at least one for each source."""
-    period = max(period, len(weights))
-    total = sum(weights.values())
-    names = sorted(weights, key=lambda x: (x is not None, x or ""))
-    ideal = {x: Fraction(weights[x] / total) * period for x in names}
-    parts = {x: max(1, int(ideal[x])) for x in names}
-    while (rest := period - sum(parts.values())) != 0:
-        step = 1 if rest > 0 else -1
-        open_ = [x for x in names if step > 0 or parts[x] > 1]
-        parts[max(open_, key=lambda x: (ideal[x] - parts[x]) * step)] += step
-    return parts
-
-
-def one_period(parts: Mapping[str | None, int]) -> list[str | None]:
-    """The source of each slot of a period: earliest deadline first among released blocks."""
-    period = sum(parts.values())
-    order = {x: n for n, x in enumerate(parts)}
-    released: dict[int, list] = {}
-    for source, part in parts.items():
-        for k in range(part):
-            deadline = -(-(k + 1) * period // part)
-            released.setdefault(k * period // part, []).append((deadline, order[source], source))
-    ready: list = []
-    slots = []
-    for slot in range(period):
-        for block in released.get(slot, ()):
-            heapq.heappush(ready, block)
-        slots.append(heapq.heappop(ready)[2])
-    return slots
-
-
-@dataclass(frozen=True)
-class Phase:
-    first_slot: int
-    first_block: dict  # of each source
-    slots: list  # source of each slot of a period
-
-
-def phases(blocks: Mapping[str | None, int], weights: Mapping[str | None, float], period: int) -> list[Phase]:
-    """Phases until all ``blocks`` of every source are placed."""
-    done = {x: 0 for x in blocks}
-    slot, found = 0, []
-    active = [x for x in blocks if blocks[x] > 0]
-    while active:
-        parts = parts_of({x: weights[x] for x in active}, period)
-        slots = one_period(parts)
-        places: dict = {x: [] for x in active}
-        for at, source in enumerate(slots):
-            places[source].append(at)
-        # The first source to place its last block ends the phase.
-        ends = []
-        for x in active:
-            last = blocks[x] - done[x] - 1
-            ends.append(last // parts[x] * len(slots) + places[x][last % parts[x]] + 1)
-        length = min(ends)
-        found.append(Phase(slot, dict(done), slots))
-        whole, rest = divmod(length, len(slots))
-        for x in active:
-            done[x] += whole * parts[x] + sum(at < rest for at in places[x])
-        slot += length
-        active = [x for x in active if done[x] < blocks[x]]
-    return found
+ROWS_OF_A_KEY = 4_096  # rows of one key that are numbered together
 
 
 def exact_schedule(blocks: list[int], weights: list[float]) -> Iterator[tuple[int, int]]:
@@ -171,64 +103,77 @@ def laid_out(sources: DataFrame) -> DataFrame:
 
 
 def numbered(docs: DataFrame, total: int) -> DataFrame:
-    """``docs`` with ``__n``, the place of each row in its source in the order of a hash.
+    """Rows of ``__source`` and ``__key`` with ``__n``, the place of each in its source in the
+    order of a hash, and ``__turn``, its place among the rows of its key.
 
-    Ranges of hash values are numbered on their own and shifted by the rows before them, so
-    no task sees a whole source.
+    Rows of one key are folded to a count, in parts of ``ROWS_OF_A_KEY`` at most that hash
+    differently, so a key that a third of the rows has is dealt like all others. Ranges of hash
+    values are numbered on their own and shifted by the rows before them, so no task sees a
+    whole source.
     """
     ranges = tasks_for(total, NUMBERED_AT_ONCE) * 2
-    hashed = docs.withColumn("__hash", F.xxhash64("__id", "__tie")).withColumn(
+    folded = docs.groupBy("__source", "__key").agg(F.count(F.lit(1)).alias("__all"))
+    starts = F.sequence(F.lit(0).cast("long"), F.col("__all") - 1, F.lit(ROWS_OF_A_KEY).cast("long"))
+    parts = folded.select("__source", "__key", "__all", F.explode(starts).alias("__part"))
+    parts = parts.withColumn("__rows", F.least(F.col("__all") - F.col("__part"), F.lit(ROWS_OF_A_KEY)))
+    hashed = parts.withColumn("__hash", F.xxhash64("__key", "__part")).withColumn(
         "__range", F.floor((F.col("__hash") / F.lit(2.0**64) + 0.5) * ranges).cast("long")
     )
-    counts = hashed.groupBy("__source", "__range").agg(F.count(F.lit(1)).alias("__rows"))
+    counts = hashed.groupBy("__source", "__range").agg(F.sum("__rows").alias("__rows"))
     before = Window.partitionBy("__source").orderBy("__range").rowsBetween(
         Window.unboundedPreceding, -1
     )
     shifts = counts.select(
         "__source", "__range", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before")
     )
-    inside = Window.partitionBy("__source", "__range").orderBy("__hash", "__id", "__tie")
-    return (
-        hashed.withColumn("__in", F.row_number().over(inside))
+    inside = Window.partitionBy("__source", "__range").orderBy("__hash", "__key", "__part")
+    inside = inside.rowsBetween(Window.unboundedPreceding, -1)
+    placed = (
+        hashed.withColumn("__in", F.coalesce(F.sum("__rows").over(inside), F.lit(0)))
         .join(shifts, [hashed["__source"].eqNullSafe(shifts["__source"]), hashed["__range"] == shifts["__range"]])
         .drop(shifts["__source"])
         .drop(shifts["__range"])
-        .withColumn("__n", F.col("__before") + F.col("__in") - 1)
+        .withColumn("__first", F.col("__before") + F.col("__in"))
+    )
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("__rows") - 1)).alias("__step")
+    each = placed.select("__source", "__key", "__first", "__part", every)
+    return each.select(
+        "__source",
+        "__key",
+        (F.col("__first") + F.col("__step")).alias("__n"),
+        (F.col("__part") + F.col("__step")).alias("__turn"),
     )
 
 
-def periodic(
-    n: DataFrame, blocks: Mapping[str | None, int], weights: Mapping[str | None, float], period: int
-) -> tuple[DataFrame, Column]:
-    """``n`` with what the slot of its rows follows from, and the slot, in a repeating schedule."""
-    plan = phases(blocks, weights, period)
-    schedule = []  # one row for each source and phase, at most the square of the sources
-    for number, phase in enumerate(plan):
-        places: dict = {}
-        for at, x in enumerate(phase.slots):
-            places.setdefault(x, []).append(at)
-        for x, own in places.items():
-            end = plan[number + 1].first_block[x] if number + 1 < len(plan) else None
-            schedule.append((x, phase.first_block[x], end, phase.first_slot, len(phase.slots), own))
-    names = "s string, first_block long, end long, first_slot long, period long, places array<long>"
-    table = n.sparkSession.createDataFrame(schedule, names)
-    since = F.col("__block") - F.col("first_block")
-    placed = n.join(
-        F.broadcast(table),
-        n["__source"].eqNullSafe(table["s"])
-        & (since >= 0)
-        & (F.col("end").isNull() | (F.col("__block") < F.col("end"))),
-    )
-    part = F.size("places")
-    turn = F.get("places", F.pmod(since, part).cast("int"))
-    return placed, F.col("first_slot") + F.floor(since / part) * F.col("period") + turn
+def _placed(
+    picked: DataFrame, weights: Mapping[str | None, float] | None, block_docs: int
+) -> DataFrame:
+    """``__source``, ``__key``, ``__turn``, ``slot`` and ``position`` of every row of ``__source``
+    and ``__key``."""
+    sources = stored(picked.groupBy("__source").agg(F.count(F.lit(1)).alias("rows")))
+    if weights is None:
+        weighted = sources.withColumn("weight", F.pow(F.col("rows").cast("double"), F.lit(TEMPERATURE)))
+    else:
+        given = picked.sparkSession.createDataFrame(
+            [(name, float(w)) for name, w in weights.items()], "name string, weight double"
+        )
+        weighted = sources.join(given, sources["__source"].eqNullSafe(given["name"]), "left")
+    lacking = weighted.where(~F.coalesce(F.col("weight") > 0, F.lit(False))).limit(5).collect()
+    if lacking:
+        raise ValueError(f"no weight for {[r['__source'] for r in lacking]}")
+    total = sources.agg(F.sum("rows")).first()[0] or 0
+    blocks = F.ceil(F.col("rows") / F.lit(block_docs)).cast("long")
+    table = stored(laid_out(weighted.select(F.col("__source").alias("s"), blocks.alias("blocks"), "weight")))
+    n = numbered(picked, total).withColumn("__block", F.floor(F.col("__n") / block_docs))
+    placed = n.join(table, n["__source"].eqNullSafe(table["s"]) & (n["__block"] == table["block"]))
+    position = F.col("slot") * block_docs + F.col("__n") % block_docs
+    return placed.select("__source", "__key", "__turn", "slot", position.cast("long").alias("position"))
 
 
 def positions(
     docs: DataFrame,
     weights: Mapping[str | None, float] | None = None,
     block_docs: int = BLOCK_DOCS,
-    period: int | None = None,
     source: str = "source",
     doc_id: str = "doc_id",
 ) -> DataFrame:
@@ -236,58 +181,45 @@ def positions(
 
     ``position`` is ``slot * block_docs`` plus the place in the block: unique, and in order of
     the mixture, with gaps where a source's last block is not full. NULL is a source of its
-    own. Rows with equal ids are all placed, in any order among themselves. ``weights`` has a
-    positive weight for every source of ``docs`` (one more is ignored, one missing is an
-    error); without it a source has the weight of its number of rows to the power of
-    ``TEMPERATURE``. With a ``period`` weights are rounded to whole parts of it, and what is
-    lost by that adds up from period to period. An empty table has no rows. Other columns are
-    not read.
+    own. Rows with equal ids, or with NULL as id, are all placed, in any order among themselves.
+    ``weights`` has a positive weight for every source of ``docs`` (one more is ignored, one
+    missing is an error); without it a source has the weight of its number of rows to the power
+    of ``TEMPERATURE``. Any number of sources can be mixed; the task that lays out the slots holds
+    a few numbers of each. An empty table has no rows. Other columns are not read.
     """
-    picked = docs.select(
-        F.col(doc_id).alias("__id"), F.col(source).alias("__source"), F.lit(0).alias("__tie")
-    )
-    rows = picked.groupBy("__source").count().limit(MOST_SOURCES + 1).collect()
-    if len(rows) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    counts = {r["__source"]: r["count"] for r in sorted(rows, key=lambda r: (r[0] is not None, r[0] or ""))}
-    if weights is None:
-        weights = {x: n**TEMPERATURE for x, n in counts.items()}
-    if missing := [x for x in counts if not weights.get(x, 0) > 0]:
-        raise ValueError(f"no weight for {missing[:5]}")
-    blocks = {x: -(-n // block_docs) for x, n in counts.items()}
-    n = numbered(picked, sum(counts.values())).withColumn("__block", F.floor(F.col("__n") / block_docs))
-    if period is None:
-        rows = [(x, blocks[x], float(weights[x])) for x in counts]
-        sources = docs.sparkSession.createDataFrame(rows, "s string, blocks long, weight double")
-        table = stored(laid_out(sources))
-        placed = n.join(table, n["__source"].eqNullSafe(table["s"]) & (n["__block"] == table["block"]))
-        slot = F.col("slot")
-    else:
-        placed, slot = periodic(n, blocks, weights, period)
-    return placed.select(
-        F.col("__id").alias("doc_id"),
-        F.col("__source").alias("source"),
-        slot.cast("long").alias("slot"),
-        (slot * block_docs + F.col("__n") % block_docs).cast("long").alias("position"),
+    picked = docs.select(F.col(source).alias("__source"), F.col(doc_id).alias("__key"))
+    return _placed(picked, weights, block_docs).select(
+        F.col("__key").alias("doc_id"), F.col("__source").alias("source"), "slot", "position"
     )
 
 
 def mixed(docs: DataFrame, weights: Mapping[str | None, float] | None = None) -> DataFrame:
-    """``docs``, all rows and columns, as a table whose files are in the order of the mixture."""
-    order = stored(
-        positions(docs, weights).select("doc_id", F.col("position").alias("__position"))
+    """``docs``, all rows and columns, as a table whose files are in the order of the mixture.
+
+    The place of a row is that of its id. Rows that share an id, or have none, are told apart by
+    128 bits of a hash of all their columns, and take the places of the id in the order of that
+    hash; rows that are equal in everything take theirs in any order. An empty table stays one.
+    """
+    picked = docs.select(F.col("source").alias("__source"), F.col("doc_id").alias("__key"))
+    # A row's source and id have the places of that source and id.
+    own = F.struct("__source", "__key")
+    order = _placed(picked, weights, BLOCK_DOCS).select(
+        own.alias("__own"), "__turn", F.col("position").alias("__position")
     )
-    repeated = order.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    if repeated.limit(1).count():
-        # Rows with one id: each takes one of its places.
-        one = Window.partitionBy("doc_id").orderBy("__position")
-        order = order.withColumn("__turn", F.row_number().over(one))
-        two = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
-        left = docs.withColumn("__turn", F.row_number().over(two))
-    else:
-        order, left = order.withColumn("__turn", F.lit(1)), docs.withColumn("__turn", F.lit(1))
-    right = order.select(F.col("doc_id").alias("__id"), F.col("__turn").alias("__at"), "__position")
-    joined = left.join(right, left["doc_id"].eqNullSafe(right["__id"]) & (left["__turn"] == right["__at"]))
+    order = stored(order)
     total = order.count()
-    ordered = joined.repartitionByRange(tasks_for(total, DOCS_OF_A_FILE), "__position")
+    files = tasks_for(total, DOCS_OF_A_FILE)
+    keyed = docs.withColumn("__mine", F.struct(F.col("source").alias("__source"), F.col("doc_id").alias("__key")))
+    if not order.where("__turn > 0").limit(1).count():
+        rows, on = keyed, keyed["__mine"] == order["__own"]
+    else:
+        row = F.struct(F.xxhash64(*docs.columns).alias("a"), F.xxhash64(F.lit(1), *docs.columns).alias("b"))
+        keyed = keyed.withColumn("__row", row)
+        turns = numbered(keyed.select(F.col("__mine").alias("__source"), F.col("__row").alias("__key")), total)
+        turns = turns.select(F.col("__source").alias("__its"), F.col("__key").alias("__of"), F.col("__n").alias("__at"))
+        order = order.join(turns, (order["__own"] == turns["__its"]) & (order["__turn"] == turns["__at"]))
+        rows = keyed.dropDuplicates(docs.columns)  # one of equal rows meets all their places
+        on = rows["__row"] == order["__of"]
+    joined = rows.join(order, on)
+    ordered = joined.repartitionByRange(files, "__position")
     return ordered.sortWithinPartitions("__position").select(*docs.columns)
