@@ -13,9 +13,11 @@ from the query's are skipped without computing a product. The best of all blocks
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import floor
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +29,7 @@ TOP = 20
 PAGE = 128
 BLOCK = 1 << 13  # vectors of a tree
 QUERY_BLOCK = 1 << 11
-LARGEST = 1 << 18  # components are held within this
+LARGEST = 1 << 18  # vectors with larger components are compared apart from the trees
 SLACK = 1e-6
 
 
@@ -151,18 +153,79 @@ class Tree:
 
 
 def whole_numbers(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """``id`` and ``v``: floor(64 x) of each component, of the vectors that take part."""
+    """``id`` and floor(64 x) of each component, of the vectors that take part: in ``v``, or, for
+    vectors with a component beyond ``LARGEST``, the components as they are in ``wide``."""
     finite = F.forall(
         F.col(embedding),
         lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))),
     )
-    bound = F.lit(LARGEST / SCALE)
-    held = F.transform(
+    large = F.exists(F.col(embedding), lambda x: F.abs(x.cast("double")) >= F.lit(LARGEST / SCALE))
+    valid = F.col(embedding).isNotNull() & finite & F.col(vec_id).isNotNull()
+    bound = F.lit(LARGEST / SCALE)  # only so that the branch not taken has no overflow
+    narrow = F.transform(
         F.col(embedding),
         lambda x: F.floor(F.greatest(-bound, F.least(bound, x.cast("double"))) * SCALE).cast("int"),
     )
-    valid = F.col(embedding).isNotNull() & finite & F.col(vec_id).isNotNull()
-    return vectors.where(valid).select(F.col(vec_id).cast("long").alias("id"), held.alias("v"))
+    return vectors.where(valid).select(
+        F.col(vec_id).cast("long").alias("id"),
+        F.when(~large, narrow).alias("v"),
+        F.when(large, F.col(embedding).cast("array<double>")).alias("wide"),
+    )
+
+
+DIGIT = 17  # bits: products of digits of vectors up to 2^19 long are exact as floats
+
+
+def _wide_number(x: float) -> int:
+    """floor(64 x) modulo 2^64, as a signed number."""
+    number = int(x) * SCALE if abs(x) >= 1 << 53 else floor(x * SCALE)
+    return (number + (1 << 63)) % (1 << 64) - (1 << 63)
+
+
+def exact_products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Inner products of rows of any 64-bit numbers, modulo 2^64: exact if they fit.
+
+    Numbers are cut into signed digits, whose products are exact as floats; 64-bit sums wrap.
+    """
+    digits = []
+    for matrix in (left, right):
+        rest, parts = matrix.astype(np.int64), []
+        while len(parts) < 4:
+            low = ((rest + (1 << (DIGIT - 1))) & ((1 << DIGIT) - 1)) - (1 << (DIGIT - 1))
+            parts.append(low.astype(np.float64))
+            rest = (rest - low) >> DIGIT
+        digits.append(parts)
+    total = np.zeros((len(left), len(right)), np.uint64)
+    for i, one in enumerate(digits[0]):
+        for j, two in enumerate(digits[1]):
+            if DIGIT * (i + j) < 64 and one.any() and two.any():
+                total += (one @ two.T).astype(np.int64).astype(np.uint64) << np.uint64(DIGIT * (i + j))
+    return total.view(np.int64)
+
+
+def search_all(
+    queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, top: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query, place in ``ids`` and score of the ``top`` best for each query, ties to the smaller
+    id, with every product computed: for numbers so large that distances would be rounded."""
+    out = []
+    for at in range(0, len(queries), 256):
+        scores = exact_products(queries[at : at + 256], vectors)
+        for n, row in enumerate(scores):
+            may = np.flatnonzero(ids != query_ids[at + n])
+            best = may[np.lexsort((ids[may], ~row[may]))[:top]]
+            out += [(at + n, place, row[place]) for place in best.tolist()]
+    columns = list(zip(*out)) or [(), (), ()]
+    return tuple(np.array(c, np.int64) for c in columns)
+
+
+def _wide_matrix(held: pa.Table, width: int) -> np.ndarray:
+    """Vectors of ``v`` or ``wide`` as rows; missing components are 0."""
+    out = np.zeros((held.num_rows, width), np.int64)
+    for n, (v, wide) in enumerate(zip(held.column("v").to_pylist(), held.column("wide").to_pylist())):
+        numbers = v if wide is None else [_wide_number(x) for x in wide]
+        out[n, : len(numbers)] = numbers
+    return out
 
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
@@ -190,12 +253,13 @@ def top_k(
     Queries are the vectors whose id is divisible by ``step``; rows with a query's own id are
     no candidates for it. Vectors that are NULL, have a NULL id, or hold a NULL or non-finite
     component take no part; an empty vector, and what a shorter one lacks, counts as zeros.
-    Components are held within 2^18 either way, so that all products are exact. Equal scores
-    are ranked by id. A query that stands on several equal rows is answered once; a candidate
+    Scores are exact whenever they fit 64 bits, whatever the components. Those of vectors with a
+    component beyond 2^18 are all computed, apart from the trees. Equal scores are ranked by id. A query that stands on several equal rows is answered once; a candidate
     id on several rows is found as often.
     """
     rows = whole_numbers(vectors, vec_id, embedding)
-    total, width = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
+    size = F.max(F.size(F.coalesce(F.col("v").cast("array<double>"), F.col("wide"))))
+    total, width = rows.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
     blocks = tasks_for(total, block)
     queries = rows.where(F.col("id") % step == 0).distinct()
     query_blocks = tasks_for(total // step + 1, query_block)
@@ -204,16 +268,20 @@ def top_k(
         return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
 
     def dealt(count: int) -> Column:
-        return F.pmod(F.xxhash64("id", "v"), F.lit(count)).cast("int")
+        return F.pmod(F.xxhash64("id", "v", "wide"), F.lit(count)).cast("int")
 
-    left = queries.select("id", "v", dealt(query_blocks).alias("qb"), every(blocks).alias("cb"))
-    right = rows.select("id", "v", dealt(blocks).alias("cb"), every(query_blocks).alias("qb"))
+    left = queries.select("id", "v", "wide", dealt(query_blocks).alias("qb"), every(blocks).alias("cb"))
+    right = rows.select("id", "v", "wide", dealt(blocks).alias("cb"), every(query_blocks).alias("qb"))
 
-    def search(asked: pa.Table, held: pa.Table) -> pa.Table:
-        names = ["query_id", "query", "vec_id", "score"]
-        kinds = [pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.int64()]
-        if not asked.num_rows or not held.num_rows:
-            return pa.table([pa.array([], k) for k in kinds], names=names)
+    names = ["query_id", "query", "query_wide", "vec_id", "score"]
+    kinds = [pa.int64(), pa.list_(pa.int32()), pa.list_(pa.float64()), pa.int64(), pa.int64()]
+
+    def answers(asked: pa.Table, ids: np.ndarray, query: np.ndarray, place: np.ndarray, score: np.ndarray) -> pa.Table:
+        own = asked.take(pa.array(query, pa.int64()))
+        columns = [own.column("id"), own.column("v"), own.column("wide"), pa.array(ids[place]), pa.array(score)]
+        return pa.table([c.cast(k) for c, k in zip(columns, kinds)], names=names)
+
+    def by_tree(asked: pa.Table, held: pa.Table) -> pa.Table:
         ids = held.column("id").to_numpy()
         by = np.argsort(ids, kind="stable")
         ids = ids[by]
@@ -228,22 +296,39 @@ def top_k(
         found, scores, _ = tree.search(_matrix(asked.column("v"), max(width, 1)), own, top + extra)
         keep = (found >= 0) & (ids[np.maximum(found, 0)] != query_ids[:, None])
         query, place = np.nonzero(keep)
-        return pa.table(
-            [
-                pa.array(query_ids[query]),
-                asked.column("v").combine_chunks().take(pa.array(query)),
-                pa.array(ids[found[query, place]]),
-                pa.array(scores[query, place]),
-            ],
-            names=names,
-        )
+        return answers(asked, ids, query, found[query, place], scores[query, place])
+
+    def by_products(asked: pa.Table, held: pa.Table) -> pa.Table:
+        ids, query_ids = held.column("id").to_numpy(), asked.column("id").to_numpy()
+        matrices = [_wide_matrix(x, max(width, 1)) for x in (asked, held)]
+        query, place, score = search_all(matrices[0], query_ids, matrices[1], ids, top)
+        return answers(asked, ids, query, place, score)
+
+    def search(asked: pa.Table, held: pa.Table) -> pa.Table:
+        out = [pa.table([pa.array([], k) for k in kinds], names=names)]
+        sides = []
+        for side in (asked, held):
+            wide = pc.is_valid(side.column("wide"))
+            sides.append((side.filter(pc.invert(wide)), side.filter(wide)))
+        (asked, asked_wide), (narrow, held_wide) = sides
+        for some, others, run in (
+            (asked, narrow, by_tree),
+            (asked, held_wide, by_products),
+            (asked_wide, held, by_products),
+        ):
+            if some.num_rows and others.num_rows:
+                out.append(run(some, others))
+        return pa.concat_tables(out)
 
     found = (
         left.groupBy("cb", "qb")
         .cogroup(right.groupBy("cb", "qb"))
-        .applyInArrow(search, "query_id bigint, query array<int>, vec_id bigint, score bigint")
+        .applyInArrow(
+            search,
+            "query_id bigint, query array<int>, query_wide array<double>, vec_id bigint, score bigint",
+        )
     )
-    order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id", "query", "query_wide").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return ranked.select("query_id", "rank", "vec_id", "score")
 

@@ -67,6 +67,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_exact_top_k": mtree.TOP_K_SQL,
         "op5_url_filters": url_filter.VERDICTS_SQL,
-        "op11_spelling_variants": _over(spelling.variants, "documents"),
         "op12_substring_dedup": substrings.DIGESTS_SQL,
     }
