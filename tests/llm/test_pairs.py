@@ -119,6 +119,110 @@ def test_top_k_matches_brute_force(spark, tables):
     assert sorted(map(tuple, mtree.top_k(few).collect())) == sorted(brute_top([r for r in rows if r[0] in (20, 21, 22)], 20))
 
 
+def test_top_k_of_any_components(spark):
+    """No component is held back: results are those of whole numbers without bounds."""
+    rng = np.random.default_rng(6)
+    rows = [(0, [10_000.0, 0.0]), (1, [5_000.0, 0.0]), (20, [-3.0, 2.0**40]), (21, [2.0**35 + 0.3, -1.0])]
+    rows += [(40, [2.0**63, 1.0]), (41, [0.0, 5.0]), (60, [1e300, -1.0]), (61, [0.0, -7.25]), (62, [])]
+    rows += [(100 + i, (rng.normal(size=2) * 10.0 ** (i % 6)).tolist()) for i in range(60)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = mtree.top_k(frame, block=16, query_block=4)
+    expected = [r for r in brute_top(rows, 90) if abs(r[3]) < 2**63]
+    # The three largest have products beyond 64 bits; all others are compared.
+    small = {i for i, _ in rows} - {20, 21, 40, 60}
+    expected = sorted(r for r in expected if r[0] in small and r[2] in small)
+    kept = [(q, v, s) for q, _, v, s in map(tuple, mtree.top_k(frame, top=90).collect()) if q in small and v in small]
+    assert sorted(kept) == sorted((q, v, s) for q, _, v, s in expected)
+    assert found.where("query_id = 0 AND vec_id = 1").first()["score"] == 204_800_000_000
+
+
+def test_large_components_against_sql(spark, tmp_path):
+    rng = np.random.default_rng(7)
+    rows = [(0, [10_000.0, 0.0]), (1, [5_000.0, 0.0])]
+    rows += [(2 + i, (rng.normal(size=2) * (9_000 if i % 3 else 2)).tolist()) for i in range(120)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    frame.write.parquet(str(tmp_path / "embeddings.parquet"))
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW embeddings AS FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    expected = connection.sql(mtree.TOP_K_SQL).fetchall()
+    assert Counter(map(tuple, mtree.top_k(frame, block=32).collect())) == Counter(expected)
+
+
+def test_exact_products_wrap_at_64_bits():
+    rng = np.random.default_rng(8)
+    left, right = (rng.integers(-(2**63), 2**63 - 1, (5, 7)) for _ in range(2))
+    left[0] = [-(2**63)] * 7
+    expected = [[sum(int(x) * int(y) for x, y in zip(a, b)) for b in right] for a in left]
+    expected = [[(v + 2**63) % 2**64 - 2**63 for v in row] for row in expected]
+    assert mtree.exact_products(left, right).tolist() == expected
+
+
+def test_rows_of_one_id_with_other_texts_stay(spark):
+    one, two = (" ".join(f"{w}{n}" for n in range(30)) for w in "ab")
+    rows = [(1, one), (1, two), (1, two), (2, one + " x"), (3, two), (3, one + " y"), (None, one), (4, ""), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = Counter(map(tuple, near_dup.deduplicated(docs).collect()))
+    assert kept == Counter([(1, one), (1, two), (None, one), (4, ""), (4, "")])
+
+
+def test_classes_of_equal_digest_are_told_apart(spark, monkeypatch):
+    """All sets have one node; only the check differs."""
+    whole = near_dup.node_of
+    monkeypatch.setattr(near_dup, "node_of", lambda s: (7 if len(s) else None, whole(s)[1]))
+    rows = near_copies()[:60]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    described = near_dup.described(docs, 5)
+    rows_, classes = near_dup.classified(described)
+    sets = {tuple(s) for s in near_dup.shingle_sets([(t or "").encode() for _, t in rows], 5) if len(s)}
+    assert classes.count() == len(sets)
+    found = near_dup.components(docs, 5, 80).collect()
+    assert Counter(map(tuple, found)) == Counter(brute_components(rows, 5, 80))
+
+
+def odd_documents(spark):
+    """NULL and repeated ids, NULL and empty texts, columns that clash with those of stages."""
+    words = [" ".join(f"{w}{n}" for n in range(40)) for w in ("alpha", "beta", "gamma")]
+    rows = [(1, words[0]), (1, words[1]), (1, words[1]), (2, words[0] + " z"), (None, words[2]), (None, words[2])]
+    rows += [(None, None), (5, None), (6, ""), (7, "wort " * 30_000), (8, "one")]
+    names = "doc_id long, text string, lang string, source string, n_chars long, score double, kept boolean, "
+    names += "position long, node long, tokens string"
+    return spark.createDataFrame(
+        [(i, t, "en" if t else None, None if i == 5 else "s", 1, 0.5, True, 3, 4, "x") for i, t in rows], names
+    )
+
+
+def test_stages_on_odd_documents(spark, tmp_path):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (None, 1, 1), (5, None, None)], "doc_id long, quality int, toxic int")
+    for n, some in enumerate((labels, labels.limit(0))):
+        folder = str(tmp_path / str(n))
+        some.write.parquet(f"{folder}/labels.parquet")
+        for empty in (False, True):
+            docs = odd_documents(spark).limit(0 if empty else 100)
+            for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+                path = f"{folder}/{empty}{number}"
+                docs.write.parquet(path)
+                docs = spark.read.parquet(path)
+                before, after = docs, stage(spark, docs, folder)
+                last = name == corpus_pipeline.STAGES[-1][0]
+                assert last or after.columns == corpus_pipeline.COLUMNS
+                if name == "source mixing" or last:
+                    assert after.count() == before.count()
+                docs = after
+            found = Counter(r["doc_id"] for r in docs.collect())
+            if empty:
+                assert not found
+            else:
+                assert docs.where("not round_trip").count() == 0
+                # Texts that are NULL or empty go first, then the near copy and one of two equal
+                # rows; the other text under id 1 stays, and so do rows without an id.
+                assert found == Counter([1, 1, None, None, 7, 8])
+
+
+def test_order_is_known_only_of_files(spark):
+    with pytest.raises(ValueError, match="read from files"):
+        corpus_pipeline.in_file_order(spark.range(3).selectExpr("id AS doc_id"))
+
+
 def test_bounds_avoid_products():
     rng = np.random.default_rng(0)
     centres = rng.integers(-60, 60, (40, 8))

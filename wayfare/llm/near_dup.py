@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.llm.common import chunks, few, released, stored
@@ -109,39 +109,85 @@ def bands_of(signature: np.ndarray) -> np.ndarray:
     return key.astype(np.int64)
 
 
-def node_of(shingles: np.ndarray) -> int | None:
-    """The class of a set: 64 bits of a digest of all its hashes; none for the empty set."""
+def node_of(shingles: np.ndarray) -> tuple[int | None, int | None]:
+    """The class of a set, and a check of it: 64 bits each of a digest of all its hashes; none for
+    the empty set. Sets of one class that differ in the check are told apart by ``classified``."""
     if not len(shingles):
-        return None
-    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "big", signed=True)
+        return None, None
+    digest = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+    return tuple(int.from_bytes(digest[at : at + 8], "big", signed=True) for at in (0, 8))
 
 
 def _raws(batch: pa.RecordBatch) -> list[bytes]:
     return [x or b"" for x in batch.column("__text").cast(pa.binary()).to_pylist()]
 
 
-def described(docs: DataFrame, shingle: int, text: str = "text") -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``node`` and ``bands`` of every row."""
+def described(
+    docs: DataFrame, shingle: int, text: str = "text", keep: dict[str, Column] | None = None
+) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``node``, ``check`` and ``bands`` of every row, and the columns
+    of ``keep``."""
+    names = list(keep or {})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "__text"):
-            counts, nodes, bands = [], [], []
+            counts, nodes, checks, bands = [], [], [], []
             for found in shingle_sets(_raws(batch), shingle):
+                node, check = node_of(found)
                 counts.append(len(found))
-                nodes.append(node_of(found))
+                nodes.append(node)
+                checks.append(check)
                 bands.append(bands_of(signature(found)) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    *batch.columns[1:-1],
                     pa.array(counts, pa.int64()),
                     pa.array(nodes, pa.int64()),
+                    pa.array(checks, pa.int64()),
                     pa.array(bands, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "node", "bands"],
+                ["doc_id", *names, "n_shingles", "node", "check", "bands"],
+            )
+
+    kept = [value.alias(name) for name, value in (keep or {}).items()]
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *kept, F.col(text).alias("__text"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1])
+    return source.mapInArrow(
+        released(run), f"{fields}, n_shingles bigint, node bigint, check bigint, bands array<bigint>"
+    )
+
+
+def classified(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with a ``node`` for each different set, and the classes of those that have any:
+    ``node``, ``check``, ``least`` id, ``n_shingles`` and ``bands``.
+
+    Where sets of one node differ in the check, the node is made of both: 128 bits tell sets apart.
+    """
+
+    def classes_of(table: DataFrame) -> DataFrame:
+        return stored(
+            table.where(F.col("node").isNotNull())
+            .groupBy("node")
+            .agg(
+                F.min("doc_id").alias("least"),
+                F.max("n_shingles").alias("n_shingles"),
+                F.min("check").alias("check"),
+                F.max("check").alias("other"),
+                F.first("bands").alias("bands"),
             )
+        )
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("__text"))
-    return source.mapInArrow(released(run), "doc_id bigint, n_shingles bigint, node bigint, bands array<bigint>")
+    classes = classes_of(rows)
+    mixed_up = classes.where(F.col("check") != F.col("other")).select(F.col("node").alias("__node"))
+    if mixed_up.limit(1).count():
+        marked = rows.join(few(mixed_up), F.col("node") == F.col("__node"), "left")
+        both = F.xxhash64("node", "check")
+        rows = stored(
+            marked.withColumn("node", F.when(F.col("__node").isNotNull(), both).otherwise(F.col("node"))).drop("__node")
+        )
+        classes = classes_of(rows)
+    return rows, classes.drop("other")
 
 
 def families(classes: DataFrame) -> DataFrame:
@@ -160,19 +206,19 @@ def families(classes: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int, text: str = "text") -> DataFrame:
-    """``node`` and ``shingles`` (packed hashes) of the classes in ``wanted`` (``node``,
+    """``node`` and ``shingles`` (packed hashes) of the classes in ``wanted`` (``node``, ``check``,
     ``least``): the text of one document of each is read again."""
     source = (
         docs.select(F.col("doc_id").cast("long").alias("least"), F.col(text).alias("__text"))
         .join(few(wanted), "least")
-        .select("node", "__text")
+        .select("node", "check", "__text")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "__text"):
             sets = shingle_sets(_raws(batch), shingle)
             # An id may stand on several rows; only the text that makes the class counts.
-            keep = [node_of(s) == n for s, n in zip(sets, batch.column("node").to_pylist())]
+            keep = [node_of(s)[1] == c for s, c in zip(sets, batch.column("check").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("node").filter(pa.array(keep)),
@@ -315,46 +361,71 @@ def components(docs: DataFrame, shingle: int = 5, percent: int = 80, text: str =
     row is not kept, and texts that only such rows have are linked with nothing. Other columns
     are not read.
     """
-    rows = stored(described(docs, shingle, text))
+    out = _labelled(docs, shingle, percent, text).select("doc_id", "n_shingles", "component_id")
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+
+def _labelled(
+    docs: DataFrame, shingle: int, percent: int, text: str, keep: dict[str, Column] | None = None
+) -> DataFrame:
+    """``doc_id``, the columns of ``keep``, ``n_shingles``, ``label`` (one for each component; NULL
+    without shingles) and ``component_id`` of every row."""
+    kept = list(keep or {})
+    rows, classes = classified(stored(described(docs, shingle, text, keep)))
     filled = rows.where(F.col("node").isNotNull())
-    classes = stored(
-        filled.groupBy("node").agg(
-            F.min("doc_id").alias("least"), F.max("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")
-        )
-    )
     pairs = families(classes)
     wanted = pairs.select("node").unionByName(pairs.select(F.col("centre").alias("node"))).distinct()
-    wanted = stored(classes.select("node", "least", "n_shingles").join(wanted, "node", "left_semi"))
-    sets = sets_of(docs, wanted.select("node", "least"), shingle, text)
+    wanted = stored(classes.select("node", "check", "least", "n_shingles").join(wanted, "node", "left_semi"))
+    sets = sets_of(docs, wanted.select("node", "check", "least"), shingle, text)
     labels = connected(links_of(pairs, sets, wanted.select("node", "n_shingles"), percent))
     named = classes.select("node", "least").join(labels, "node")
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_node = named.select("node", "label").join(least, "label").select("node", "component_id")
+    of_node = named.select("node", "label").join(least, "label").select("node", "label", "component_id")
     own = classes.select("node", "least").join(of_node, "node", "left")
-    own = own.select("node", F.coalesce("component_id", "least").alias("component_id"))
-    full = filled.select("doc_id", "n_shingles", "node").join(own, "node")
+    own = own.select(
+        "node", F.coalesce("label", "node").alias("label"), F.coalesce("component_id", "least").alias("component_id")
+    )
+    full = filled.select("doc_id", *kept, "n_shingles", "node").join(own, "node")
     empty = rows.where(F.col("node").isNull())
-    out = full.select("doc_id", "n_shingles", "component_id").unionByName(
-        empty.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    names = ["doc_id", *kept, "n_shingles", "label", "component_id"]
+    return full.select(*names).unionByName(
+        empty.withColumns({"label": F.lit(None).cast("long"), "component_id": F.col("doc_id")}).select(*names)
     )
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
 def deduplicated(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each group of near copies, the one with the least id.
+    """``docs`` with one row of each group of near copies, one with the least id.
 
-    Rows with a NULL id stay. Of rows that share an id one stays, if that id does.
+    Groups are of rows, whatever their ids: rows that share an id and are no near copies both
+    stay. Rows with a NULL id, and those without words, stay too. Of rows of a group that share
+    its least id one stays. An empty table stays empty.
     """
-    found = stored(components(docs, shingle, percent).select("doc_id", "kept"))
-    least = found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
-    least = stored(least.where(F.col("doc_id").isNotNull()))
-    kept = docs.join(few(least.where(~F.col("kept")).select("doc_id")), "doc_id", "left_anti")
-    repeated = least.where(F.col("kept") & (F.col("rows") > 1)).select("doc_id")
+    # A row is found again by its id and 128 bits of a hash of its text.
+    marks = {"__a": F.xxhash64("text"), "__b": F.xxhash64(F.lit(1), "text")}
+    found = stored(_labelled(docs, shingle, percent, "text", marks))
+    grouped = found.where(F.col("doc_id").isNotNull() & F.col("label").isNotNull())
+    keys = ["doc_id", *marks]
+    counted = grouped.groupBy("label", *keys).agg(F.count(F.lit(1)).alias("rows"))
+    first = counted.groupBy("label").agg(F.min(F.struct(*keys)).alias("first"))
+    first = first.select("label", "first.*", F.lit(True).alias("stays"))
+    # By all columns, so that a group of a third of the rows is met by many tasks.
+    judged = counted.join(first, ["label", *keys], "left")
+    judged = stored(
+        judged.groupBy(*keys).agg(
+            F.max(F.coalesce("stays", F.lit(False))).alias("stays"), F.sum("rows").alias("rows")
+        )
+    )
+    marked = docs.withColumns(marks)
+    kept = marked.join(few(judged.where(~F.col("stays")).select(*keys)), keys, "left_anti")
+    repeated = judged.where(F.col("stays") & (F.col("rows") > 1)).select(*keys)
     if not repeated.limit(1).count():
-        return kept
-    again = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(again.select(docs.columns))
+        return kept.select(*docs.columns)
+    again = kept.join(repeated, keys, "left_semi").dropDuplicates(keys)
+    once = kept.join(repeated, keys, "left_anti")
+    return once.select(*docs.columns).unionByName(again.select(*docs.columns))
 
 
 def query(docs: DataFrame) -> DataFrame:
+    """``components`` with the shingles and the bound of the contract; the same holds for NULLs,
+    empty texts, repeated rows, empty tables and further columns."""
     return components(docs, shingle=3, percent=85)
