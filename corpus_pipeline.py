@@ -8,15 +8,14 @@ it back as the next stage's documents. All stages but the last return the column
 
 from __future__ import annotations
 
-import re
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.llm import bpe, mixing, near_dup, perplexity, toxicity
-from wayfare.llm.common import shared_path, ship, table
+from wayfare.llm.common import few, shared_path, ship, stored, table
 from wayfare.llm.queries import ranks_path
+from wayfare.operators.ranks import rows_before
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 TOXIC_FROM = 0.7
@@ -24,14 +23,23 @@ SHINGLE, PERCENT = 5, 80
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose perplexity is above what trusted text of their language has."""
+    """Drop documents whose perplexity is above what trusted text of their language has.
+
+    A row is judged by itself: rows that repeat an id or a text, and rows with a NULL id, are
+    judged like others. NULL and empty texts go; all others stay where nothing is labelled as
+    trusted. An empty table stays empty; columns beyond those of ``documents`` are left out.
+    """
     ship(spark)
     judged = perplexity.judged_rows(docs, table(spark, sf_dir, "labels"), keep=tuple(COLUMNS))
     return judged.where("__kept").select(COLUMNS)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents with a toxicity of at least ``TOXIC_FROM``."""
+    """Drop documents with a toxicity of at least ``TOXIC_FROM``.
+
+    Rows are judged one by one, as above. A NULL or empty text has the score of a text without
+    features; without labels of both kinds all scores are the same. An empty table stays empty.
+    """
     ship(spark)
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score(docs.select(COLUMNS), model, keep=tuple(COLUMNS))
@@ -39,55 +47,61 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies keep the document with the least id."""
+    """Of each group of near copies keep the document with the least id.
+
+    Rows with a NULL id or without words stay, and so do rows that share an id and are no near
+    copies (see ``near_dup.deduplicated``). An empty table stays empty.
+    """
     ship(spark)
     return near_dup.deduplicated(docs.select(COLUMNS), SHINGLE, PERCENT)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in an order that interleaves the sources by their target weights."""
+    """All documents, in an order that interleaves the sources by their target weights.
+
+    Every row stays, those with a NULL or repeated id and NULL or empty texts too; NULL is a source
+    of its own. The order is that of the files that are written. An empty table stays empty.
+    """
     ship(spark)
     return mixing.mixed(docs.select(COLUMNS))
 
 
-def in_file_order(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def in_file_order(docs: DataFrame) -> DataFrame:
     """``docs`` with ``position``, the place of a row when files are read in the order they were
-    written in. Spark itself reads large files first. Rows that are not from files, or from files
-    without numbers, are numbered by partition, in the order they come in.
+    written in; Spark itself reads large files first.
+
+    ``docs`` must come straight from files. Spark numbers the files it writes; others are in the
+    order of their names. The rows before each file are counted in ranges of files, by many tasks.
     """
     try:
-        named = docs.withColumns({"__file": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index")})
-    except AnalysisException:
-        return docs.withColumn("position", F.monotonically_increasing_id())
-    sizes = named.groupBy("__file").agg(F.count(F.lit(1)).alias("rows")).collect()  # one row a file
-    # Both numbers of a name like part-00003-(id)-c000.snappy.parquet.
-    number = re.compile(r"/part-(\d+)-[^/]*?(?:-c(\d+))?\.[^/]*$")
-    found = [(number.search(r["__file"]), r["__file"], r["rows"]) for r in sizes]
-    if not all(match for match, _, _ in found):
-        return docs.withColumn("position", F.monotonically_increasing_id())
-    starts, before = [], 0
-    for _, name, rows in sorted(found, key=lambda x: (int(x[0][1]), int(x[0][2] or 0), x[1])):
-        starts.append((name, before))
-        before += rows
-    table = spark.createDataFrame(starts, "__name string, __before long")
-    placed = named.join(F.broadcast(table), F.col("__file") == F.col("__name"))
+        named = docs.withColumns({"__path": F.col("_metadata.file_path"), "__row": F.col("_metadata.row_index")})
+    except AnalysisException as error:
+        raise ValueError("the order of documents is known only when they are read from files") from error
+    # Both numbers of a name like part-00003-(id)-c000.snappy.parquet, as text that sorts by them.
+    name = F.element_at(F.split("__path", "/"), -1)
+    numbers = [F.regexp_extract(name, rule, 1) for rule in (r"^part-(\d+)-", r"-c(\d+)\.")]
+    ordered = F.concat(*[F.lpad(number, 12, "0") for number in numbers], F.col("__path"))
+    named = named.withColumn("__file", ordered)
+    before = stored(rows_before(named.select("__file"), "__file", [F.col("__file").asc()]))
+    before = few(before.select(F.col("__file").alias("__of"), "__before"))
+    placed = named.join(before, named["__file"] == before["__of"])
     return placed.select(*docs.columns, (F.col("__before") + F.col("__row")).alias("position"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text; ``round_trip`` says that decoding gives the text again.
 
-    ``position`` is the place of the document in ``docs``: the order of the mixture.
+    ``position`` is the place of the document in ``docs``, which must be read from files: the
+    order of the mixture. One row per input row, with NULL ids too; a NULL or empty text has no
+    tokens. Columns beyond those of ``documents`` are not read.
     """
     ship(spark)
-    path = ranks_path()
     text = F.coalesce(F.col("text"), F.lit(""))
     # A digest goes along instead of a second copy of the text.
-    placed = in_file_order(spark, docs)
+    placed = in_file_order(docs.select(COLUMNS))
     marked = placed.select("doc_id", "source", "position", F.sha2(text, 256).alias("digest"), "text")
-    kept = ("doc_id", "source", "position", "digest")
-    decoded = bpe.decode(bpe.encode(marked, path, keep=kept), path, keep=kept)
-    return decoded.select(
+    done = bpe.coded(marked, ranks_path(), keep=("doc_id", "source", "position", "digest"))
+    return done.select(
         "doc_id",
         "source",
         "position",
