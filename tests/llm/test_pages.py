@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 from wayfare.llm import html_text, url_filter
 from wayfare.llm.html_text import main_text
@@ -31,6 +32,53 @@ def test_link_lists_weigh_less_than_text():
     assert main_text(page) == f"{('text ' * 40).strip()}\n{('more ' * 40).strip()}"
 
 
+TEXT = " ".join(f"word{n}" for n in range(30))
+
+
+def test_an_article_in_a_form_stays():
+    inner = f"<nav><a href=/>x</a></nav><h1>Title</h1><p>{TEXT}</p><p>{TEXT}</p><select><option>no</select>"
+    page = f"<body><form id=aspnetForm action=/>{inner}<form><p>Sign up</p></form></form><footer>f</footer></body>"
+    assert main_text(page).split("\n")[:3] == ["Title", TEXT, TEXT]
+    assert main_text(f"<form><div><p>{TEXT}</p></div></form>") == ""
+    assert main_text(f"<form><article><p>{TEXT}</p></article></form>") == TEXT
+    assert main_text(f"<article><p>{TEXT}</p><p>{TEXT}</p><form><p>{TEXT}</p></form></article>") == f"{TEXT}\n{TEXT}"
+
+
+def test_names_that_may_be_titles_are_judged_by_their_text():
+    parts = [f'<section id="discussion"><h2>Discussion</h2><p>{TEXT}</p></section>']
+    parts += [f'<section class="related-work"><h2>Related work</h2><p>{TEXT}</p></section>']
+    parts += [f'<p class="social-policy">{TEXT}</p>', f'<p class="search-engines">{TEXT}</p>']
+    page = f"<body><article><h1>A</h1><p>{TEXT}</p>{{}}</article></body>"
+    found = main_text(page.format("".join(parts))).split("\n")
+    assert found == ["A", TEXT, "Discussion", TEXT, "Related work", TEXT, TEXT, TEXT]
+    links = "".join(f"<li><a href=/{n}>a long title of another page {n}</a></li>" for n in range(9))
+    gone = [f'<div class="related">{links}</div>', '<div class="related-posts">See also this</div>']
+    gone += [f'<div id="{x}"><p>{TEXT}</p></div>' for x in ("comments", "ad-slot", "cookie-notice", "newsletter-box")]
+    assert main_text(page.format("".join(gone))) == f"A\n{TEXT}"
+    after = f'<section id="discussion"><p>{TEXT} {TEXT}</p></section>'
+    assert main_text(f"<article><p>{TEXT}</p></article>{after}") == TEXT
+
+
+def test_pages_made_to_take_long():
+    size = 250_000
+    pages = [
+        "<i><div>" + "<b></i>" * size,
+        "<dt><dl>" + "<b>" * size + "<dd></dd>" * size,
+        "<tr><table>" + "<b>" * size + "<tr></tr>" * size,
+        "<a " + 'b="1" ' * size,
+        "<p>" * size + "x",
+        "<form>" * size + "<h1>x" + "</form>" * size,
+        "<!" * size,
+        "</x" * size,
+        "<a href='" * size,
+        '<div class="related">' * size + "x",
+    ]
+    for page in pages:
+        start = time.process_time()
+        main_text(page)
+        assert time.process_time() - start < 10, page[:40]
+
+
 def test_odd_pages():
     for page in ("", "<", "<!--", "<a href='", "</", "<script>x", "<p hidden>x</p>", "<!doctype html>"):
         assert main_text(page) in ("", "<")

@@ -3,15 +3,17 @@
 Every block of the page's tree gets its characters per tag, adjusted by the share of
 characters in links; inline mark-up belongs to the text of its block. The node whose children's densities have the largest sum holds the
 article. The least density on the way from it up to the body is the threshold by which
-other subtrees are taken too. Elements that say what they are (navigation, forms, adverts,
-comments and the like) are left out beforehand.
+other subtrees are taken too. Elements that say what they are (navigation, adverts, comments
+and the like) are left out beforehand. Two kinds are judged by their text: a form is left out
+unless it wraps the article, and a part of an article whose name may be a title as well (related,
+discussion) is left out only if it is short or mostly links.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from math import e, log
 
 import pyarrow as pa
@@ -27,7 +29,7 @@ INLINE = set(
     "samp small span strike strong sub sup time tt u var wbr td th label".split()
 )
 SKIPPED = set(
-    "script style noscript template head title nav footer aside form button select option "
+    "script style noscript template head title nav footer aside button select option "
     "input textarea iframe object embed svg canvas audio video map dialog menu fieldset "
     "noembed noframes xmp datalist".split()
 )
@@ -49,23 +51,37 @@ ENDS = {
 #: Words of class, id and role that name what is not the article.
 NOISE_WORDS = set(
     "ad ads adv advert adverts advertisement advertising adsbygoogle adsense banner sponsor "
-    "sponsored promo promoted promotion cookie cookies consent gdpr notice notification alert "
-    "popup modal overlay newsletter subscribe subscription signup login sidebar sidenav rail "
+    "sponsored promo promoted cookie cookies consent gdpr notice notification alert "
+    "popup modal overlay newsletter subscribe subscription signup login sidebar sidenav "
     "nav navbar navigation menu submenu breadcrumb breadcrumbs footer masthead toolbar "
-    "share sharing social related recommended recommendations pagination pager skip search "
-    "copyright disclaimer contentinfo complementary widget widgets outbrain taboola".split()
+    "share sharing pagination pager skip search "
+    "copyright disclaimer contentinfo complementary widget widgets outbrain taboola "
+    "comment comments commentlist disqus".split()
 )
-COMMENT_WORDS = set("comment comments commentlist disqus discussion replies respond".split())
+#: Words that may also be the title of a part of the article.
+TITLE_WORDS = set("discussion replies respond related recommended recommendations social rail promotion".split())
+#: Words that may stand beside those in one name, as in related-posts; with any other, as in
+#: related-work, a name does not say what an element is.
+PLAIN_WORDS = set(
+    "area articles bar block body bottom box button buttons card center column container content "
+    "footer form group header holder home icon icons inner item items layout left link links list "
+    "main media message module more network news outer page panel placeholder post posts "
+    "primary region reply right row secondary section site slot stories story strip text thread "
+    "title top unit user wrap wrapper zone".split()
+)
+COMMENT_WORDS = set("comment comments commentlist disqus replies respond".split())
+LEAST_PART = 80  # characters of a part of an article that is more than a pointer elsewhere
+LEAST_FORM = 250  # characters of a form that wraps an article without saying so
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 WORDS = re.compile(r"[A-Za-z][a-z]*")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "noise", "block", "chars", "tags", "link_chars", "links", "own", "density")
+    __slots__ = ("tag", "parent", "parts", "noise", "doubtful", "block", "chars", "tags", "link_chars", "links", "own", "density")
 
-    def __init__(self, tag: str, parent: Node | None, noise: bool = False) -> None:
-        self.tag, self.parent, self.noise = tag, parent, noise
+    def __init__(self, tag: str, parent: Node | None, noise: bool = False, doubtful: bool = False) -> None:
+        self.tag, self.parent, self.noise, self.doubtful = tag, parent, noise, doubtful
         self.block = tag not in INLINE
         self.parts: list[Node | str] = []
 
@@ -73,10 +89,8 @@ class Node:
 def _tag_end(page: str, at: int) -> int:
     """Place of the ``>`` that ends the tag beginning at ``at``, outside quotes."""
     end = page.find(">", at)
-    quote = page.find("=", at, end if end >= 0 else len(page))
-    if quote < 0:
-        return end
-    while quote >= 0 and (end < 0 or quote < end):
+    quote = page.find("=", at, end) if end >= 0 else -1
+    while 0 <= quote < end:
         after = quote + 1
         while after < len(page) and page[after] in " \t\r\n\f":
             after += 1
@@ -84,34 +98,46 @@ def _tag_end(page: str, at: int) -> int:
             close = page.find(page[after], after + 1)
             if close < 0:
                 return -1
-            end, after = page.find(">", close), close + 1
-        quote = page.find("=", after, end if end >= 0 else len(page))
+            after = close + 1
+            if close > end:
+                end = page.find(">", close)
+        quote = page.find("=", after, end)
     return end
 
 
-def _is_noise(tag: str, attributes: str, inside_article: bool) -> bool:
+def _named(names: str, words: set[str]) -> bool:
+    """Whether one of some names says what an element is: it has one of ``words``, and no word
+    that could mean something else."""
+    for name in names.split():
+        parts = {x.lower() for x in WORDS.findall(name)}
+        if parts & words and parts <= NOISE_WORDS | TITLE_WORDS | PLAIN_WORDS | words:
+            return True
+    return False
+
+
+def _kind(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool]:
+    """Whether an element is noise, and whether it may be, which its text decides."""
     if tag in SKIPPED:
-        return True
+        return True, False
     if tag == "header":
-        return not inside_article
+        return not inside_article, False
     if not attributes:
-        return False
+        return False, tag == "form"
     found: dict[str, str] = {}
     for m in ATTRIBUTE.finditer(attributes):
         found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true":
-        return True
+        return True, False
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I):
-        return True
+        return True, False
     if tag in ("html", "body", "main", "h1"):
-        return False
-    named = " ".join(found.get(x, "") for x in ("class", "id", "role"))
-    words = {x.lower() for x in WORDS.findall(named)}
-    if words & COMMENT_WORDS:
-        return True
+        return False, False
+    names = " ".join(found.get(x, "") for x in ("class", "id", "role"))
     if tag == "article":
-        return False
-    return bool(words & NOISE_WORDS) or ("header" in words and not inside_article)
+        return _named(names, COMMENT_WORDS), False
+    if _named(names, NOISE_WORDS) or (not inside_article and _named(names, TITLE_WORDS | {"header"})):
+        return True, False
+    return False, tag == "form" or _named(names, TITLE_WORDS)
 
 
 def parse(page: str) -> Node:
@@ -119,11 +145,17 @@ def parse(page: str) -> Node:
     root = Node("#root", None)
     stack = [root]
     at, size = 0, len(page)
-    depth: dict[str, int] = {}  # open elements by name
+    places: dict[str, list[int]] = {}  # of open elements in the stack, by name
+    blocks = [0]  # of those that are no inline mark-up
     folded: str | None = None
 
     def pop() -> None:
-        depth[stack.pop().tag] -= 1
+        places[stack.pop().tag].pop()
+        if blocks[-1] == len(stack):
+            blocks.pop()
+
+    def last(tags: Iterable[str]) -> int:
+        return max((places[x][-1] for x in tags if places.get(x)), default=-1)
 
     while at < size:
         left = page.find("<", at)
@@ -157,36 +189,28 @@ def parse(page: str) -> Node:
             break  # a tag that never ends is dropped, as in browsers
         at, tag = end + 1, name[0].lower()
         if closing:
-            if depth.get(tag):
+            if places.get(tag):
                 # An inline end tag does not close a block around it.
-                if tag in INLINE and tag not in ("td", "th"):
-                    i = len(stack) - 1
-                    while stack[i].tag != tag and (stack[i].tag in INLINE):
-                        i -= 1
-                    if stack[i].tag != tag:
-                        continue
+                if tag in INLINE and tag not in ("td", "th") and places[tag][-1] < blocks[-1]:
+                    continue
                 while stack[-1].tag != tag:
                     pop()
                 pop()
             elif tag == "br":
                 stack[-1].parts.append(" ")
             continue
-        if tag in CLOSES_P and depth.get("p"):
+        if tag in CLOSES_P and places.get("p"):
             while stack[-1].tag != "p":
                 pop()
             pop()
         if tag in ENDS:
             ended, stops = ENDS[tag]
-            if any(depth.get(x) for x in ended):
-                i = len(stack) - 1
-                while i and stack[i].tag not in ended and stack[i].tag not in stops:
-                    i -= 1
-                if stack[i].tag in ended:
-                    while len(stack) > i:
-                        pop()
+            if (place := last(ended)) > last(stops):
+                while len(stack) > place:
+                    pop()
         attributes = page[name.end() : end]
-        inside = bool(depth.get("article") or depth.get("main"))
-        node = Node(tag, stack[-1], _is_noise(tag, attributes.rstrip("/"), inside))
+        inside = bool(places.get("article") or places.get("main"))
+        node = Node(tag, stack[-1], *_kind(tag, attributes.rstrip("/"), inside))
         stack[-1].parts.append(node)
         if tag in VOID:
             continue
@@ -202,8 +226,10 @@ def parse(page: str) -> Node:
                 end = page.find(">", close)
                 at = size if end < 0 else end + 1
             continue
+        places.setdefault(tag, []).append(len(stack))
+        if node.block:
+            blocks.append(len(stack))
         stack.append(node)
-        depth[tag] = depth.get(tag, 0) + 1
     return root
 
 
@@ -231,9 +257,8 @@ def _inner_sum(node: Node) -> float:
     return total
 
 
-def main_text(page: str) -> str:
-    """Blocks of the article, in page order, one a line; empty if there is none."""
-    root = parse(page)
+def _measured(root: Node) -> tuple[list[Node], Node]:
+    """The elements that are no noise, in page order, with what is counted of each; the body."""
     order: list[Node] = []
     todo = [root]
     body = root
@@ -265,6 +290,40 @@ def main_text(page: str) -> str:
             own[1], own[2] = own[0], own[2] + 1
             node.link_chars, node.links = node.chars, node.links + 1
         node.own = own
+        if node.doubtful and node.tag != "form":
+            node.noise = node.chars < LEAST_PART or 3 * node.link_chars >= node.chars
+    return [node for node in order if not node.noise], body
+
+
+def _forms(order: list[Node], body: Node) -> bool:
+    """Mark the forms that wrap no article as noise; whether there are any.
+
+    One that does holds half of the text, and either the elements of an article or more text than
+    forms have.
+    """
+    forms = [node for node in order if node.doubtful and node.tag == "form"]
+    if not forms:
+        return False
+    holding = set()
+    for node in order:
+        if node.tag in ("article", "main", "h1"):
+            while node is not None and id(node) not in holding:
+                holding.add(id(node))
+                node = node.parent
+    found = False
+    for form in forms:
+        wraps = 2 * form.chars >= body.chars and (id(form) in holding or form.chars >= LEAST_FORM)
+        form.noise = not wraps
+        found = found or not wraps
+    return found
+
+
+def main_text(page: str) -> str:
+    """Blocks of the article, in page order, one a line; empty if there is none."""
+    root = parse(page)
+    order, body = _measured(root)
+    if _forms(order, body):
+        order, body = _measured(root)
     if not body.chars:
         body = root
     share = body.link_chars / max(body.chars, 1)
