@@ -170,6 +170,40 @@ def test_perplexity_on_labelled_rows(tables):
     assert kept[0, False] > kept[0, True]
 
 
+def test_perplexity_finds_nine_of_ten(spark):
+    """Where languages have enough trusted texts: what is rejected of each quality and kind."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet") for name in ("documents", "labels"))
+    kept = {r["doc_id"]: r["kept"] for r in perplexity.judge(docs, labels).collect()}
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    found = Counter()
+    for row in labels.where("quality IN (0, 1)").collect():
+        words = texts[row["doc_id"]].split()
+        repeated = row["quality"] == 0 and len(words) > 10 and len(set(words)) < 0.5 * len(words)
+        found[row["quality"], repeated, kept[row["doc_id"]]] += 1
+    assert found[1, False, False] <= 0.01 * found[1, False, True]
+    bad = [found[0, r, k] for r in (False, True) for k in (False, True)]
+    assert bad[0] + bad[2] >= 0.9 * sum(bad)
+    assert bad[0] >= 0.95 * (bad[0] + bad[1]) and bad[2] >= 0.75 * (bad[2] + bad[3])
+
+
+def test_long_texts_are_judged_more_closely(spark):
+    """A text a little odd throughout passes while it is short; a good one at any length."""
+    rng = np.random.default_rng(9)
+    words = ["".join(rng.choice(list("abcdefgh"), int(rng.integers(2, 9)))) for _ in range(300)]
+
+    def text(size, odd):
+        picked = rng.choice(words, size)
+        return " ".join("qx" + w if rng.random() < odd else w for w in picked)
+
+    good = [(i, text(int(rng.integers(5, 200)), 0), "en") for i in range(900)]
+    probes = [(1000, text(5, 0), "en"), (1001, text(30_000, 0), "en"), (1002, text(3_000, 0.5), "en"), (1003, "qx" + words[0], "en")]
+    docs = spark.createDataFrame(good + probes, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], 1, 0) for r in good], "doc_id long, quality int, toxic int")
+    kept = {r["doc_id"]: r["kept"] for r in perplexity.judge(docs, labels).collect()}
+    assert [kept[i] for i in (1000, 1001, 1002)] == [True, True, False]
+    assert sum(kept[r[0]] for r in good) >= 0.98 * len(good)
+
+
 def test_perplexity_of_a_language_with_few_trusted_texts(spark):
     rng = np.random.default_rng(3)
     words = ["casa", "perro", "libro", "noche", "agua", "camino", "verde", "mesa", "calle", "tiempo"]

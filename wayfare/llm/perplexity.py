@@ -7,8 +7,8 @@ of counts. Count tables are sharded by key and joined order by order.
 
 To score, documents are dealt into blocks. The distinct n-grams of each block are joined with
 the sharded model, and a block's answers meet its documents again. A document is rejected
-when its perplexity lies above what trusted text of its language has, a quantile of held-out
-trusted documents plus a margin that is itself a distance of quantiles.
+when its perplexity lies above what trusted text of its language and length has, a quantile of
+held-out trusted documents plus a margin that is itself a distance of quantiles.
 """
 
 from __future__ import annotations
@@ -27,8 +27,9 @@ ORDER = 4
 BLOCK_CHARS = 8 << 20  # text of a block
 MIDDLE, UPPER = 0.5, 0.99  # quantiles of log perplexity
 ENOUGH = 100  # held-out trusted texts of a language from which its own quantiles hold alone
-MARGIN = 1.5  # times the distance of the quantiles is allowed above the upper one
-TYPICAL_BYTES = 50  # bytes of typical text that each text is filled up with when it is judged
+MARGIN = 0.5  # times the distance of the quantiles is allowed above the upper one
+DISTANCE = 0.75  # times the distance of quantiles of log perplexity is allowed at any length
+FEW_DISTANCE = 2.5  # the same where few texts leave the middle itself uncertain
 START = 0x0A  # a text begins and ends with a line feed
 SEEN, MISSING = 0, 256
 
@@ -231,32 +232,56 @@ def scored(
 
 
 def limits(trusted: DataFrame) -> DataFrame:
-    """For each language and for all (NULL): the middle and the highest log perplexity kept.
+    """For each language and for all (NULL): the middle log perplexity, the highest ``surprise``
+    kept, and the ``distance`` above the middle that is kept at any length.
 
-    A language with fewer than ``ENOUGH`` texts says little about its spread: its limit is
-    not below its middle and the distance that texts of all languages have from their middles.
+    The surprise of a text is its distance above the middle times the root of its length: long
+    texts come closer to the middle than short ones. The limit is its upper quantile and a part
+    of the distance of quantiles. As topics differ however long a text is, a part of the same
+    distance of plain log perplexities is allowed as well.
 
-    Values are rounded to a thousandth: then the mergeable sketches of ``percentile_approx``
-    have room for every value that occurs, and the quantiles are exact and repeatable.
+    A language with fewer than ``ENOUGH`` texts says little about its middle and spread: its limits
+    are not below those that texts of all languages have about the middles of their own, and a
+    larger distance is allowed.
+
+    Values are rounded: then the mergeable sketches of ``percentile_approx`` have room for every
+    value that occurs, and the quantiles are exact and repeatable.
     """
     value = F.round(-F.col("log_p") / (F.col("n_bytes") + 1), 3)
-    each = trusted.where("n_bytes > 0").select("lang", value.alias("v"))
+    root = F.sqrt(F.col("n_bytes") + 1)
+    each = trusted.where("n_bytes > 0").select("lang", value.alias("v"), root.alias("root"))
     both = each.where("lang is not null").withColumn("of", F.col("lang")).unionByName(
         each.withColumn("of", F.lit(None).cast("string"))
     )
-    q = F.percentile_approx("v", [MIDDLE, UPPER], 10_000)
-    found = both.groupBy("of").agg(q.alias("q"), F.count(F.lit(1)).alias("texts")).select(
+
+    def quantiles(column: str) -> Column:
+        return F.percentile_approx(column, [MIDDLE, UPPER], 10_000)
+
+    def spread(q: str) -> Column:
+        return F.col(q)[1] - F.col(q)[0]
+
+    plain = both.groupBy("of").agg(quantiles("v").alias("q"), F.count(F.lit(1)).alias("texts"))
+    plain = plain.select("of", "texts", F.col("q")[0].alias("middle"), spread("q").alias("apart"))
+    known = F.broadcast(plain.select(F.col("of").alias("__of"), "middle"))  # a row for each language
+    away = both.join(known, F.col("of").eqNullSafe(F.col("__of"))).withColumn("away", F.col("v") - F.col("middle"))
+    away = away.withColumn("surprise", F.round(F.col("away") * F.col("root"), 2))
+    high = (F.col("s")[1] + MARGIN * spread("s")).alias("high")
+    own = away.groupBy("of").agg(quantiles("surprise").alias("s")).select(F.col("of").alias("__own"), high)
+    pooled = (
+        away.where("of is not null")
+        .agg(quantiles("surprise").alias("s"), F.percentile_approx(F.round("away", 3), UPPER, 10_000).alias("all_apart"))
+        .select(high.alias("all_high"), "all_apart")
+    )
+    found = plain.join(own, F.col("of").eqNullSafe(F.col("__own"))).crossJoin(F.broadcast(pooled))
+    few_texts = F.col("of").isNotNull() & (F.col("texts") < ENOUGH)
+    return found.select(
         "of",
-        "texts",
-        F.col("q")[0].alias("middle"),
-        (F.col("q")[1] + MARGIN * (F.col("q")[1] - F.col("q")[0])).alias("own"),
+        "middle",
+        F.when(few_texts, F.greatest("high", "all_high")).otherwise(F.col("high")).alias("surprise"),
+        F.when(few_texts, FEW_DISTANCE * F.greatest("apart", "all_apart"))
+        .otherwise(DISTANCE * F.col("apart"))
+        .alias("distance"),
     )
-    middles = found.where("of is not null").select(F.col("of").alias("lang"), "middle")
-    apart = each.join(F.broadcast(middles), "lang").select(F.round(F.col("v") - F.col("middle"), 3).alias("v"))
-    pooled = apart.agg(q.alias("q")).select(((1 + MARGIN) * (F.col("q")[1] - F.col("q")[0])).alias("spread"))
-    wide = F.greatest(F.col("own"), F.col("middle") + F.col("spread"))
-    highest = F.when(F.col("of").isNotNull() & (F.col("texts") < ENOUGH), wide).otherwise(F.col("own"))
-    return found.crossJoin(F.broadcast(pooled)).select("of", "middle", highest.alias("highest"))
 
 
 def judged_rows(
@@ -274,20 +299,22 @@ def judged_rows(
     model = fit(trusted.where(~held_out(F.col("doc_id"))), order)
     found = stored(scored(docs, model, text, keep))
     bounds = limits(found.where(held_out(F.col("doc_id"))).join(good, "doc_id", "left_semi"))
-    rows = [(r["of"], r["middle"], r["highest"]) for r in bounds.collect()]  # one a language
-    table = docs.sparkSession.createDataFrame(rows, "__of string, __mid double, __high double")
-    every = next(((m, h) for of, m, h in rows if of is None), (0.0, float("inf")))
+    names = ("middle", "surprise", "distance")
+    rows = [(r["of"], *[float(r[x]) for x in names]) for r in bounds.collect()]  # one a language
+    table = docs.sparkSession.createDataFrame(rows, "__of string, __middle double, __surprise double, __distance double")
+    every = dict(zip(names, next((r[1:] for r in rows if r[0] is None), (0.0, float("inf"), float("inf")))))
     own = found.join(
         F.broadcast(table.where("__of is not null")), F.col("lang") == F.col("__of"), "left"
     )
-    middle = F.coalesce(F.col("__mid"), F.lit(every[0]))
-    highest = F.coalesce(F.col("__high"), F.lit(every[1]))
-    filled = (-F.col("log_p") + TYPICAL_BYTES * middle) / (F.col("n_bytes") + 1 + TYPICAL_BYTES)
+    middle, surprise, distance = (F.coalesce(F.col(f"__{x}"), F.lit(every[x])) for x in names)
+    size = F.col("n_bytes") + 1
+    log = -F.col("log_p") / size
+    allowed = F.greatest(surprise / F.sqrt(size), distance)
     return own.select(
         *keep,
         F.col("n_bytes").alias("__bytes"),
-        (-F.col("log_p") / (F.col("n_bytes") + 1)).alias("__log"),
-        ((F.col("n_bytes") > 0) & (filled <= highest)).alias("__kept"),
+        log.alias("__log"),
+        ((F.col("n_bytes") > 0) & (log - middle <= allowed)).alias("__kept"),
     )
 
 
@@ -295,13 +322,14 @@ def judge(docs: DataFrame, labels: DataFrame, order: int = ORDER, text: str = "t
     """``doc_id``, ``lang``, ``n_bytes``, ``perplexity`` (of a byte) and ``kept`` of every row.
 
     Trusted are the texts whose label ``quality`` is 1; those that are held out do not count
-    in the model but give the quantiles. The perplexity a text is judged by is that of the
-    text filled up with ``TYPICAL_BYTES`` bytes of the language's middle perplexity, so a few
-    odd words do not reject a short text. An empty or NULL text has perplexity NULL and is
-    not kept. A language without held-out trusted text, or NULL, takes the quantiles over all
-    languages, and one with fewer than ``ENOUGH`` such texts has at least the spread that
-    texts of all languages have about the middles of their own; without any trusted text every non-empty text is kept. Repeated rows and NULL
-    ids stay. Other columns are not read.
+    in the model but give the quantiles. A text may be the further above the middle of its
+    language the shorter it is (see ``limits``), so a few odd words do not reject a short text,
+    and a long one that is odd throughout does not pass. An empty or NULL text has perplexity
+    NULL and is not kept. A language without held-out trusted text, or NULL, takes the quantiles
+    over all languages, and one with fewer than ``ENOUGH`` such texts has at least the limits of
+    texts of all languages about the middles of their own; without any trusted text every
+    non-empty text is kept. Repeated rows and NULL ids stay. Other columns are not read, whatever
+    their names. An empty table has no rows.
     """
     return judged_rows(docs, labels, order, text).select(
         "doc_id",
