@@ -1,9 +1,10 @@
 import zlib
-import pytest
 from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pytest
+import zstandard
 
 from wayfare.llm import language, lines, mixing, perplexity, toxicity
 from wayfare.llm.common import held_out
@@ -99,6 +100,84 @@ def test_line_rules_on_held_out_rows(tables):
     assert sum(a == b for a, b in judged_out) >= 0.95 * len(judged_out)
 
 
+def test_lines_of_mixed_documents(spark):
+    """Lines of good documents with lines of symbols from bad ones among them: each is told."""
+    docs, marks = (spark.read.parquet(f"/root/testdata/sf0.01/{x}.parquet") for x in ("documents", "labels"))
+    field = lines.learn(docs, marks)
+    quality = {r["doc_id"]: r["quality"] for r in marks.collect()}
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    out = {label: [line for i, q in quality.items() if q == label and is_held_out(i) for line in texts[i].split("\n")] for label in (0, 1)}
+    good = [x for x in out[1] if len(x.split()) >= 5]
+    junk = [x for x in out[0] if len(x.split()) >= 5 and sum(c in "#*$%&|<>!" for c in x) >= 0.05 * len(x)]
+    rng, right, total = np.random.default_rng(1), 0, 0
+    for _ in range(300):
+        some = [(x, 1) for x in rng.choice(good, 6)]
+        at = int(rng.integers(0, 7))
+        some[at:at] = [(x, 0) for x in rng.choice(junk, int(rng.integers(2, 5)))]
+        _, rows, _ = lines.describe("\n".join(x for x, _ in some))
+        found = field.viterbi(lines.line_features(rows))
+        right += sum(a == b for a, (_, b) in zip(found, some))
+        total += len(some)
+    assert right >= 0.9 * total
+    shares = [r["content_share"] for r in lines.judge(docs, field).where("NOT base_failed").collect()]
+    assert sum(0 < x < 1 for x in shares) >= 0.02 * len(shares)  # labels do change inside documents
+
+
+def test_line_labels_agree_with_the_document():
+    field = lines.Field(np.zeros((lines.FEATURES, 2)), np.zeros((2, 2)))
+    field.emission[0] = -1, 1
+    field.emission[1] = 3, 0
+    x = np.zeros((4, lines.FEATURES))
+    x[:, 0], x[2:, 1] = 1, 1
+    assert lines.line_labels(field, x, np.array([9, 9, 1, 1]), 1).tolist() == [1, 1, 0, 0]
+    assert lines.line_labels(field, x, np.array([9, 9, 1, 1]), 0).tolist() == [0, 0, 0, 0]
+    assert lines.line_labels(field, x, np.array([1, 1, 9, 9]), 0).tolist() == [1, 1, 0, 0]
+    assert lines.line_labels(field, x, np.array([1, 1, 9, 9]), 1).tolist() == [1, 1, 1, 1]
+
+
+def test_language_sizes_match_the_library(spark, tables):
+    """Dictionaries, sizes and margins, made again row by row."""
+    docs = [r for r in tables("documents").collect()]
+    usable = {}
+    for r in docs:
+        if r["lang"] and r["text"] and not is_held_out(r["doc_id"]):
+            usable.setdefault(r["lang"], []).append(r)
+    hashes = {r["doc_id"]: r["h"] for r in tables("documents").selectExpr("doc_id", "xxhash64(doc_id) AS h").collect()}
+    model = {}
+    for lang in sorted(usable, key=lambda x: (-len(usable[x]), x)):
+        pieces = []
+        for r in sorted(usable[lang], key=lambda r: (hashes[r["doc_id"]], r["doc_id"]))[: language.SAMPLE_DOCS]:
+            first = max(1, int((len(r["text"]) - language.SAMPLE_CHARS) / 2))
+            pieces.append(r["text"][first - 1 : first - 1 + language.SAMPLE_CHARS].lower())
+        model[lang] = "\n".join(pieces).encode()[-language.DICTIONARY_BYTES :]
+    assert language.learn(tables("documents")) == model
+    found = {r["doc_id"]: r for r in language.predictions(tables("documents")).collect()}
+    for r in docs[:60]:
+        raw = r["text"].lower().encode()
+        cuts = [raw[i : i + language.BLOCK_BYTES] for i in range(0, len(raw), language.BLOCK_BYTES)]
+        sizes = []
+        for sample in model.values():
+            data = zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            coder = zstandard.ZstdCompressor(
+                level=language.LEVEL, dict_data=data, write_content_size=False, write_dict_id=False
+            )
+            sizes.append(sum(len(coder.compress(x)) for x in cuts))
+        best, second = sorted(sizes)[:2]
+        own = found[r["doc_id"]]
+        if any(map(str.isalpha, r["text"])):
+            assert own["lang_pred"] == list(model)[sizes.index(best)]
+            assert own["rejected"] == (1 - best / second < language.LEAST_MARGIN)
+            assert own["score"] == pytest.approx(min(1, (1 - best / second) / language.SURE_MARGIN))
+
+
+def test_language_samples_stay_bounded(spark, monkeypatch):
+    """Rows that repeat an id give one piece, and rare languages beyond the bound none."""
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 2)
+    rows = [(0, "aa", f"text {n % 3}") for n in range(50)] + [(n, "bb", f"other {n}") for n in range(40)] + [(2, "cc", "x")]
+    model = language.learn(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
+    assert list(model) == ["aa", "bb"] and model["aa"] == b"text 0"
+
+
 def test_language_on_held_out_rows(tables):
     truth = {r["doc_id"]: r["lang"] for r in tables("documents").collect()}
     rows = language.predictions(tables("documents")).where("held_out").collect()

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from wayfare.llm.common import chunks, held_out, released, texts
 
 SAMPLE_DOCS = 300  # documents of each language that a dictionary is made from
+MOST_LANGUAGES = 500  # languages that are learnt
 SAMPLE_PARTS = 16  # parts of a language that are searched for its sample
 SAMPLE_CHARS = 1_000  # longest piece of one of them
 DICTIONARY_BYTES = 112 << 10
@@ -35,7 +36,8 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
 
     Rows with NULL in id, language or text take no part. The sample of a language is the
     ``SAMPLE_DOCS`` documents whose ids have the least hashes; a middle piece of at most
-    ``SAMPLE_CHARS`` characters of each goes into the dictionary.
+    ``SAMPLE_CHARS`` characters of each goes into the dictionary. The ``MOST_LANGUAGES`` languages
+    with the most rows are learnt.
     """
     usable = docs.select("doc_id", "lang", "text").where(
         F.col("lang").isNotNull()
@@ -43,6 +45,10 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
         & (F.length("text") > 0)
         & ~held_out(F.col("doc_id"))
     )
+    # Each language has a dictionary of up to ``DICTIONARY_BYTES`` on the driver and in each task.
+    common = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    counts = {row["lang"]: row["count"] for row in common.collect()}
+    usable = usable.where(F.col("lang").isin(list(counts)))
     first = F.greatest(F.lit(1), ((F.length("text") - SAMPLE_CHARS) / 2).cast("int"))
     # The least hashes of ids, in two steps, so that no task gets all ids of a language.
     ids = usable.select("lang", "doc_id", F.xxhash64("doc_id").alias("h")).distinct()
@@ -52,11 +58,12 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
     pieces = usable.select(
         "doc_id", "lang", F.substring("text", first, F.lit(SAMPLE_CHARS)).alias("piece")
     )
-    rows = pieces.join(F.broadcast(ids.select("lang", "doc_id", "n")), ["lang", "doc_id"]).collect()
+    chosen = pieces.join(F.broadcast(ids.select("lang", "doc_id", "n")), ["lang", "doc_id"])
+    # Of rows that share an id one takes part, so a language has ``SAMPLE_DOCS`` pieces at most.
+    rows = chosen.groupBy("lang", "n").agg(F.min("piece").alias("piece")).collect()
     found: dict[str, list[tuple[int, str]]] = {}
     for row in rows:
         found.setdefault(row["lang"], []).append((row["n"], row["piece"]))
-    counts = {row["lang"]: row["count"] for row in usable.groupBy("lang").count().collect()}
     return {
         lang: "\n".join(x.lower() for _, x in sorted(found[lang])).encode()[-DICTIONARY_BYTES:]
         for lang in sorted(found, key=lambda x: (-counts[x], x))
@@ -132,6 +139,13 @@ def predict(
 
 
 def predictions(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``held_out``, ``lang_pred``, ``score`` and ``rejected`` of every row, with
+    dictionaries learnt from ``docs`` (see ``learn`` and ``predict``).
+
+    Rows with a NULL or repeated id, or without a language, are predicted like others; NULL texts
+    and those without a letter are ``und``. An empty table gives no rows. Other columns are not
+    read.
+    """
     return predict(docs, learn(docs)).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected"
     )

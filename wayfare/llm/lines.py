@@ -149,30 +149,58 @@ class Field:
         return np.array(path[::-1])
 
 
-def fit(sequences: list[tuple[np.ndarray, int]], rounds: int = 100) -> Field:
-    """Maximum likelihood (with a small Gaussian prior) over sequences whose lines all carry
-    the label of their document; both labels count alike.
-
-    With one label only, or none, every line is content.
+def line_labels(field: Field, features: np.ndarray, sizes: np.ndarray, label: int) -> np.ndarray:
+    """The states of a labelled document's lines: the best sequence, if the words in its content
+    lines agree with the label; otherwise all lines carry the label."""
+    path = field.viterbi(features)
+    content = sizes[path == CONTENT].sum() >= LEAST_CONTENT * sizes.sum()
+    return path if content == (label == CONTENT) else np.full(len(path), label)
+
+
+def fit(sequences: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 60, passes: int = 2) -> Field:
+    """The field from the features of lines, their numbers of words, and the label of the
+    document they are in.
+
+    Only documents are labelled; which of their lines are content is found out by turns (hard
+    expectation maximisation). At first every line has the label of its document, and lines are
+    judged one by one. Then each document's lines get their best sequence under the field so far,
+    as far as it agrees with the label (see ``line_labels``), and the field, now with transitions,
+    is fitted to these sequences. So a line of a good document that looks like those of bad ones
+    becomes boilerplate, and a label can change inside a document.
+
+    Likelihood is maximised with a small Gaussian prior; both labels count alike, and so does
+    every document, however long. With one label only, or none, every line is content.
     """
-    emission, transition = np.zeros((FEATURES, 2)), np.zeros((2, 2))
-    labels = np.array([y for _, y in sequences], int)
+    emission = np.zeros((FEATURES, 2))
+    labels = np.array([y for _, _, y in sequences], int)
     if not 0 < labels.sum() < len(labels):
         emission[0, CONTENT] = 1.0
-        return Field(emission, transition)
-    longest = max(len(x) for x, _ in sequences)
+        return Field(emission, np.zeros((2, 2)))
+    field = _fitted(sequences, [np.full(len(x), y) for x, _, y in sequences], rounds, False)
+    for _ in range(passes):
+        states = [line_labels(field, x, sizes, y) for x, sizes, y in sequences]
+        field = _fitted(sequences, states, rounds, True)
+    return field
+
+
+def _fitted(
+    sequences: list[tuple[np.ndarray, np.ndarray, int]], states: list[np.ndarray], rounds: int, chained: bool
+) -> Field:
+    """Maximum likelihood of the states of all lines; without chains transitions stay 0."""
+    labels = np.array([y for _, _, y in sequences], int)
+    longest = max(len(x) for x, _, _ in sequences)
     total = len(sequences)
     x = np.zeros((total, longest, FEATURES))
     mask = np.zeros((total, longest), bool)
-    for i, (rows, _) in enumerate(sequences):
+    truth = np.zeros((total, longest, 2))
+    pairs = np.zeros((total, 2, 2))
+    for i, (rows, _, _) in enumerate(sequences):
         x[i, : len(rows)], mask[i, : len(rows)] = rows, True
+        truth[i, np.arange(len(rows)), states[i]] = 1
+        np.add.at(pairs[i], (states[i][:-1], states[i][1:]), 1)
     weight = np.where(labels == 1, 0.5 / (labels == 1).sum(), 0.5 / (labels == 0).sum())
     lengths = mask.sum(1)
-    truth = np.zeros((total, longest, 2))
-    truth[np.arange(total), :, labels] = mask
-    pairs = np.zeros((total, 2, 2))
-    pairs[np.arange(total), labels, labels] = lengths - 1
-    scale = weight / lengths  # every document counts alike, however long
+    scale = weight / lengths
     params = np.zeros(FEATURES * 2 + 4)
     m, v = np.zeros_like(params), np.zeros_like(params)
     for step in range(1, rounds + 1):
@@ -202,6 +230,8 @@ def fit(sequences: list[tuple[np.ndarray, int]], rounds: int = 100) -> Field:
             ]
         )
         slope -= 1e-4 * params
+        if not chained:
+            slope[-4:] = 0
         m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
         params = params + 0.1 * np.sqrt(1 - 0.99**step) / (1 - 0.9**step) * m / (np.sqrt(v) + 1e-8)
     return Field(params[:-4].reshape(FEATURES, 2), params[-4:].reshape(2, 2))
@@ -211,7 +241,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Field:
     """Fit on at most ``SAMPLE_OF_EACH`` labelled documents of each quality.
 
     They are the ones with the least hashes of their id among those that are not held out,
-    not NULL, and within ``SAMPLE_CHARS`` and ``SAMPLE_LINES``.
+    not NULL, and within ``SAMPLE_CHARS`` and ``SAMPLE_LINES``. A row that repeats an id takes part
+    if it is among the ``SAMPLE_OF_EACH`` rows with the least hashes of id and text.
     """
     marked = labels.select("doc_id", F.col("quality").alias("__quality")).where(
         F.col("__quality").isin(0, 1) & ~held_out(F.col("doc_id"))
@@ -230,10 +261,12 @@ def learn(docs: DataFrame, labels: DataFrame) -> Field:
             .orderBy(F.xxhash64("doc_id"), "doc_id")
             .limit(SAMPLE_OF_EACH)
         )
-        for row in usable.join(F.broadcast(chosen), "doc_id").limit(2 * SAMPLE_OF_EACH).collect():
-            _, rows, _ = describe(row["text"])
+        some = usable.join(F.broadcast(chosen), "doc_id")
+        least = some.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "text").limit(SAMPLE_OF_EACH)
+        for row in least.collect():
+            _, rows, sizes = describe(row["text"])
             if rows:
-                sequences.append((line_features(rows), label))
+                sequences.append((line_features(rows), np.array(sizes), label))
     return fit(sequences)
 
 
@@ -277,4 +310,11 @@ def judge(
 
 
 def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``judge`` with a field learnt from ``labels`` (``doc_id`` and ``quality``).
+
+    One row per document, those with a NULL or repeated id, a NULL or empty text (all counts 0,
+    not kept) or a very long one too. Labels that are NULL, of unknown documents or missing
+    altogether teach nothing; without both of them the base rules alone decide. An empty table
+    gives no rows. Other columns are not read.
+    """
     return judge(docs, learn(docs, labels))

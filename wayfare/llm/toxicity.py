@@ -97,8 +97,9 @@ def fit(batch: list[str], toxic: np.ndarray, rounds: int = 60) -> Model:
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on at most ``SAMPLE_OF_EACH`` labelled rows, none of them held out.
 
-    Rows with a NULL text, id or label take no part. A document with several labels counts
-    once for each.
+    They are those with the least hashes of their id. Texts that are empty or longer than
+    ``SAMPLE_CHARS`` characters take no part, nor do rows with a NULL text, id or label. A
+    document with several labels counts once for each.
     """
     marked = labels.select("doc_id", F.col("toxic").alias("__toxic")).where(
         F.col("__toxic").isin(0, 1) & ~held_out(F.col("doc_id"))
@@ -115,7 +116,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
             .orderBy(F.xxhash64("doc_id"), "doc_id")
             .limit(bound)
         )
-        for row in usable.join(F.broadcast(chosen), "doc_id").limit(2 * bound).collect():
+        some = usable.join(F.broadcast(chosen), "doc_id")
+        # Rows that repeat an id do not raise the bound; which take part does not depend on order.
+        for row in some.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "text").limit(bound).collect():
             batch.append(row["text"])
             toxic.append(label)
     return fit(batch, np.array(toxic, np.int64))
@@ -149,6 +152,13 @@ def score(
 
 
 def predictions(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
+    """``doc_id``, ``held_out``, ``score`` and ``predicted`` of every row, with a model learnt from
+    ``labels`` (``doc_id`` and ``toxic``).
+
+    Rows with a NULL or repeated id are scored like others; a NULL or empty text has the score of
+    the bias alone, and a text of any length is scored whole. With labels of one kind, or none,
+    all scores are equal. An empty table gives no rows. Other columns are not read.
+    """
     return score(docs, learn(docs, labels)).select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
