@@ -223,6 +223,41 @@ def test_order_is_known_only_of_files(spark):
         corpus_pipeline.in_file_order(spark.range(3).selectExpr("id AS doc_id"))
 
 
+def test_blocks_out_of_reach_are_not_visited(spark, monkeypatch):
+    """Tight clusters: a query goes to few of the blocks, and finds what all products give."""
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(30, 6)) * 5
+    points = np.repeat(centres, 40, 0) + rng.normal(size=(1_200, 6)) * 0.05
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    rows = [(i, p.tolist()) for i, p in enumerate(points)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    whole, seen = mtree._visits, []
+
+    def watched(bounded, pivots, radii, parts, *rest):
+        out = whole(bounded, pivots, radii, parts, *rest)
+        seen.append((out.count(), bounded.count() * (int(parts.sum()) - 1)))
+        return out
+
+    monkeypatch.setattr(mtree, "_visits", watched)
+    found = mtree.top_k(frame, block=40, query_block=16)
+    assert sorted(map(tuple, found.collect())) == sorted(brute_top(rows, 20))
+    assert seen[0][0] < 0.5 * seen[0][1]
+
+
+def test_inner_pages_are_asked_first():
+    """With a first bound, routers of pages out of reach are not compared."""
+    rng = np.random.default_rng(12)
+    centres = rng.integers(-60, 60, (60, 8))
+    vectors = np.repeat(centres, 100, 0) + rng.integers(-2, 3, (6000, 8))
+    tree = mtree.Tree(vectors)
+    queries = vectors[:10]
+    products = -np.sort(-(queries @ vectors.T), 1)[:, :10]
+    found, scores, computed = tree.search(queries, np.full(10, -1), 10, products[:, -1].astype(float))
+    assert (scores == products).all()
+    _, _, all_of_them = tree.search(queries, np.full(10, -1), 10)
+    assert computed < all_of_them
+
+
 def test_bounds_avoid_products():
     rng = np.random.default_rng(0)
     centres = rng.integers(-60, 60, (40, 8))
