@@ -285,9 +285,10 @@ def links_of(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int)
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
         .select("centre", "node", F.explode(blocks).alias("at"))
     )
-    every = F.flatten(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: F.transform(
-        F.sequence(i, F.col("parts") - 1), lambda j: F.struct(i.alias("i"), j.alias("j")))))
-    centre = parts.select("centre", F.col("centre").alias("node"), F.explode(every).alias("at"))
+    # Pairs of blocks by two steps, so that no row holds all of a family.
+    first = parts.select("centre", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"))
+    every = first.select("centre", "i", F.explode(F.sequence(F.col("i"), F.col("parts") - 1)).alias("j"))
+    centre = every.select("centre", F.col("centre").alias("node"), F.struct("i", "j").alias("at"))
     rows = member.unionByName(centre).join(sets, "node")
     rows = rows.select("centre", F.col("at.i").alias("i"), F.col("at.j").alias("j"), "node", "shingles")
     dealt = rows.repartition("centre", "i", "j").sortWithinPartitions("centre", "i", "j")
