@@ -153,7 +153,11 @@ RULES = (("net/", BLOCK), ("example.net/en/", ALLOW), ("example.com/de/", BLOCK)
 
 def listed_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
     """The list of the registered query: URLs of pages whose id is labelled as toxic or of
-    low quality."""
+    low quality.
+
+    Pages that repeat an id or a URL, and NULL URLs, are listed as they are; pages without an id
+    are not listed, and labels that are NULL name nothing. Without labels the list is empty.
+    """
     bad = labels.where((F.col("toxic") == 1) | (F.col("quality") == 0)).select(
         F.col("doc_id").alias("page_id")
     )
@@ -161,6 +165,12 @@ def listed_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def verdicts(pages: DataFrame, labels: DataFrame) -> DataFrame:
+    """``judge`` with the fixed rules and the list of ``listed_urls``.
+
+    One row per page, those with a NULL or repeated id too. A NULL or empty URL, or one without
+    ``://``, has an empty host and path and is allowed. URLs of any length are read whole. An empty
+    table gives no rows. Other columns are not read.
+    """
     return judge(pages, listed_urls(pages, labels), RULES)
 
 
