@@ -55,9 +55,14 @@ def row_conservation(layers: Layers) -> DataFrame:
     cleaned trips, which are written apart from the rules' outcome. Stored tables are counted.
     """
     one = F.count(F.lit(1))
-    outcomes = layers.classified.agg(
-        one.alias("raw_rows"), F.count("error_type").alias("rejected_rows")
-    )
+    if isinstance(layers, StoredLayers):
+        outcomes = layers.raw_trips.agg(one.alias("raw_rows")).select(
+            "raw_rows", layers.issues.agg(one).scalar().alias("rejected_rows")
+        )
+    else:
+        outcomes = layers.classified.agg(
+            one.alias("raw_rows"), F.count("error_type").alias("rejected_rows")
+        )
     valid = silver.valid_trips(layers.raw_trips, layers.zones, layers.zone_size, layers.profile)
     unique = silver.unique_trips(
         silver.rounded_trips(valid), layers.profile, layers.codes_fit, silver.COPIES
@@ -67,9 +72,6 @@ def row_conservation(layers: Layers) -> DataFrame:
         (F.coalesce(F.sum(silver.COPIES), F.lit(0)) - one).alias("dropped_rows"),
     )
     if isinstance(layers, StoredLayers):
-        outcomes = outcomes.select(
-            "raw_rows", layers.issues.agg(one).scalar().alias("rejected_rows")
-        )
         kept = kept.select(layers.trips.agg(one).scalar().alias("kept_rows"), "dropped_rows")
     return audit.row_conservation(outcomes, kept)
 
