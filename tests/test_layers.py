@@ -12,7 +12,7 @@ from wayfare.plans import checks, exports, gold, layers, questions, runs, silver
 from wayfare.plans.layers import StoredLayers
 from wayfare.plans.refresh import LostRowsError, publish, refresh
 from wayfare.profile import TripProfile
-from wayfare.sources.sinks import export_reports, shared_folder, stored, write_csv
+from wayfare.sources.sinks import cleaned, export_reports, shared_folder, stored, write_csv
 from wayfare.standin import trips as standin
 
 
@@ -257,6 +257,22 @@ def test_stored_tables_use_the_shared_folder(spark, lazy):
     assert shared_folder(spark) != shared_folder(spark)
 
 
+def test_intermediate_tables_are_deleted_with_their_block(spark, lazy, tmp_path):
+    before = stored(lazy.zones, "zones")
+    with pytest.raises(KeyError):
+        with cleaned(spark):
+            inside = stored(lazy.zones, "zones")
+            with cleaned(spark):
+                nested = stored(lazy.zones, "zones")
+            assert inside.count() == before.count()
+            with pytest.raises(Exception, match="FILE_NOT_EXIST"):
+                nested.collect()
+            raise KeyError
+    with pytest.raises(Exception, match="FILE_NOT_EXIST"):
+        inside.collect()
+    assert counted(before) == counted(lazy.zones)
+
+
 def test_command_line(spark, lazy, tmp_path, capsys):
     lazy.raw_trips.drop("source_file").write.parquet(str(tmp_path / "raw"))
     zones = tmp_path / "zones.csv"

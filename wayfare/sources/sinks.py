@@ -4,13 +4,39 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_NOTED: list[list[str]] = []  # folders made inside each open ``cleaned`` block
+
+
+def noted(path: str) -> str:
+    """``path``, remembered as intermediate by the ``cleaned`` blocks around."""
+    for made in _NOTED:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables that are made inside the block, when it ends.
+
+    For code that writes its result inside the block to a folder of its own; tables that are
+    still to be read must not depend on what was made.
+    """
+    made: list[str] = []
+    _NOTED.append(made)
+    try:
+        yield
+    finally:
+        _NOTED[:] = [x for x in _NOTED if x is not made]
+        for path in made:
+            remove(spark, path)
 
 
 def rebalanced(table: DataFrame, *by: str) -> DataFrame:
@@ -144,7 +170,7 @@ def shared_folder(spark: SparkSession) -> str:
         if application not in _LOCAL_FOLDERS:
             _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="wayfare-")
         base = _LOCAL_FOLDERS[application]
-    return f"{base.rstrip('/')}/wayfare-{uuid.uuid4().hex}"
+    return noted(f"{base.rstrip('/')}/wayfare-{uuid.uuid4().hex}")
 
 
 def stored(table: DataFrame, name: str) -> DataFrame:
