@@ -1,5 +1,6 @@
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -179,6 +180,20 @@ def test_classes_of_equal_digest_are_told_apart(spark, monkeypatch):
     assert Counter(map(tuple, found)) == Counter(brute_components(rows, 5, 80))
 
 
+def test_pipeline_leaves_its_result_only(spark, sf_dir, monkeypatch):
+    from wayfare.llm import common
+    from wayfare.sources import sinks
+
+    whole, made = sinks.noted, []
+    for module in (common, sinks):
+        monkeypatch.setattr(module, "noted", lambda path: made.append(path) or whole(path))
+    result = corpus_pipeline.run(spark, sf_dir)
+    left = [Path(path.removeprefix("file:")) for path in made if Path(path.removeprefix("file:")).exists()]
+    assert len(made) > 20 and left == [Path(made[0].removeprefix("file:"))]
+    assert [p.name for p in left[0].iterdir()] == [str(len(corpus_pipeline.STAGES) - 1)]
+    assert result.count() > 0
+
+
 def odd_documents(spark):
     """NULL and repeated ids, NULL and empty texts, columns that clash with those of stages."""
     words = [" ".join(f"{w}{n}" for n in range(40)) for w in ("alpha", "beta", "gamma")]

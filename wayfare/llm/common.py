@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayfare.sources.sinks import noted
+
 CHUNK_BYTES = 1 << 20  # text that a task handles at a time; one longer text is a chunk of its own
 
 
@@ -59,7 +61,7 @@ def shared_path(spark: SparkSession) -> str:
         if context.applicationId not in _LOCAL_FOLDERS:
             _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="wayfare-llm-")
         base = _LOCAL_FOLDERS[context.applicationId]
-    return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    return noted(f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}")
 
 
 def stored(frame: DataFrame) -> DataFrame:
