@@ -16,6 +16,7 @@ from wayfare.llm import bpe, mixing, near_dup, perplexity, toxicity
 from wayfare.llm.common import few, shared_path, ship, stored, table
 from wayfare.llm.queries import ranks_path
 from wayfare.operators.ranks import rows_before
+from wayfare.sources.sinks import cleaned, remove
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 TOXIC_FROM = 0.7
@@ -124,11 +125,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
+    """All stages over the documents of ``sf_dir``.
+
+    Each result is written below the shared folder and read back. What a stage needed in between,
+    and the result before it, are deleted when it is written.
+    """
     docs = table(spark, sf_dir, "documents")
     folder = shared_path(spark)
     for number, (_, stage) in enumerate(STAGES):
-        path = f"{folder}/{number}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with cleaned(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}")
+        docs = spark.read.parquet(f"{folder}/{number}")
+        if number:
+            remove(spark, f"{folder}/{number - 1}")
     return docs
