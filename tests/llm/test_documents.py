@@ -34,6 +34,41 @@ def test_toxicity_features_match_brute_force():
     assert [buckets[docs == n].tolist() for n in range(len(texts))] == alone
 
 
+def test_toxicity_fit_is_the_least_loss(monkeypatch):
+    """Ratios counted one by one, and a gradient that vanishes at the weights found."""
+    rng = np.random.default_rng(2)
+    words = ["nice", "day", "tree", "river", "walk", "cloud", "vile", "scum"]
+    batch, toxic = [], []
+    for n in range(90):
+        bad = n % 3 == 0
+        chosen = rng.choice(words if bad or n % 10 == 1 else words[:6], int(rng.integers(3, 9)))
+        batch.append(" ".join(chosen) + (" scum" if bad and n % 2 else ""))
+        toxic.append(int(bad))
+    toxic = np.array(toxic)
+    found = toxicity.fit(batch, toxic, rounds=4_000)
+    docs, buckets = toxicity.features(batch, None)
+    held = {(d, b) for d, b in zip(docs.tolist(), buckets.tolist())}
+    counts = {k: Counter(b for d, b in held if toxic[d] == k) for k in (0, 1)}
+    ratio = {
+        b: np.log((counts[1][b] + 1) / (toxic.sum() + 2)) - np.log((counts[0][b] + 1) / ((1 - toxic).sum() + 2))
+        for b in {b for _, b in held}
+    }
+    used = {b for b, r in ratio.items() if abs(r) >= toxicity.LEAST_RATIO and counts[0][b] + counts[1][b] >= toxicity.LEAST_DOCS}
+    assert used and set(np.flatnonzero(found.weights).tolist()) <= used
+    score = np.full(len(batch), found.bias)
+    for d, b in held:
+        score[d] += found.weights[b] if b in used else 0.0
+    share = np.where(toxic == 1, 0.5 / toxic.sum(), 0.5 / (1 - toxic).sum())
+    error = (1 / (1 + np.exp(-score)) - toxic) * share
+    slopes = [abs(error.sum())]
+    for b in used:
+        own = sum(error[d] for d, x in held if x == b)
+        # In the scale of the fit: a feature's value is its ratio, its weight is divided by it.
+        slopes.append(abs(own * ratio[b] + 1e-4 * found.weights[b] / ratio[b]))
+    assert max(slopes) < 2e-3
+    assert ((score > 0) == (toxic == 1)).mean() > 0.9
+
+
 def test_toxicity_edge_rows(spark, edge_docs, no_labels):
     rows = toxicity.predictions(edge_docs, no_labels).collect()
     assert len(rows) == edge_docs.count() and all(0 <= r["score"] < 0.01 for r in rows)
