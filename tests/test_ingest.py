@@ -1,6 +1,10 @@
 """Raw files: names, columns, types and missing values."""
 
+import os
+import subprocess
+import sys
 from datetime import datetime
+from pathlib import Path
 
 import pyarrow as pa
 import pytest
@@ -102,12 +106,27 @@ def test_many_files_of_two_types_take_few_jobs(spark, many_files):
     assert some.count() == 4
 
 
+def test_footers_are_read_by_workers_without_the_package(many_files, tmp_path):
+    """In a session whose workers do not find it."""
+    root = str(Path(ingest.__file__).resolve().parents[2])
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from wayfare.session import local_session
+from wayfare.sources.ingest import read_trips
+print("rows", read_trips(local_session(2), {many_files!r} + "/000*.parquet").count())
+"""
+    kept = {key: value for key, value in os.environ.items() if key != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=kept, capture_output=True, text=True)
+    assert "rows 10" in done.stdout, done.stderr[-2000:]
+
+
 def test_files_that_only_spark_can_open(spark, many_files, monkeypatch):
     def nothing(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.nulls(batch.num_rows, pa.string())], ["file", "columns"])
 
-    monkeypatch.setattr(ingest, "_read_footers", nothing)
+    monkeypatch.setattr(ingest, "_footer_reader", lambda: nothing)
     trips = read_trips(spark, f"{many_files}/000*.parquet")
     assert sorted(r.vendor_id for r in trips.collect()) == list(range(10))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
@@ -96,7 +96,7 @@ def _schemas(spark: SparkSession, files: Sequence[str]) -> list[tuple[str, str]]
     """
     tasks = -(-len(files) // FOOTERS_OF_A_TASK)
     named = spark.createDataFrame([(file,) for file in files], "file string").repartition(tasks)
-    found = named.mapInArrow(_read_footers, "file string, columns string").collect()
+    found = named.mapInArrow(_footer_reader(), "file string, columns string").collect()
     if all(row["columns"] is not None for row in found):
         return [(row["file"], row["columns"]) for row in found]
     with ThreadPoolExecutor(16) as pool:
@@ -104,20 +104,30 @@ def _schemas(spark: SparkSession, files: Sequence[str]) -> list[tuple[str, str]]
         return list(zip(files, schemas))
 
 
-def _read_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Columns and types of Parquet files; NULL for those that cannot be opened from here."""
-    from pyarrow import fs, parquet
-
-    for batch in batches:
-        files, columns = batch.column(0).to_pylist(), []
-        for file in files:
-            try:
-                system, place = fs.FileSystem.from_uri(file)
-                schema = parquet.read_schema(place, filesystem=system)
-                columns.append(schema.remove_metadata().to_string())
-            except (OSError, ValueError, ImportError, pa.ArrowException):
-                columns.append(None)
-        yield pa.RecordBatch.from_arrays([pa.array(files), pa.array(columns, pa.string())], ["file", "columns"])
+def _footer_reader() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Columns and types of Parquet files; NULL for those that cannot be opened from a task.
+
+    A function of its own, which is sent whole: workers need not have this package.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow
+        from pyarrow import fs, parquet
+
+        for batch in batches:
+            files, columns = batch.column(0).to_pylist(), []
+            for file in files:
+                try:
+                    system, place = fs.FileSystem.from_uri(file)
+                    schema = parquet.read_schema(place, filesystem=system)
+                    columns.append(schema.remove_metadata().to_string())
+                except (OSError, ValueError, ImportError, pyarrow.ArrowException):
+                    columns.append(None)
+            yield pyarrow.RecordBatch.from_arrays(
+                [pyarrow.array(files), pyarrow.array(columns, pyarrow.string())], ["file", "columns"]
+            )
+
+    return read
 
 
 def read_zones(spark: SparkSession, path: str, na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
