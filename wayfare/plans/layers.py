@@ -67,8 +67,8 @@ class Layers:
     def codes_fit(self) -> bool:
         """Whether all payment codes fit the packed form in which duplicates are compared.
 
-        One row comes back to the driver; the count reads a single column, in Parquet files
-        of plain types their footers only.
+        One row comes back to the driver; a single column is read. A refresh does without, as it
+        sees the codes while it stores the classified trips.
         """
         bounds = self.raw_trips.agg(
             F.min("payment_type").alias("least"), F.max("payment_type").alias("largest")
