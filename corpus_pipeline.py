@@ -23,6 +23,18 @@ TOXIC_FROM = 0.7
 SHINGLE, PERCENT = 5, 80
 
 
+#: Rows that Spark sends to a Python worker at a time, where the session has its default: texts
+#: are long, and a batch is held several times over.
+BATCH_SETTING, BATCH_DEFAULT, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Send the package to the workers, and keep their batches of texts small."""
+    ship(spark)
+    if spark.conf.get(BATCH_SETTING) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose perplexity is above what trusted text of their language has.
 
@@ -30,7 +42,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     judged like others. NULL and empty texts go; all others stay where nothing is labelled as
     trusted. An empty table stays empty; columns beyond those of ``documents`` are left out.
     """
-    ship(spark)
+    prepare(spark)
     judged = perplexity.judged_rows(docs, table(spark, sf_dir, "labels"), keep=tuple(COLUMNS))
     return judged.where("__kept").select(COLUMNS)
 
@@ -41,7 +53,7 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows are judged one by one, as above. A NULL or empty text has the score of a text without
     features; without labels of both kinds all scores are the same. An empty table stays empty.
     """
-    ship(spark)
+    prepare(spark)
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score(docs.select(COLUMNS), model, keep=tuple(COLUMNS))
     return scored.where(F.col("score") < TOXIC_FROM).select(COLUMNS)
@@ -53,7 +65,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows with a NULL id or without words stay, and so do rows that share an id and are no near
     copies (see ``near_dup.deduplicated``). An empty table stays empty.
     """
-    ship(spark)
+    prepare(spark)
     return near_dup.deduplicated(docs.select(COLUMNS), SHINGLE, PERCENT)
 
 
@@ -63,7 +75,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Every row stays, those with a NULL or repeated id and NULL or empty texts too; NULL is a source
     of its own. The order is that of the files that are written. An empty table stays empty.
     """
-    ship(spark)
+    prepare(spark)
     return mixing.mixed(docs.select(COLUMNS))
 
 
@@ -96,7 +108,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     order of the mixture. One row per input row, with NULL ids too; a NULL or empty text has no
     tokens. Columns beyond those of ``documents`` are not read.
     """
-    ship(spark)
+    prepare(spark)
     text = F.coalesce(F.col("text"), F.lit(""))
     # A digest goes along instead of a second copy of the text.
     placed = in_file_order(docs.select(COLUMNS))
