@@ -138,7 +138,7 @@ def score(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = sent.value.weights, sent.value.bias
         wanted = weights != 0
-        for batch in chunks(batches, "__text", 1 << 20):
+        for batch in chunks(batches, "__text", 1 << 19):
             owner, bucket = features(texts(batch, "__text"), wanted)
             total = np.bincount(owner, weights[bucket], batch.num_rows) + bias
             out = 1 / (1 + np.exp(-np.clip(total, -40, 40)))
