@@ -386,6 +386,7 @@ def _labelled(
     own = own.select(
         "node", F.coalesce("label", "node").alias("label"), F.coalesce("component_id", "least").alias("component_id")
     )
+    own = stored(own)  # a table of its own: adaptive execution can split the class of a third of the rows
     full = filled.select("doc_id", *kept, "n_shingles", "node").join(own, "node")
     empty = rows.where(F.col("node").isNull())
     names = ["doc_id", *kept, "n_shingles", "label", "component_id"]
