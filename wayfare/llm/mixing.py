@@ -30,7 +30,7 @@ from wayfare.llm.common import released, stored, tasks_for
 BLOCK_DOCS = 16
 SLOTS_AT_ONCE = 1 << 16  # rows of a batch of the schedule
 TEMPERATURE = 0.5  # without given weights, the power of a source's documents
-NUMBERED_AT_ONCE = 20_000  # documents that a task numbers, about
+NUMBERED_AT_ONCE = 4_000  # documents that a task numbers, about
 DOCS_OF_A_FILE = 4_000  # documents in a file of the mixed table, about
 ROWS_OF_A_KEY = 4_096  # rows of one key that are numbered together
 
