@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 from collections import Counter
 from fractions import Fraction
@@ -69,6 +70,21 @@ def test_toxicity_fit_is_the_least_loss(monkeypatch):
     assert ((score > 0) == (toxic == 1)).mean() > 0.9
 
 
+def test_toxicity_fit_holds_only_features_that_count():
+    """Rare n-grams, nearly all there are, are not held for all texts at once."""
+    rng = np.random.default_rng(4)
+    letters = np.array([chr(0x4E00 + n) for n in range(8_000)])
+    batch = ["".join(rng.choice(letters, 3_000)) + " scum" * (n % 2) for n in range(1_200)]
+    toxic = np.array([n % 2 for n in range(1_200)], np.int64)
+    tracemalloc.start()
+    try:
+        model = toxicity.fit(batch, toxic, rounds=5)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert np.count_nonzero(model.weights) and peak < 120e6, peak
+
+
 def test_toxicity_edge_rows(spark, edge_docs, no_labels):
     rows = toxicity.predictions(edge_docs, no_labels).collect()
     assert len(rows) == edge_docs.count() and all(0 <= r["score"] < 0.01 for r in rows)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import chunks, held_out, released, texts
+from wayfare.llm.common import chunks, held_out, release, released, texts
 
 ORDERS = (3, 4, 5)
 BUCKETS = 1 << 21
@@ -24,7 +24,7 @@ SAMPLE_OF_EACH = (2000, 4000)  # labelled rows to fit on: toxic, not toxic
 SAMPLE_CHARS = 20_000  # longest text in that sample
 LEAST_RATIO = 0.7  # features nearer to even odds than this are left out of the fit
 LEAST_DOCS = 3
-FITTED_AT_ONCE = 100  # texts whose features the fit works out together
+FITTED_AT_ONCE = 1 << 16  # characters whose features the fit works out together, or one text
 MIXED = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -63,30 +63,47 @@ def fit(batch: list[str], toxic: np.ndarray, rounds: int = 60) -> Model:
     positives, negatives = int(toxic.sum()), int((1 - toxic).sum())
     if not positives or not negatives:
         return Model(weights, -8.0 if not positives else 8.0)
-    counts = [np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)]
-    parts = []
-    for first in range(0, len(batch), FITTED_AT_ONCE):
-        d, b = features(batch[first : first + FITTED_AT_ONCE], None)
-        d += first
+    ends = np.cumsum([len(x) + 1 for x in batch])
+    together = []
+    while (first := together[-1].stop if together else 0) < len(batch):
+        fits = int(np.searchsorted(ends, (ends[first - 1] if first else 0) + FITTED_AT_ONCE, "right"))
+        together.append(slice(first, max(first + 1, fits)))
+    counts = [np.zeros(BUCKETS, np.int32), np.zeros(BUCKETS, np.int32)]
+    for part in together:
+        d, b = features(batch[part], None)
+        marked = toxic[part][d]
         for k in (0, 1):
-            counts[k] += np.bincount(b[toxic[d] == k], minlength=BUCKETS)
-        parts.append((d.astype(np.int32), b.astype(np.int32)))
-    ratio = np.log((counts[1] + 1) / (positives + 2)) - np.log((counts[0] + 1) / (negatives + 2))
-    used = (np.abs(ratio) >= LEAST_RATIO) & (counts[0] + counts[1] >= LEAST_DOCS)
-    parts = [(d[used[b]], b[used[b]]) for d, b in parts]
-    docs, buckets = (np.concatenate(x) for x in zip(*parts))
-    columns, local = np.unique(buckets, return_inverse=True)
-    scale = ratio[columns]
-    values = scale[local]
+            np.add.at(counts[k], b[marked == k], 1)
+    often = np.flatnonzero(counts[0] + counts[1] >= LEAST_DOCS)
+    ratio = np.log((counts[1][often] + 1) / (positives + 2)) - np.log((counts[0][often] + 1) / (negatives + 2))
+    del counts
+    telling = np.abs(ratio) >= LEAST_RATIO
+    columns, scale = often[telling], ratio[telling]
+    del often, ratio, telling
+    used = np.zeros(BUCKETS, bool)
+    used[columns] = True
+    # Features are worked out once more: those that are left out would take most of the memory.
+    place = np.zeros(BUCKETS, np.int32)
+    place[columns] = np.arange(len(columns), dtype=np.int32)
+    parts = []
+    for part in together:
+        d, b = features(batch[part], used)
+        parts.append((part, d.astype(np.uint16), place[b]))  # of at most 65,536 texts
+    del place, used
     w, bias = np.zeros(len(columns)), 0.0
     m, v, mb, vb = np.zeros(len(columns)), np.zeros(len(columns)), 0.0, 0.0
     share = np.where(toxic == 1, 0.5 / positives, 0.5 / negatives)
     for step in range(1, rounds + 1):
-        score = np.bincount(docs, values * w[local], len(batch)) + bias
-        error = (1 / (1 + np.exp(-np.clip(score, -40, 40))) - toxic) * share
-        slope = np.bincount(local, values * error[docs], len(columns)) + 1e-4 * w
+        slope, total = np.zeros(len(columns)), 0.0
+        scaled = scale * w
+        for part, d, local in parts:
+            score = np.bincount(d, scaled[local], part.stop - part.start) + bias
+            error = (1 / (1 + np.exp(-np.clip(score, -40, 40))) - toxic[part]) * share[part]
+            np.add.at(slope, local, error[d])
+            total += error.sum()
+        slope = slope * scale + 1e-4 * w
         m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
-        mb, vb = 0.9 * mb + 0.1 * error.sum(), 0.99 * vb + 0.01 * error.sum() ** 2
+        mb, vb = 0.9 * mb + 0.1 * total, 0.99 * vb + 0.01 * total**2
         rate = 0.05 / (1 - 0.9**step) * np.sqrt(1 - 0.99**step)
         w -= rate * m / (np.sqrt(v) + 1e-8)
         bias -= rate * mb / (np.sqrt(vb) + 1e-8)
@@ -121,7 +138,10 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         for row in some.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "text").limit(bound).collect():
             batch.append(row["text"])
             toxic.append(label)
-    return fit(batch, np.array(toxic, np.int64))
+    model = fit(batch, np.array(toxic, np.int64))
+    del batch, some
+    release()  # the driver's process lives on
+    return model
 
 
 def score(
